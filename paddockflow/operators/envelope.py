@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from paddockflow.functions import ids, traces
-from paddockflow.schemas import FEEDS
+from paddockflow.schemas import FEEDS, columns
 
 # --- packets -----------------------------------------------------------------------
 
 
-def read_packets(records: DataFrame, schema: T.StructType) -> DataFrame:
+def read_packets(records: DataFrame, schema: str) -> DataFrame:
     """JSON records as packet columns, plus ``traceparent`` and ``timestamp``.
 
     Text that does not parse becomes a row of NULLs, so it stays countable.
@@ -29,7 +29,11 @@ def read_packets(records: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def packet_records(
-    decoded: DataFrame, kinds: list[str], trace_id: Column, span_id: Column
+    decoded: DataFrame,
+    kinds: list[str],
+    trace_id: Column,
+    span_id: Column,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Decoded datagrams as keyed JSON records with their trace parent header.
 
@@ -48,6 +52,7 @@ def packet_records(
         ids.packet_key(uid).alias("key"),
         F.coalesce(*[json_of(kind) for kind in kinds]).alias("value"),
         traces.to_headers(traces.make(trace_id, span_id)).alias("headers"),
+        *keep,
     )
 
 
@@ -72,16 +77,16 @@ def check_feed(records: DataFrame, feed: str) -> DataFrame:
     text = F.col("value").cast("string")
     parsed = records.withColumn("data", F.from_json(text, schema))
 
-    def usable(field: T.StructField) -> Column:
-        value = F.col(f"data.{field.name}")
-        if isinstance(field.dataType, T.StringType):
+    def usable(name: str, kind: str) -> Column:
+        value = F.col(f"data.{name}")
+        if kind == "STRING":
             # the parser would also turn a number into text
-            return value.isNotNull() & text.rlike(rf'"{field.name}"\s*:\s*"')
-        if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
+            return value.isNotNull() & text.rlike(rf'"{name}"\s*:\s*"')
+        if kind in ("FLOAT", "DOUBLE"):
             return value.isNotNull() & ~F.isnan(value)
         return value.isNotNull()
 
-    checks = [F.is_valid_utf8(text), *map(usable, schema.fields)]
+    checks = [F.is_valid_utf8(text), *[usable(name, kind) for name, kind in columns(schema)]]
     valid = reduce(lambda a, b: a & b, checks)
     return parsed.withColumn("valid", F.coalesce(valid, F.lit(False)))
 
@@ -116,5 +121,5 @@ def merge_feeds(speed_records: DataFrame, rpm_records: DataFrame) -> DataFrame:
 def dispatch(tagged: DataFrame, feed: str, text: str = "message") -> DataFrame:
     """The rows of one type out of tagged message text."""
     mine = tagged.where(F.get_json_object(text, "$.type") == feed)
-    schema = T.StructType([T.StructField("data", FEEDS[feed])])
-    return mine.select(F.from_json(text, schema).alias("m")).select("m.data.*")
+    schema = ", ".join(f"{name}: {kind}" for name, kind in columns(FEEDS[feed]))
+    return mine.select(F.from_json(text, f"data STRUCT<{schema}>").alias("m")).select("m.data.*")

@@ -155,13 +155,13 @@ def _name_codes(name: Column) -> Column:
     )
 
 
-def _keyed_rows(number: str, kind: str, packet_cars: Column, cars_name: str, rows: DataFrame) -> DataFrame:
-    n = F.col(number)
-    player = (n % 24).cast("int")
-    header = _header(n.cast("decimal(20,0)"), kind, (n / 2).cast("float"), n, player)
-    packet = F.struct(header.alias("m_header"), packet_cars.alias(cars_name))
+def _keyed_rows(rows: DataFrame, number: str, session: str, kind: str, cars_name: str, cars: Column) -> DataFrame:
+    """One packet per numbered row; the number gives its time, frame and player."""
+    n, uid = F.col(number), F.col(session).cast("decimal(20,0)")
+    header = _header(uid, kind, (n / 2).cast("float"), n, (n % 24).cast("int"))
+    packet = F.struct(header.alias("m_header"), cars.alias(cars_name))
     return rows.select(
-        F.concat(F.lit("session_"), n.cast("string")).alias("key"),
+        F.concat(F.lit("session_"), uid.cast("string")).alias("key"),
         F.to_json(packet).cast("binary").alias("value"),
         traces.to_headers(trace_parent(n)).alias("headers"),
         F.timestamp_seconds(n).alias("timestamp"),
@@ -169,8 +169,12 @@ def _keyed_rows(number: str, kind: str, packet_cars: Column, cars_name: str, row
 
 
 def participant_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return part_records(table(spark, sf_dir, "part"))
+
+
+def part_records(parts: DataFrame) -> DataFrame:
     """One participants packet per part; the names end in an accented letter."""
-    rows = table(spark, sf_dir, "part").select(
+    rows = parts.select(
         "p_partkey", "p_size", _name_codes(F.concat("p_name", F.lit(" é"))).alias("codes")
     )
     cars = _cars(
@@ -184,12 +188,16 @@ def participant_records(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(3).alias("m_platform"),
         )
     )
-    return _keyed_rows("p_partkey", "participants", cars, "m_participants", rows)
+    return _keyed_rows(rows, "p_partkey", "p_size", "participants", "m_participants", cars)
 
 
 def lobby_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return customer_records(table(spark, sf_dir, "customer"))
+
+
+def customer_records(customers: DataFrame) -> DataFrame:
     """One lobby packet per customer."""
-    rows = table(spark, sf_dir, "customer").select(
+    rows = customers.select(
         "c_custkey", "c_nationkey", _name_codes(F.col("c_name")).alias("codes")
     )
     cars = _cars(
@@ -203,7 +211,7 @@ def lobby_records(spark: SparkSession, sf_dir: str) -> DataFrame:
             (n % 3).alias("m_ready_status"),
         )
     )
-    return _keyed_rows("c_custkey", "lobby_info", cars, "m_lobby_players", rows)
+    return _keyed_rows(rows, "c_custkey", "c_nationkey", "lobby_info", "m_lobby_players", cars)
 
 
 def aggregate_records(rows: DataFrame, measure: str) -> DataFrame:

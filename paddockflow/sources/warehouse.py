@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from paddockflow.schemas import WAREHOUSE
+from paddockflow.schemas import WAREHOUSE, names
 
 PARTITION = "session_uid"
 BATCH = "batch"  # names the micro-batch that wrote the rows, see streaming.sinks
@@ -23,28 +22,27 @@ def create_tables(
 
     With an ``iceberg`` catalog set up on the session, pass ``provider="iceberg"``.
     """
-    names = []
-    for table, schema in WAREHOUSE.items():
+    declared = []
+    for table, ddl in WAREHOUSE.items():
         name = f"{database}.{table}" if database else table
-        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} ({columns}, {BATCH} string) USING {provider} "
+            f"CREATE TABLE IF NOT EXISTS {name} ({ddl}, {BATCH} STRING) USING {provider} "
             f"PARTITIONED BY ({PARTITION}, {BATCH}) LOCATION '{location(root, table)}'"
         )
-        names.append(name)
-    return names
+        declared.append(name)
+    return declared
 
 
-def refresh_tables(spark: SparkSession, names: list[str]) -> None:
-    """Let declared tables see partitions that streaming sinks wrote by path."""
-    for name in names:
+def refresh_tables(spark: SparkSession, tables: list[str]) -> None:
+    """Let declared tables, already written to, see partitions sinks added by path."""
+    for name in tables:
         spark.catalog.recoverPartitions(name)
 
 
 def read(spark: SparkSession, root: str, table: str, session_uid: int | None = None) -> DataFrame:
     """One table's rows; a session id reads that session's partition only."""
-    stored = T.StructType([*WAREHOUSE[table].fields, T.StructField(BATCH, T.StringType())])
+    stored = f"{WAREHOUSE[table]}, {BATCH} STRING"
     rows = spark.read.schema(stored).parquet(location(root, table))
     if session_uid is not None:
         rows = rows.where(F.col(PARTITION) == session_uid)
-    return rows.select(*WAREHOUSE[table].names)
+    return rows.select(*names(table))

@@ -99,7 +99,7 @@ def _start_dimension(rows, table, span, warehouse, checkpoints, on_bad_trace, tr
             lineage.packet_spans(batch_rows, span, on_bad_trace),
             warehouse, f"{PACKET_SPANS}/{table}", batch,
         )
-        append_table(batch_rows.select(*schemas.WAREHOUSE[table].names), warehouse, table, batch)
+        append_table(batch_rows.select(*schemas.names(table)), warehouse, table, batch)
 
     return _start(rows, name, write, checkpoints, trigger)
 

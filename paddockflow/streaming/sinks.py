@@ -93,11 +93,15 @@ def held(rows: DataFrame) -> Iterator[DataFrame]:
 
 
 def kept(action: Callable[[DataFrame, str], None]) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that computes the batch once for all its writes."""
+    """A ``foreachBatch`` function that computes the batch once for all its writes.
+
+    Counting fills the cache in one job over all partitions, which a stateful query
+    needs to commit its state, and lets a batch that closed no window skip the writes.
+    """
 
     def run(rows: DataFrame, batch_id: int) -> None:
-        name = batch_name(rows, batch_id)
         with held(rows):
-            action(rows, name)
+            if rows.count():
+                action(rows, batch_name(rows, batch_id))
 
     return run
