@@ -12,8 +12,9 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.readwriter import DataFrameWriter
 
 from paddockflow.sources.warehouse import BATCH, PARTITION, location
 
@@ -28,34 +29,55 @@ def batch_name(rows: DataFrame, batch_id: int) -> str:
     return f"{query or 'adhoc'}-{batch_id:012d}"
 
 
-def append_table(rows: DataFrame, root: str, table: str, batch: str, spread: int = 4) -> None:
+def append_table(rows: DataFrame, root: str, table: str, batch: str) -> None:
     """Append a batch to a warehouse table, split by session.
 
-    Rows of one session go to ``spread`` tasks, which bounds its files per batch and
-    keeps a large session off a single task.
+    The rebalance gathers each session's rows, so that it gets one file per batch, and
+    adaptive execution splits a session that is large.  Small shuffle partitions stay
+    apart: what a task has to write here is folders, however few their bytes.
     """
-    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(spread))
-    (
-        rows.withColumn(BATCH, F.lit(batch))
-        .repartition(PARTITION, salt)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PARTITION, BATCH)
-        .parquet(location(root, table))
-    )
+    with adaptive(rows.sparkSession, merge_small=False):
+        placed = rows.withColumn(BATCH, F.lit(batch)).hint("rebalance", F.col(PARTITION))
+        _replace_partitions(placed, PARTITION, BATCH).parquet(location(root, table))
 
 
 def append_lineage(rows: DataFrame, root: str, table: str, batch: str) -> None:
     """Append span or link rows, split by batch only."""
-    (
-        rows.withColumn(BATCH, F.lit(batch))
-        .write.mode("overwrite")
+    with adaptive(rows.sparkSession):
+        placed = rows.withColumn(BATCH, F.lit(batch)).hint("rebalance")
+        _replace_partitions(placed, BATCH).parquet(location(root, table))
+
+
+def _replace_partitions(rows: DataFrame, *columns: str) -> DataFrameWriter:
+    return (
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH)
-        .parquet(location(root, table))
+        .partitionBy(*columns)
     )
 
 
+@contextmanager
+def adaptive(session: SparkSession, merge_small: bool = True) -> Iterator[None]:
+    """Adaptive execution for a write of a micro-batch.
+
+    Spark turns it off in a stream's session, because it must not touch stateful
+    plans.  The micro-batch itself is planned by the time its writes begin.  Rebalance
+    hints only hold where they are given inside.
+    """
+    wanted = {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": str(merge_small).lower(),
+    }
+    before = {setting: session.conf.get(setting) for setting in wanted}
+    for setting, value in wanted.items():
+        session.conf.set(setting, value)
+    try:
+        yield
+    finally:
+        for setting, value in before.items():
+            session.conf.set(setting, value)
+
+
 @dataclass(frozen=True)
 class FeedSink:
     """Where keyed records go: a Kafka topic, or files with the same columns.
@@ -71,15 +93,9 @@ class FeedSink:
         if self.fmt == "kafka":
             records.write.format("kafka").options(**self.options).save()
             return
-        (
-            records.withColumn(BATCH, F.lit(batch))
-            .write.format(self.fmt)
-            .mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .options(**self.options)
-            .partitionBy(BATCH)
-            .save()
-        )
+        with adaptive(records.sparkSession):
+            placed = records.withColumn(BATCH, F.lit(batch)).hint("rebalance")
+            _replace_partitions(placed, BATCH).format(self.fmt).options(**self.options).save()
 
 
 @contextmanager
