@@ -147,6 +147,8 @@ def start_all(
     on_bad_trace: str = "fail",
 ) -> list[StreamingQuery]:
     """Start every query whose feed is given: telemetry, lap, participants, lobby_info."""
+    for records in sources.values():
+        records.sparkSession.streams.resetTerminated()  # wait for these queries, not older ones
     queries = []
     if "telemetry" in sources:
         queries.append(
