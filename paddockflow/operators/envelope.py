@@ -67,18 +67,17 @@ def feed_records(aggregates: DataFrame) -> DataFrame:
     )
 
 
-def check_feed(records: DataFrame, feed: str) -> DataFrame:
-    """Parse an aggregate feed into ``data``, with ``valid`` per record.
+def _sound(feed: str) -> Column:
+    """The parsed record in an array, which is empty when the record is not valid.
 
     A record is valid when its text is UTF-8 JSON and all eight fields are there
-    with their types; other fields are ignored.
+    with their types; other fields are ignored.  Filtering the parsed struct inside
+    an array lets every check share one parse.
     """
-    schema = FEEDS[feed]
     text = F.col("value").cast("string")
-    parsed = records.withColumn("data", F.from_json(text, schema))
 
-    def usable(name: str, kind: str) -> Column:
-        value = F.col(f"data.{name}")
+    def usable(data: Column, name: str, kind: str) -> Column:
+        value = data[name]
         if kind == "STRING":
             # the parser would also turn a number into text
             return value.isNotNull() & text.rlike(rf'"{name}"\s*:\s*"')
@@ -86,18 +85,21 @@ def check_feed(records: DataFrame, feed: str) -> DataFrame:
             return value.isNotNull() & ~F.isnan(value)
         return value.isNotNull()
 
-    checks = [F.is_valid_utf8(text), *[usable(name, kind) for name, kind in columns(schema)]]
-    valid = reduce(lambda a, b: a & b, checks)
-    return parsed.withColumn("valid", F.coalesce(valid, F.lit(False)))
+    def valid(data: Column) -> Column:
+        checks = [usable(data, name, kind) for name, kind in columns(FEEDS[feed])]
+        return reduce(lambda a, b: a & b, [F.is_valid_utf8(text), *checks])
+
+    return F.filter(F.array(F.from_json(text, FEEDS[feed])), valid)
 
 
 def valid_feed(records: DataFrame, feed: str) -> DataFrame:
-    return check_feed(records, feed).where("valid").select("data.*")
+    """The valid records of an aggregate feed, as typed rows."""
+    return records.select(F.inline(_sound(feed)))
 
 
 def reject_feed(records: DataFrame, feed: str) -> DataFrame:
     """The records :func:`valid_feed` leaves out, as they came."""
-    return check_feed(records, feed).where("NOT valid").select(*records.columns)
+    return records.where(F.size(_sound(feed)) == 0)
 
 
 def message(feed: str, fields: list[str]) -> Column:

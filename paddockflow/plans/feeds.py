@@ -22,9 +22,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table as a stream, whether it is one file or a folder of files.
+
+    A file source takes a plain path for a folder, but a glob for either.
+    """
+    schema = table(spark, sf_dir, name).schema
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}[.]parquet")
+
+
+def spread(rows: DataFrame, stored: DataFrame) -> DataFrame:
+    """Use all cores on a table stored in fewer splits than there are cores.
+
+    Records made from a row are a hundred times its size, so moving the narrow rows
+    first pays off.  A table of many files is left where it is.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if stored.rdd.getNumPartitions() < cores else rows
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event columns the feeds use, with ``k`` parsed and a time zone on the time."""
-    return event_columns(table(spark, sf_dir, "events"))
+    rows = table(spark, sf_dir, "events")
+    return event_columns(spread(rows, rows))
 
 
 def event_columns(rows: DataFrame) -> DataFrame:
@@ -81,6 +101,11 @@ def _cars(make) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(layouts.CARS - 1)), make)
 
 
+def _named_cars(codes: Column, make) -> Column:
+    """As :func:`_cars`, with name codes that are worked out once per row."""
+    return F.transform(F.array_repeat(codes, layouts.CARS), lambda name, n: make(n, name))
+
+
 def _event_headers() -> Column:
     """None for views, only a foreign header for purchases, else both."""
     foreign = F.struct(F.lit("origin").alias("key"), F.lit("pit").cast("binary").alias("value"))
@@ -169,49 +194,47 @@ def _keyed_rows(rows: DataFrame, number: str, session: str, kind: str, cars_name
 
 
 def participant_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return part_records(table(spark, sf_dir, "part"))
+    rows = table(spark, sf_dir, "part")
+    return part_records(spread(rows, rows))
 
 
 def part_records(parts: DataFrame) -> DataFrame:
     """One participants packet per part; the names end in an accented letter."""
-    rows = parts.select(
-        "p_partkey", "p_size", _name_codes(F.concat("p_name", F.lit(" é"))).alias("codes")
-    )
-    cars = _cars(
-        lambda n: F.struct(
+    cars = _named_cars(
+        _name_codes(F.concat("p_name", F.lit(" é"))),
+        lambda n, name: F.struct(
             (n % 2).alias("m_ai_controlled"),
             F.col("p_size").alias("m_driver_id"),
             (F.col("p_size") + n).alias("m_team_id"),
             (n + 1).alias("m_race_number"),
             F.lit(7).alias("m_nationality"),
-            F.col("codes").alias("m_name"),
+            name.alias("m_name"),
             F.lit(3).alias("m_platform"),
-        )
+        ),
     )
-    return _keyed_rows(rows, "p_partkey", "p_size", "participants", "m_participants", cars)
+    return _keyed_rows(parts, "p_partkey", "p_size", "participants", "m_participants", cars)
 
 
 def lobby_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return customer_records(table(spark, sf_dir, "customer"))
+    rows = table(spark, sf_dir, "customer")
+    return customer_records(spread(rows, rows))
 
 
 def customer_records(customers: DataFrame) -> DataFrame:
     """One lobby packet per customer."""
-    rows = customers.select(
-        "c_custkey", "c_nationkey", _name_codes(F.col("c_name")).alias("codes")
-    )
-    cars = _cars(
-        lambda n: F.struct(
+    cars = _named_cars(
+        _name_codes(F.col("c_name")),
+        lambda n, name: F.struct(
             F.lit(0).alias("m_ai_controlled"),
             (F.col("c_nationkey") + n).alias("m_team_id"),
             F.col("c_nationkey").alias("m_nationality"),
             F.lit(1).alias("m_platform"),
-            F.col("codes").alias("m_name"),
+            name.alias("m_name"),
             (n + 1).alias("m_car_number"),
             (n % 3).alias("m_ready_status"),
-        )
+        ),
     )
-    return _keyed_rows(rows, "c_custkey", "c_nationkey", "lobby_info", "m_lobby_players", cars)
+    return _keyed_rows(customers, "c_custkey", "c_nationkey", "lobby_info", "m_lobby_players", cars)
 
 
 def aggregate_records(rows: DataFrame, measure: str) -> DataFrame:

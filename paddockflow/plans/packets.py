@@ -267,9 +267,9 @@ def _published_kinds(spark, sf_dir):
         "click": "car_telemetry", "view": "lap", "purchase": "lobby_info",
         "signup": "participants", "error": "motion_ex",
     }
+    rows = feeds.events(spark, sf_dir)
     parts = [
-        _datagrams(spark, sf_dir, kind).where(F.col("event_type") == event)
-        for event, kind in kinds.items()
+        feeds.datagrams(rows.where(F.col("event_type") == event), kind) for event, kind in kinds.items()
     ]
     out = parts[0]
     for part in parts[1:]:

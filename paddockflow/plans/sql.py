@@ -50,6 +50,12 @@ l AS (
 )
 """
 
+# The same with the events of one ``k`` as a session, as the streaming queries have it.
+SESSION_PACKETS = PACKETS.replace(
+    "SELECT event_id, user_id,",
+    "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS user_id,",
+)
+
 LAP_FIELDS = (
     "current_lap_num", "last_lap_time_ms", "current_lap_time_ms", "sector1_time_ms",
     "sector2_time_ms", "car_position", "speed_trap_fastest_speed", "num_pit_stops",

@@ -20,17 +20,17 @@ NOW = {"availableNow": True}
 HOUR = 3600
 
 
-def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table as a stream, whether it is one file or a folder of files.
-
-    A file source takes a plain path for a folder, but a glob for either.
-    """
-    schema = feeds.table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}[.]parquet")
+def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return feeds.spread(feeds.stream_table(spark, sf_dir, name), feeds.table(spark, sf_dir, name))
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feeds.event_columns(stream_table(spark, sf_dir, "events"))
+    """Events with ``k`` as the session: a real session holds thousands of packets."""
+    return by_session(feeds.event_columns(_stream(spark, sf_dir, "events")))
+
+
+def by_session(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("user_id", F.col("k").cast("bigint"))
 
 
 def _telemetry(spark, sf_dir, **options) -> str:
@@ -46,13 +46,13 @@ def _closed(select: str) -> str:
     return f"SELECT * FROM ({select}) WHERE window_end <= {sql.closed_before(HOUR, 1)}"
 
 
-@query("stream_speed_table", sql.PACKETS + _closed(sql.telemetry_windows(HOUR, ["speed"])))
+@query("stream_speed_table", sql.SESSION_PACKETS + _closed(sql.telemetry_windows(HOUR, ["speed"])))
 def stream_speed_table(spark, sf_dir):
     root = _telemetry(spark, sf_dir)
     return plain(warehouse.read(spark, f"{root}/wh", "speed_aggregation"))
 
 
-@query("stream_rpm_table", sql.PACKETS + _closed(sql.telemetry_windows(HOUR, ["rpm"])))
+@query("stream_rpm_table", sql.SESSION_PACKETS + _closed(sql.telemetry_windows(HOUR, ["rpm"])))
 def stream_rpm_table(spark, sf_dir):
     root = _telemetry(spark, sf_dir)
     return plain(warehouse.read(spark, f"{root}/wh", "rpm_aggregation"))
@@ -60,7 +60,7 @@ def stream_rpm_table(spark, sf_dir):
 
 @query(
     "stream_speed_feed",
-    sql.PACKETS
+    sql.SESSION_PACKETS
     + f"""SELECT CAST(session_uid AS VARCHAR) AS key, session_uid, window_start, max_speed, sample_count
           FROM ({_closed(sql.telemetry_windows(HOUR, ["speed"]))})""",
 )
@@ -84,7 +84,7 @@ _STREAM_WINDOWS = f", w AS (SELECT {sql.window_columns(HOUR)}, * FROM t)"
 
 @query(
     "stream_window_spans",
-    sql.PACKETS
+    sql.SESSION_PACKETS
     + _STREAM_WINDOWS
     + f"""
 SELECT 'speed-aggregation-window' AS span_name, window_start, window_end, session_uid,
@@ -102,7 +102,7 @@ def stream_window_spans(spark, sf_dir):
 
 @query(
     "stream_window_links",
-    sql.PACKETS
+    sql.SESSION_PACKETS
     + _STREAM_WINDOWS
     + f"""
 SELECT 'rpm-aggregation-window' AS span_name, window_start, window_end, session_uid,
@@ -117,7 +117,7 @@ def stream_window_links(spark, sf_dir):
     return plain(rows.drop(warehouse.BATCH))
 
 
-@query("stream_lap_table", sql.PACKETS + _closed(sql.lap_windows(HOUR)))
+@query("stream_lap_table", sql.SESSION_PACKETS + _closed(sql.lap_windows(HOUR)))
 def stream_lap_table(spark, sf_dir):
     root = scratch.new_folder(spark, "lap")
     records = feeds.lap_records(event_stream(spark, sf_dir))
@@ -130,7 +130,7 @@ def stream_lap_table(spark, sf_dir):
 @query("stream_participants_table", f"{PARTICIPANTS_SQL} FROM part")
 def stream_participants_table(spark, sf_dir):
     root = scratch.new_folder(spark, "participants")
-    records = feeds.part_records(stream_table(spark, sf_dir, "part"))
+    records = feeds.part_records(_stream(spark, sf_dir, "part"))
     pipeline.start_participants(records, f"{root}/wh", f"{root}/cp", trigger=NOW).awaitTermination()
     return plain(warehouse.read(spark, f"{root}/wh", "participants"))
 
@@ -138,7 +138,7 @@ def stream_participants_table(spark, sf_dir):
 @query("stream_lobby_table", f"{LOBBY_SQL} FROM customer")
 def stream_lobby_table(spark, sf_dir):
     root = scratch.new_folder(spark, "lobby")
-    records = feeds.customer_records(stream_table(spark, sf_dir, "customer"))
+    records = feeds.customer_records(_stream(spark, sf_dir, "customer"))
     pipeline.start_lobby(records, f"{root}/wh", f"{root}/cp", trigger=NOW).awaitTermination()
     return plain(warehouse.read(spark, f"{root}/wh", "lobby_info"))
 
@@ -154,7 +154,7 @@ FROM customer
 )
 def stream_packet_spans(spark, sf_dir):
     root = scratch.new_folder(spark, "lobby-spans")
-    records = feeds.customer_records(stream_table(spark, sf_dir, "customer"))
+    records = feeds.customer_records(_stream(spark, sf_dir, "customer"))
     pipeline.start_lobby(records, f"{root}/wh", f"{root}/cp", trigger=NOW).awaitTermination()
     rows = spark.read.parquet(f"{root}/wh/{pipeline.PACKET_SPANS}/lobby_info")
     return rows.drop(warehouse.BATCH)
@@ -185,7 +185,7 @@ intime AS (
 
 @query(
     "stream_late_rows",
-    sql.PACKETS
+    sql.SESSION_PACKETS
     + _LATE
     + f"""SELECT * FROM ({sql.telemetry_windows(6 * HOUR, ["speed"], "intime")})
           WHERE window_end <= (SELECT max(mark) FROM marks)""",
@@ -198,13 +198,13 @@ def stream_late_rows(spark, sf_dir):
         source.where(F.col("event_type").isin(*types)).write.mode("append").parquet(f"{root}/in")
         arrived = spark.readStream.schema(source.schema).parquet(f"{root}/in")
         pipeline.start_telemetry(
-            feeds.telemetry_records(feeds.event_columns(arrived)),
+            feeds.telemetry_records(by_session(feeds.event_columns(arrived))),
             f"{root}/wh", f"{root}/cp", width="6 hours", delay=f"{DELAY_DAYS} days", trigger=NOW,
         ).awaitTermination()
     return plain(warehouse.read(spark, f"{root}/wh", "speed_aggregation"))
 
 
-@query("stream_rerun", sql.PACKETS + _closed(sql.lap_windows(HOUR)))
+@query("stream_rerun", sql.SESSION_PACKETS + _closed(sql.lap_windows(HOUR)))
 def stream_rerun(spark, sf_dir):
     """A restart from the checkpoint without new input adds no rows."""
     root = scratch.new_folder(spark, "rerun")
@@ -229,7 +229,7 @@ def stream_first_seen(spark, sf_dir):
     def replace(rows, _batch_id):
         rows.write.mode("overwrite").parquet(f"{root}/seen")
 
-    seen = serve.first_seen(stream_table(spark, sf_dir, "events"), "event_type", "event_id")
+    seen = serve.first_seen(_stream(spark, sf_dir, "events"), "event_type", "event_id")
     (
         seen.writeStream.outputMode("complete").foreachBatch(replace)
         .option("checkpointLocation", f"{root}/cp").trigger(**NOW).start().awaitTermination()
@@ -241,7 +241,7 @@ def stream_first_seen(spark, sf_dir):
 def warehouse_scan(spark, sf_dir):
     """Tables declared over a warehouse folder show what a sink wrote there."""
     root = scratch.new_folder(spark, "warehouse")
-    records = feeds.part_records(stream_table(spark, sf_dir, "part"))
+    records = feeds.part_records(_stream(spark, sf_dir, "part"))
     pipeline.start_participants(records, f"{root}/wh", f"{root}/cp", trigger=NOW).awaitTermination()
     database = "wh_" + root.rsplit("-", 1)[1]
     spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/db'")
