@@ -88,18 +88,18 @@ def first_rows(rows: DataFrame, order: Sequence[str], n: int = 10) -> DataFrame:
 def current_session(latest_speed: DataFrame, latest_rpm: DataFrame) -> DataFrame:
     """Session id and time on show: the speed feed's, else the rev feed's.
 
-    Both inputs are latest rows, one at most; each is reduced to exactly one row.
+    Both inputs are latest rows, one at most; the result is always one row.
     """
 
-    def one(rows: DataFrame, name: str) -> DataFrame:
-        return rows.agg(
-            F.first("session_uid").alias(f"{name}_uid"), F.first("session_time").alias(f"{name}_time")
-        ).withColumn("_one", F.lit(1))
+    def tagged(rows: DataFrame, feed: str) -> DataFrame:
+        return rows.select("session_uid", "session_time", F.lit(feed).alias("feed"))
 
-    return one(latest_speed, "speed").join(one(latest_rpm, "rpm"), "_one").select(
-        F.coalesce("speed_uid", "rpm_uid").alias("session_uid"),
-        F.coalesce("speed_time", "rpm_time").alias("session_time"),
-    )
+    def preferred(column: str) -> Column:
+        of = {feed: F.max(F.when(F.col("feed") == feed, F.col(column))) for feed in ("speed", "rpm")}
+        return F.coalesce(of["speed"], of["rpm"]).alias(column)
+
+    both = tagged(latest_speed, "speed").unionByName(tagged(latest_rpm, "rpm"))
+    return both.agg(preferred("session_uid"), preferred("session_time"))
 
 
 def chart_series(aggregates: DataFrame, measure: str) -> DataFrame:

@@ -179,26 +179,26 @@ _TRACE = (
 
 PARTICIPANTS_SQL = """
 SELECT make_timestamp(p_partkey * 1000000) AS "timestamp", CAST(p_size AS BIGINT) AS session_uid,
-       CAST(CAST(p_partkey / 2 AS FLOAT) AS DOUBLE) AS session_time, p_partkey % 24 AS car_index,
-       CASE WHEN p_partkey % 24 < 22 THEN (p_partkey % 24) % 2 END AS ai_controlled,
-       CASE WHEN p_partkey % 24 < 22 THEN p_size END AS driver_id,
-       CASE WHEN p_partkey % 24 < 22 THEN p_size + p_partkey % 24 END AS team_id,
-       CASE WHEN p_partkey % 24 < 22 THEN p_partkey % 24 + 1 END AS race_number,
-       CASE WHEN p_partkey % 24 < 22 THEN 7 END AS nationality,
-       CASE WHEN p_partkey % 24 < 22 THEN p_name || ' é' END AS name,
-       CASE WHEN p_partkey % 24 < 22 THEN 3 END AS platform
+       CAST(CAST(p_partkey / 2 AS FLOAT) AS DOUBLE) AS session_time, CAST(p_partkey % 24 AS INT) AS car_index,
+       CASE WHEN CAST(p_partkey % 24 AS INT) < 22 THEN (CAST(p_partkey % 24 AS INT)) % 2 END AS ai_controlled,
+       CASE WHEN CAST(p_partkey % 24 AS INT) < 22 THEN p_size END AS driver_id,
+       CASE WHEN CAST(p_partkey % 24 AS INT) < 22 THEN p_size + CAST(p_partkey % 24 AS INT) END AS team_id,
+       CASE WHEN CAST(p_partkey % 24 AS INT) < 22 THEN CAST(p_partkey % 24 AS INT) + 1 END AS race_number,
+       CASE WHEN CAST(p_partkey % 24 AS INT) < 22 THEN 7 END AS nationality,
+       CASE WHEN CAST(p_partkey % 24 AS INT) < 22 THEN p_name || ' é' END AS name,
+       CASE WHEN CAST(p_partkey % 24 AS INT) < 22 THEN 3 END AS platform
 """
 
 LOBBY_SQL = """
 SELECT make_timestamp(c_custkey * 1000000) AS "timestamp", CAST(c_nationkey AS BIGINT) AS session_uid,
-       CAST(CAST(c_custkey / 2 AS FLOAT) AS DOUBLE) AS session_time, c_custkey % 24 AS car_index,
-       CASE WHEN c_custkey % 24 < 22 THEN 0 END AS ai_controlled,
-       CASE WHEN c_custkey % 24 < 22 THEN c_nationkey + c_custkey % 24 END AS team_id,
-       CASE WHEN c_custkey % 24 < 22 THEN c_nationkey END AS nationality,
-       CASE WHEN c_custkey % 24 < 22 THEN c_name END AS name,
-       CASE WHEN c_custkey % 24 < 22 THEN c_custkey % 24 + 1 END AS car_number,
-       CASE WHEN c_custkey % 24 < 22 THEN 1 END AS platform,
-       CASE WHEN c_custkey % 24 < 22 THEN (c_custkey % 24) % 3 END AS ready_status
+       CAST(CAST(c_custkey / 2 AS FLOAT) AS DOUBLE) AS session_time, CAST(c_custkey % 24 AS INT) AS car_index,
+       CASE WHEN CAST(c_custkey % 24 AS INT) < 22 THEN 0 END AS ai_controlled,
+       CASE WHEN CAST(c_custkey % 24 AS INT) < 22 THEN c_nationkey + CAST(c_custkey % 24 AS INT) END AS team_id,
+       CASE WHEN CAST(c_custkey % 24 AS INT) < 22 THEN c_nationkey END AS nationality,
+       CASE WHEN CAST(c_custkey % 24 AS INT) < 22 THEN c_name END AS name,
+       CASE WHEN CAST(c_custkey % 24 AS INT) < 22 THEN CAST(c_custkey % 24 AS INT) + 1 END AS car_number,
+       CASE WHEN CAST(c_custkey % 24 AS INT) < 22 THEN 1 END AS platform,
+       CASE WHEN CAST(c_custkey % 24 AS INT) < 22 THEN (CAST(c_custkey % 24 AS INT)) % 3 END AS ready_status
 """
 
 
@@ -303,7 +303,7 @@ def _aggregate_feed(spark, sf_dir, measure):
 _VALID = """
 SELECT strftime(date_trunc('millisecond', ts), '%Y-%m-%dT%H:%M:%S.%gZ') AS window_start,
        strftime(date_trunc('millisecond', ts), '%Y-%m-%dT%H:%M:%S.%gZ') AS window_end,
-       user_id AS session_uid, k + 0.5 AS session_time, floor(value) + 0.25 AS avg_{0},
+       user_id AS session_uid, CAST(k + 0.5 AS DOUBLE) AS session_time, floor(value) + 0.25 AS avg_{0},
        k AS min_{0}, CAST(floor(value) AS INT) AS max_{0}, event_id AS sample_count
 FROM e WHERE event_type = 'click'
 """

@@ -14,86 +14,86 @@ from paddockflow.plans import feeds, sql
 from paddockflow.plans.batch import ORACLES, QUERIES, plain, query
 from paddockflow.sources import layouts
 
-# kind -> output column -> (expression on the packet, value number, is a float).
+# kind -> output column -> (expression on the packet, value number, type).
 # ``p`` is the player's car; beyond the 22 cars the value is NULL.
 FIELDS = {
     "motion": {
-        "world_x": ("get(m_car_motion_data, p).m_world_position_x", "p*18", True),
-        "right_dir_z": ("get(m_car_motion_data, p).m_world_right_dir_z", "p*18+11", False),
-        "roll": ("get(m_car_motion_data, p).m_roll", "p*18+17", True),
+        "world_x": ("get(m_car_motion_data, p).m_world_position_x", "p*18", "DOUBLE"),
+        "right_dir_z": ("get(m_car_motion_data, p).m_world_right_dir_z", "p*18+11", "INT"),
+        "roll": ("get(m_car_motion_data, p).m_roll", "p*18+17", "DOUBLE"),
     },
     "session": {
-        "track_length": ("m_track_length", "4", False),
-        "last_rain": ("m_weather_forecast_samples[63].m_rain_percentage", "572", False),
-        "sector3_start": ("m_sector3_lap_distance_start", "639", True),
+        "track_length": ("m_track_length", "4", "INT"),
+        "last_rain": ("m_weather_forecast_samples[63].m_rain_percentage", "572", "INT"),
+        "sector3_start": ("m_sector3_lap_distance_start", "639", "DOUBLE"),
     },
     "lap": {
-        "last_lap_ms": ("get(m_lap_data, p).m_last_lap_time_in_ms", "p*33", False),
-        "position": ("get(m_lap_data, p).m_car_position", "p*33+13", False),
-        "trap_speed": ("get(m_lap_data, p).m_speed_trap_fastest_speed", "p*33+31", True),
-        "pb_car": ("m_time_trial_pb_car_idx", "726", False),
+        "last_lap_ms": ("get(m_lap_data, p).m_last_lap_time_in_ms", "p*33", "BIGINT"),
+        "position": ("get(m_lap_data, p).m_car_position", "p*33+13", "INT"),
+        "trap_speed": ("get(m_lap_data, p).m_speed_trap_fastest_speed", "p*33+31", "DOUBLE"),
+        "pb_car": ("m_time_trial_pb_car_idx", "726", "INT"),
     },
     "participants": {
-        "active_cars": ("m_num_active_cars", "0", False),
-        "race_number": ("get(m_participants, p).m_race_number", "p*56+6", False),
-        "tech_level": ("get(m_participants, p).m_tech_level", "p*56+42", False),
-        "last_blue": ("get(m_participants, p).m_livery_colours[3].blue", "p*56+56", False),
+        "active_cars": ("m_num_active_cars", "0", "INT"),
+        "race_number": ("get(m_participants, p).m_race_number", "p*56+6", "INT"),
+        "tech_level": ("get(m_participants, p).m_tech_level", "p*56+42", "INT"),
+        "last_blue": ("get(m_participants, p).m_livery_colours[3].blue", "p*56+56", "INT"),
     },
     "car_setups": {
-        "ballast": ("get(m_car_setup_data, p).m_ballast", "p*23+21", False),
-        "fuel_load": ("get(m_car_setup_data, p).m_fuel_load", "p*23+22", True),
-        "next_wing": ("m_next_front_wing_value", "506", True),
+        "ballast": ("get(m_car_setup_data, p).m_ballast", "p*23+21", "INT"),
+        "fuel_load": ("get(m_car_setup_data, p).m_fuel_load", "p*23+22", "DOUBLE"),
+        "next_wing": ("m_next_front_wing_value", "506", "DOUBLE"),
     },
     "car_telemetry": {
-        "speed": ("get(m_car_telemetry_data, p).m_speed", "p*31", False),
-        "rpm": ("get(m_car_telemetry_data, p).m_engine_rpm", "p*31+6", False),
-        "last_pressure": ("get(m_car_telemetry_data, p).m_tyres_pressure[3]", "p*31+26", True),
-        "gear_hint": ("m_suggested_gear", "684", False),
+        "speed": ("get(m_car_telemetry_data, p).m_speed", "p*31", "INT"),
+        "rpm": ("get(m_car_telemetry_data, p).m_engine_rpm", "p*31+6", "INT"),
+        "last_pressure": ("get(m_car_telemetry_data, p).m_tyres_pressure[3]", "p*31+26", "DOUBLE"),
+        "gear_hint": ("m_suggested_gear", "684", "INT"),
     },
     "car_status": {
-        "max_rpm": ("get(m_car_status_data, p).m_max_rpm", "p*25+8", False),
-        "flags": ("get(m_car_status_data, p).m_vehicle_fia_flags", "p*25+16", False),
-        "ers_store": ("get(m_car_status_data, p).m_ers_store_energy", "p*25+19", True),
+        "max_rpm": ("get(m_car_status_data, p).m_max_rpm", "p*25+8", "INT"),
+        "flags": ("get(m_car_status_data, p).m_vehicle_fia_flags", "p*25+16", "INT"),
+        "ers_store": ("get(m_car_status_data, p).m_ers_store_energy", "p*25+19", "DOUBLE"),
     },
     "final_classification": {
-        "cars": ("m_num_cars", "0", False),
-        "race_time": ("get(m_classification_data, p).m_total_race_time", "p*36+9", True),
-        "last_stint_end": ("get(m_classification_data, p).m_tyre_stints_end_laps[7]", "p*36+36", False),
+        "cars": ("m_num_cars", "0", "INT"),
+        "race_time": ("get(m_classification_data, p).m_total_race_time", "p*36+9", "DOUBLE"),
+        "last_stint_end": ("get(m_classification_data, p).m_tyre_stints_end_laps[7]", "p*36+36", "INT"),
     },
     "lobby_info": {
-        "last_name_code": ("get(m_lobby_players, p).m_name[31]", "p*41+36", False),
-        "tech_level": ("get(m_lobby_players, p).m_tech_level", "p*41+40", False),
-        "ready_status": ("get(m_lobby_players, p).m_ready_status", "p*41+41", False),
+        "last_name_code": ("get(m_lobby_players, p).m_name[31]", "p*41+36", "INT"),
+        "tech_level": ("get(m_lobby_players, p).m_tech_level", "p*41+40", "INT"),
+        "ready_status": ("get(m_lobby_players, p).m_ready_status", "p*41+41", "INT"),
     },
     "car_damage": {
-        "third_wear": ("get(m_car_damage_data, p).m_tyres_wear[2]", "p*34+2", True),
-        "front_left_wing": ("get(m_car_damage_data, p).m_front_left_wing_damage", "p*34+16", False),
-        "seized": ("get(m_car_damage_data, p).m_engine_seized", "p*34+33", False),
+        "third_wear": ("get(m_car_damage_data, p).m_tyres_wear[2]", "p*34+2", "DOUBLE"),
+        "front_left_wing": ("get(m_car_damage_data, p).m_front_left_wing_damage", "p*34+16", "INT"),
+        "seized": ("get(m_car_damage_data, p).m_engine_seized", "p*34+33", "INT"),
     },
     "session_history": {
-        "best_lap": ("m_best_lap_time_lap_num", "3", False),
-        "last_flags": ("m_lap_history_data[99].m_lap_valid_bit_flags", "806", False),
-        "last_compound": ("m_tyre_stints_history_data[7].m_tyre_visual_compound", "830", False),
+        "best_lap": ("m_best_lap_time_lap_num", "3", "INT"),
+        "last_flags": ("m_lap_history_data[99].m_lap_valid_bit_flags", "806", "INT"),
+        "last_compound": ("m_tyre_stints_history_data[7].m_tyre_visual_compound", "830", "INT"),
     },
     "tyre_sets": {
-        "car": ("m_car_idx", "0", False),
-        "last_delta": ("m_tyre_set_data[19].m_lap_delta_time", "179", False),
-        "fitted": ("m_fitted_idx", "181", False),
+        "car": ("m_car_idx", "0", "INT"),
+        "last_delta": ("m_tyre_set_data[19].m_lap_delta_time", "179", "INT"),
+        "fitted": ("m_fitted_idx", "181", "INT"),
     },
     "motion_ex": {
-        "third_wheel_speed": ("m_wheel_speed[2]", "14", True),
-        "pitch": ("m_chassis_pitch", "52", True),
-        "last_gain": ("m_wheel_camber_gain[3]", "60", True),
+        "third_wheel_speed": ("m_wheel_speed[2]", "14", "DOUBLE"),
+        "pitch": ("m_chassis_pitch", "52", "DOUBLE"),
+        "last_gain": ("m_wheel_camber_gain[3]", "60", "DOUBLE"),
     },
     "time_trial": {
-        "team": ("m_player_session_best_data_set.m_team_id", "1", False),
-        "pb_lap": ("m_personal_best_data_set.m_lap_time_in_ms", "14", False),
-        "rival_valid": ("m_rival_data_set.m_valid", "35", False),
+        "team": ("m_player_session_best_data_set.m_team_id", "1", "INT"),
+        "pb_lap": ("m_personal_best_data_set.m_lap_time_in_ms", "14", "BIGINT"),
+        "rival_valid": ("m_rival_data_set.m_valid", "35", "INT"),
     },
     "lap_positions": {
-        "lap_start": ("m_lap_start", "1", False),
-        "own_fourth_lap": ("get(m_position_for_vehicle_idx[3], p)", "p+68", False),
-        "last_slot": ("m_position_for_vehicle_idx[49][21]", "1101", False),
+        "lap_start": ("m_lap_start", "1", "INT"),
+        "own_fourth_lap": ("get(m_position_for_vehicle_idx[3], p)", "p+68", "INT"),
+        "last_slot": ("m_position_for_vehicle_idx[49][21]", "1101", "INT"),
     },
 }
 
@@ -139,12 +139,10 @@ def _decode_query(kind):
         )
 
     values = ", ".join(
-        f"((event_id + {at}) % 100){' / 4.0' if real else ''} AS {name}"
-        for name, (_, at, real) in columns.items()
+        f"CAST((event_id + {at}) % 100 AS {kind_of}){' / 4' if kind_of == 'DOUBLE' else ''} AS {name}"
+        for name, (_, at, kind_of) in columns.items()
     )
-    reals = [name for name, (_, _, real) in columns.items() if real]
-    cast = f" REPLACE ({', '.join(f'CAST({r} AS DOUBLE) AS {r}' for r in reals)})" if reals else ""
-    return run, f"{_EVENTS} SELECT *{cast} FROM (SELECT event_id, session_uid, {values} FROM d)"
+    return run, f"{_EVENTS} SELECT event_id, session_uid, {values} FROM d"
 
 
 for _kind in FIELDS:
@@ -184,7 +182,8 @@ def decode_header(spark, sf_dir):
     "decode_event",
     _EVENTS
     + """
-SELECT event_id, session_uid, event_id % 100 AS first_code, (event_id + 9) % 100 AS lap_num,
+SELECT event_id, session_uid, CAST(event_id % 100 AS INT) AS first_code,
+       CAST((event_id + 9) % 100 AS INT) AS lap_num,
        (event_id + 4) % 100 + (event_id + 5) % 100 * 256 + (event_id + 6) % 100 * 65536
          + (event_id + 7) % 100 * 16777216 AS button_status
 FROM d
@@ -249,7 +248,7 @@ def datagram_rejects(spark, sf_dir):
 @query(
     "datagram_guard",
     _EVENTS
-    + """SELECT event_id, (event_id + p * 31) % 100 AS speed FROM d
+    + """SELECT event_id, CAST((event_id + p * 31) % 100 AS INT) AS speed FROM d
          WHERE event_type IN ('click', 'purchase')""",
 )
 def datagram_guard(spark, sf_dir):
@@ -362,7 +361,7 @@ def first_packet_per_kind(spark, sf_dir):
 @query(
     "datagram_speed_window",
     _EVENTS
-    + f""", s AS (SELECT ts, session_uid, value, (event_id + p * 31) % 100 AS speed FROM d)
+    + f""", s AS (SELECT ts, session_uid, value, CAST((event_id + p * 31) % 100 AS INT) AS speed FROM d)
 SELECT {sql.window_columns(3600)}, session_uid,
        CAST(max(CAST(value AS FLOAT)) AS DOUBLE) AS session_time,
        {sql.exact_avg("speed")} AS avg_speed, min(speed) AS min_speed, max(speed) AS max_speed,

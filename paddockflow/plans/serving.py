@@ -51,7 +51,7 @@ def first_seen(spark, sf_dir):
 def _last_n(n: int) -> str:
     return f"""
 SELECT event_id, ts, user_id, event_type, value,
-       row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS recency
+       CAST(row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS INT) AS recency
 FROM events QUALIFY recency <= {n}
 """
 
@@ -71,7 +71,7 @@ def chart_last_20(spark, sf_dir):
     """
 WITH c AS (SELECT TIMESTAMP '2024-01-20 00:00:00' AS now),
 r AS (SELECT event_id, ts, user_id, event_type, value,
-             row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS recency
+             CAST(row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS INT) AS recency
       FROM events)
 SELECT r.* FROM r, c
 WHERE recency <= 400 AND ts >= now - INTERVAL 10 DAY AND ts <= now + INTERVAL 5 DAY
