@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paddockflow import schemas, scratch
-from paddockflow.plans import feeds, sql
+from paddockflow.operators import envelope, serve
+from paddockflow.plans import batch, feeds, sql
 from paddockflow.plans.batch import LOBBY_SQL, PARTICIPANTS_SQL, plain, query
 from paddockflow.sources import warehouse
 from paddockflow.streaming import pipeline
@@ -29,6 +30,11 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return by_session(feeds.event_columns(_stream(spark, sf_dir, "events")))
 
 
+def _name(root: str) -> str:
+    """Query name of a run; queries that are active together need different ones."""
+    return root.rsplit("/", 1)[1]
+
+
 def by_session(rows: DataFrame) -> DataFrame:
     return rows.withColumn("user_id", F.col("k").cast("bigint"))
 
@@ -37,7 +43,7 @@ def _telemetry(spark, sf_dir, **options) -> str:
     root = scratch.new_folder(spark, "telemetry")
     records = feeds.telemetry_records(event_stream(spark, sf_dir))
     pipeline.start_telemetry(
-        records, f"{root}/wh", f"{root}/cp", width="1 hour", trigger=NOW, **options
+        records, f"{root}/wh", f"{root}/cp", width="1 hour", trigger=NOW, name=_name(root), **options
     ).awaitTermination()
     return root
 
@@ -122,7 +128,7 @@ def stream_lap_table(spark, sf_dir):
     root = scratch.new_folder(spark, "lap")
     records = feeds.lap_records(event_stream(spark, sf_dir))
     pipeline.start_laps(
-        records, f"{root}/wh", f"{root}/cp", width="1 hour", trigger=NOW
+        records, f"{root}/wh", f"{root}/cp", width="1 hour", trigger=NOW, name=_name(root)
     ).awaitTermination()
     return plain(warehouse.read(spark, f"{root}/wh", "lap"))
 
@@ -131,7 +137,7 @@ def stream_lap_table(spark, sf_dir):
 def stream_participants_table(spark, sf_dir):
     root = scratch.new_folder(spark, "participants")
     records = feeds.part_records(_stream(spark, sf_dir, "part"))
-    pipeline.start_participants(records, f"{root}/wh", f"{root}/cp", trigger=NOW).awaitTermination()
+    pipeline.start_participants(records, f"{root}/wh", f"{root}/cp", trigger=NOW, name=_name(root)).awaitTermination()
     return plain(warehouse.read(spark, f"{root}/wh", "participants"))
 
 
@@ -139,7 +145,7 @@ def stream_participants_table(spark, sf_dir):
 def stream_lobby_table(spark, sf_dir):
     root = scratch.new_folder(spark, "lobby")
     records = feeds.customer_records(_stream(spark, sf_dir, "customer"))
-    pipeline.start_lobby(records, f"{root}/wh", f"{root}/cp", trigger=NOW).awaitTermination()
+    pipeline.start_lobby(records, f"{root}/wh", f"{root}/cp", trigger=NOW, name=_name(root)).awaitTermination()
     return plain(warehouse.read(spark, f"{root}/wh", "lobby_info"))
 
 
@@ -155,7 +161,7 @@ FROM customer
 def stream_packet_spans(spark, sf_dir):
     root = scratch.new_folder(spark, "lobby-spans")
     records = feeds.customer_records(_stream(spark, sf_dir, "customer"))
-    pipeline.start_lobby(records, f"{root}/wh", f"{root}/cp", trigger=NOW).awaitTermination()
+    pipeline.start_lobby(records, f"{root}/wh", f"{root}/cp", trigger=NOW, name=_name(root)).awaitTermination()
     rows = spark.read.parquet(f"{root}/wh/{pipeline.PACKET_SPANS}/lobby_info")
     return rows.drop(warehouse.BATCH)
 
@@ -200,6 +206,7 @@ def stream_late_rows(spark, sf_dir):
         pipeline.start_telemetry(
             feeds.telemetry_records(by_session(feeds.event_columns(arrived))),
             f"{root}/wh", f"{root}/cp", width="6 hours", delay=f"{DELAY_DAYS} days", trigger=NOW,
+            name=_name(root),
         ).awaitTermination()
     return plain(warehouse.read(spark, f"{root}/wh", "speed_aggregation"))
 
@@ -212,6 +219,7 @@ def stream_rerun(spark, sf_dir):
         pipeline.start_laps(
             feeds.lap_records(event_stream(spark, sf_dir)),
             f"{root}/wh", f"{root}/cp", width="1 hour", trigger=NOW,
+            name=_name(root),
         ).awaitTermination()
     return plain(warehouse.read(spark, f"{root}/wh", "lap"))
 
@@ -222,8 +230,6 @@ def stream_rerun(spark, sf_dir):
 )
 def stream_first_seen(spark, sf_dir):
     """Kinds seen so far, kept up to date by a stream."""
-    from paddockflow.operators import serve
-
     root = scratch.new_folder(spark, "seen")
 
     def replace(rows, _batch_id):
@@ -237,12 +243,27 @@ def stream_first_seen(spark, sf_dir):
     return spark.read.parquet(f"{root}/seen")
 
 
+@query("stream_feed_merge", batch.ORACLES["feed_merge"])
+def stream_feed_merge(spark, sf_dir):
+    """Two aggregate feeds, checked and merged into one stream of messages."""
+    root = scratch.new_folder(spark, "merge")
+    rows = feeds.event_columns(_stream(spark, sf_dir, "events"))
+    merged = envelope.merge_feeds(
+        feeds.aggregate_records(rows, "speed"), feeds.aggregate_records(rows, "rpm")
+    )
+    (
+        merged.writeStream.format("parquet").option("path", f"{root}/out")
+        .option("checkpointLocation", f"{root}/cp").trigger(**NOW).start().awaitTermination()
+    )
+    return spark.read.schema("type STRING, message STRING").parquet(f"{root}/out")
+
+
 @query("warehouse_scan", f"{PARTICIPANTS_SQL} FROM part")
 def warehouse_scan(spark, sf_dir):
     """Tables declared over a warehouse folder show what a sink wrote there."""
     root = scratch.new_folder(spark, "warehouse")
     records = feeds.part_records(_stream(spark, sf_dir, "part"))
-    pipeline.start_participants(records, f"{root}/wh", f"{root}/cp", trigger=NOW).awaitTermination()
+    pipeline.start_participants(records, f"{root}/wh", f"{root}/cp", trigger=NOW, name=_name(root)).awaitTermination()
     database = "wh_" + root.rsplit("-", 1)[1]
     spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/db'")
     for _ in range(2):
