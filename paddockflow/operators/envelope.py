@@ -34,11 +34,13 @@ def packet_records(
     trace_id: Column,
     span_id: Column,
     keep: Sequence[str] = (),
+    topics: dict[str, str] | None = None,
 ) -> DataFrame:
     """Decoded datagrams as keyed JSON records with their trace parent header.
 
     Decode with ``nan_as_null``, since JSON has no NaN.  The session id is written
-    unsigned, as it was on the wire.
+    unsigned, as it was on the wire.  ``topics`` names a topic per kind, for sinks
+    that take all kinds in one write.
     """
 
     def json_of(kind: str) -> Column:
@@ -47,11 +49,16 @@ def packet_records(
         return F.when(F.col(kind).isNotNull(), F.to_json(packet))
 
     uid = F.coalesce(*[F.col(f"{kind}.m_header.m_session_uid") for kind in kinds])
+    topic = F.coalesce(
+        *[F.when(F.col("packet_kind") == kind, name) for kind, name in (topics or {}).items()],
+        F.lit(None).cast("string"),
+    )
     return decoded.where(F.col("packet_kind").isin(*kinds)).select(
         "packet_kind",
         ids.packet_key(uid).alias("key"),
         F.coalesce(*[json_of(kind) for kind in kinds]).alias("value"),
         traces.to_headers(traces.make(trace_id, span_id)).alias("headers"),
+        *([topic.alias("topic")] if topics else []),
         *keep,
     )
 

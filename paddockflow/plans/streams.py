@@ -13,7 +13,7 @@ from paddockflow import schemas, scratch
 from paddockflow.operators import envelope, serve
 from paddockflow.plans import batch, feeds, sql
 from paddockflow.plans.batch import LOBBY_SQL, PARTICIPANTS_SQL, plain, query
-from paddockflow.sources import warehouse
+from paddockflow.sources import records, warehouse
 from paddockflow.streaming import pipeline
 from paddockflow.streaming.sinks import FeedSink
 
@@ -41,9 +41,9 @@ def by_session(rows: DataFrame) -> DataFrame:
 
 def _telemetry(spark, sf_dir, **options) -> str:
     root = scratch.new_folder(spark, "telemetry")
-    records = feeds.telemetry_records(event_stream(spark, sf_dir))
     pipeline.start_telemetry(
-        records, f"{root}/wh", f"{root}/cp", width="1 hour", trigger=NOW, name=_name(root), **options
+        feeds.telemetry_records(event_stream(spark, sf_dir)),
+        f"{root}/wh", f"{root}/cp", width="1 hour", trigger=NOW, name=_name(root), **options
     ).awaitTermination()
     return root
 
@@ -126,9 +126,9 @@ def stream_window_links(spark, sf_dir):
 @query("stream_lap_table", sql.SESSION_PACKETS + _closed(sql.lap_windows(HOUR)))
 def stream_lap_table(spark, sf_dir):
     root = scratch.new_folder(spark, "lap")
-    records = feeds.lap_records(event_stream(spark, sf_dir))
     pipeline.start_laps(
-        records, f"{root}/wh", f"{root}/cp", width="1 hour", trigger=NOW, name=_name(root)
+        feeds.lap_records(event_stream(spark, sf_dir)),
+        f"{root}/wh", f"{root}/cp", width="1 hour", trigger=NOW, name=_name(root)
     ).awaitTermination()
     return plain(warehouse.read(spark, f"{root}/wh", "lap"))
 
@@ -136,16 +136,20 @@ def stream_lap_table(spark, sf_dir):
 @query("stream_participants_table", f"{PARTICIPANTS_SQL} FROM part")
 def stream_participants_table(spark, sf_dir):
     root = scratch.new_folder(spark, "participants")
-    records = feeds.part_records(_stream(spark, sf_dir, "part"))
-    pipeline.start_participants(records, f"{root}/wh", f"{root}/cp", trigger=NOW, name=_name(root)).awaitTermination()
+    packets = feeds.part_records(_stream(spark, sf_dir, "part"))
+    pipeline.start_participants(
+        packets, f"{root}/wh", f"{root}/cp", trigger=NOW, name=_name(root)
+    ).awaitTermination()
     return plain(warehouse.read(spark, f"{root}/wh", "participants"))
 
 
 @query("stream_lobby_table", f"{LOBBY_SQL} FROM customer")
 def stream_lobby_table(spark, sf_dir):
     root = scratch.new_folder(spark, "lobby")
-    records = feeds.customer_records(_stream(spark, sf_dir, "customer"))
-    pipeline.start_lobby(records, f"{root}/wh", f"{root}/cp", trigger=NOW, name=_name(root)).awaitTermination()
+    packets = feeds.customer_records(_stream(spark, sf_dir, "customer"))
+    pipeline.start_lobby(
+        packets, f"{root}/wh", f"{root}/cp", trigger=NOW, name=_name(root)
+    ).awaitTermination()
     return plain(warehouse.read(spark, f"{root}/wh", "lobby_info"))
 
 
@@ -160,8 +164,10 @@ FROM customer
 )
 def stream_packet_spans(spark, sf_dir):
     root = scratch.new_folder(spark, "lobby-spans")
-    records = feeds.customer_records(_stream(spark, sf_dir, "customer"))
-    pipeline.start_lobby(records, f"{root}/wh", f"{root}/cp", trigger=NOW, name=_name(root)).awaitTermination()
+    packets = feeds.customer_records(_stream(spark, sf_dir, "customer"))
+    pipeline.start_lobby(
+        packets, f"{root}/wh", f"{root}/cp", trigger=NOW, name=_name(root)
+    ).awaitTermination()
     rows = spark.read.parquet(f"{root}/wh/{pipeline.PACKET_SPANS}/lobby_info")
     return rows.drop(warehouse.BATCH)
 
@@ -258,12 +264,41 @@ def stream_feed_merge(spark, sf_dir):
     return spark.read.schema("type STRING, message STRING").parquet(f"{root}/out")
 
 
+@query(
+    "stream_datagram_chain",
+    sql.SESSION_PACKETS.replace("CAST(floor(value) AS INT) + car", "CAST((event_id + car * 31) % 100 AS INT)")
+    .replace("AND k < 10", "AND k < 0")
+    + _closed(sql.telemetry_windows(HOUR, ["speed"])),
+)
+def stream_datagram_chain(spark, sf_dir):
+    """Two jobs in line: datagrams to a record feed, and that feed to the speed table."""
+    root = scratch.new_folder(spark, "chain")
+    number = F.col("event_id").cast("string")
+    pipeline.start_publish(
+        feeds.datagrams(event_stream(spark, sf_dir), "car_telemetry"),
+        FeedSink("parquet", {"path": f"{root}/records"}),
+        f"{root}/cp",
+        F.md5(number),
+        F.substring(F.md5(F.concat(F.lit("s"), number)), 1, 16),
+        keep=["timestamp"],
+        trigger=NOW,
+        name=f"publish-{_name(root)}",
+    ).awaitTermination()
+    published = records.stream(spark, "parquet", path=f"{root}/records")
+    pipeline.start_telemetry(
+        published, f"{root}/wh", f"{root}/cp", width="1 hour", trigger=NOW, name=_name(root)
+    ).awaitTermination()
+    return plain(warehouse.read(spark, f"{root}/wh", "speed_aggregation"))
+
+
 @query("warehouse_scan", f"{PARTICIPANTS_SQL} FROM part")
 def warehouse_scan(spark, sf_dir):
     """Tables declared over a warehouse folder show what a sink wrote there."""
     root = scratch.new_folder(spark, "warehouse")
-    records = feeds.part_records(_stream(spark, sf_dir, "part"))
-    pipeline.start_participants(records, f"{root}/wh", f"{root}/cp", trigger=NOW, name=_name(root)).awaitTermination()
+    packets = feeds.part_records(_stream(spark, sf_dir, "part"))
+    pipeline.start_participants(
+        packets, f"{root}/wh", f"{root}/cp", trigger=NOW, name=_name(root)
+    ).awaitTermination()
     database = "wh_" + root.rsplit("-", 1)[1]
     spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/db'")
     for _ in range(2):

@@ -6,11 +6,15 @@ windows.  Each query needs its own checkpoint folder on shared storage.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from paddockflow import schemas
-from paddockflow.operators import envelope, lineage, project, windows
+from paddockflow.operators import decode, envelope, lineage, project, windows
+from paddockflow.sources import layouts
 from paddockflow.streaming.sinks import FeedSink, append_lineage, append_table, held, kept
 
 # Fixed value: trigger of the two dimension queries.
@@ -138,6 +142,35 @@ def start_lobby(
     )
 
 
+def start_publish(
+    datagrams: DataFrame,
+    feed: FeedSink,
+    checkpoints: str,
+    trace_id: Column,
+    span_id: Column,
+    topics: dict[str, str] | None = None,
+    keep: Sequence[str] = (),
+    trigger: dict | None = None,
+    name: str = "publish",
+) -> StreamingQuery:
+    """Captured datagrams to keyed JSON records of the published kinds.
+
+    ``trace_id`` and ``span_id`` are expressions over the datagram's columns.  They
+    should depend on the datagram alone, so that a replayed batch keeps its traces.
+    """
+    kinds = list(layouts.PUBLISHED)
+    traced = datagrams.withColumns({"_trace_id": trace_id, "_span_id": span_id})
+    decoded = decode.decode(traced, kinds, keep=[*keep, "_trace_id", "_span_id"], nan_as_null=True)
+    records = envelope.packet_records(
+        decoded, kinds, F.col("_trace_id"), F.col("_span_id"), keep=keep, topics=topics
+    )
+
+    def write(batch_rows: DataFrame, batch: str) -> None:
+        feed.write(batch_rows, batch)
+
+    return _start(records, name, write, checkpoints, trigger)
+
+
 def start_all(
     sources: dict[str, DataFrame],
     warehouse: str,

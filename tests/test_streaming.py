@@ -146,3 +146,38 @@ def test_tables_are_declared_once(spark):
         tables = warehouse.create_tables(spark, f"{root}/wh", "declared")
     assert len(tables) == 5
     assert spark.table("declared.lap").columns[-2:] == ["session_uid", "batch"]
+
+
+def test_publish_routes_kinds_to_topics(spark):
+    from pyspark.sql import functions as F
+
+    from paddockflow.sources import layouts
+    from test_decode import payload
+
+    root = scratch.new_folder(spark, "t")
+    kinds = ("car_telemetry", "lap", "lobby_info", "participants", "motion")
+    captured = [(n, payload(kind, n), at(n)) for n, kind in enumerate(kinds)] + [(9, b"short", at(9))]
+    rows = spark.createDataFrame(captured, "n int, payload binary, timestamp timestamp")
+    rows.write.parquet(f"{root}/in")
+    stream = spark.readStream.schema(rows.schema).parquet(f"{root}/in")
+    number = F.col("n").cast("string")
+    pipeline.start_publish(
+        stream, sinks.FeedSink("parquet", {"path": f"{root}/out"}), f"{root}/cp",
+        F.lpad(number, 32, "0"), F.lpad(number, 16, "0"),
+        topics={kind: f"topic-{kind}" for kind in layouts.PUBLISHED}, keep=["timestamp"], trigger=NOW,
+    ).awaitTermination()
+    out = spark.read.parquet(f"{root}/out").collect()
+    assert {r["topic"] for r in out} == {f"topic-{kind}" for kind in layouts.PUBLISHED}
+    assert len(out) == 4 and all(r["key"].startswith("session_") for r in out)
+    assert {bytes(r["headers"][0]["value"]).decode() for r in out} == {trace(n) for n in range(4)}
+
+
+def test_arrival_clock_streams(spark):
+    root = scratch.new_folder(spark, "t")
+    land(spark, f"{root}/in", [record(telemetry([s]), s) for s in (1, 2)])
+    run(spark, root, clock="arrival")
+    land(spark, f"{root}/in", [record(telemetry([3]), 3)])
+    run(spark, root, clock="arrival")
+    # both rows of the first load arrived together and so share a window
+    rows = warehouse.read(spark, f"{root}/wh", "speed_aggregation").collect()
+    assert [(r["sample_count"], r["avg_speed"]) for r in rows][0] == (2, 1.5)
