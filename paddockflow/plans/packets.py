@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from paddockflow import schemas
+from paddockflow.functions import traces
 from paddockflow.operators import decode, envelope, lineage, project, serve, windows
 from paddockflow.plans import feeds, sql
 from paddockflow.plans.batch import ORACLES, QUERIES, plain, query
@@ -301,29 +302,31 @@ FROM d WHERE event_type <> 'error'
 """,
 )
 def publish_records(spark, sf_dir):
-    """Datagrams of all sorts to keyed JSON, read back with JSON paths."""
-    from paddockflow.functions import traces
-
+    """Datagrams of all sorts to keyed JSON, and values read back out of the text."""
     kinds = list(layouts.PUBLISHED)
     decoded = decode.decode(_published_kinds(spark, sf_dir), kinds, keep=["event_id"], nan_as_null=True)
     number = F.col("event_id").cast("string")
     span = F.substring(F.md5(F.concat(F.lit("s"), number)), 1, 16)
     records = envelope.packet_records(decoded, kinds, F.md5(number), span)
 
-    def at(path):
-        return F.get_json_object("value", path)
-
-    last = F.coalesce(
-        at("$.m_car_telemetry_data[21].m_speed"), at("$.m_lap_data[21].m_car_position"),
-        at("$.m_lobby_players[21].m_ready_status"), at("$.m_participants[21].m_race_number"),
-    )
+    paths = {
+        "car_telemetry": "$.m_car_telemetry_data[21].m_speed",
+        "lap": "$.m_lap_data[21].m_car_position",
+        "lobby_info": "$.m_lobby_players[21].m_ready_status",
+        "participants": "$.m_participants[21].m_race_number",
+    }
+    path = F.coalesce(*[F.when(F.col("packet_kind") == kind, at) for kind, at in paths.items()])
+    header = "m_header STRUCT<m_session_uid: DECIMAL(20,0), m_frame_identifier: BIGINT>"
     return records.select(
+        "packet_kind", "key", "headers", "value", path.alias("path"),
+        F.from_json("value", header)["m_header"].alias("header"),
+    ).select(
         "packet_kind",
         "key",
-        at("$.m_header.m_session_uid").alias("uid_text"),
-        at("$.m_header.m_frame_identifier").cast("bigint").alias("frame"),
+        F.col("header.m_session_uid").cast("string").alias("uid_text"),
+        F.col("header.m_frame_identifier").alias("frame"),
         traces.from_headers(F.col("headers")).alias("traceparent"),
-        last.cast("bigint").alias("last_car_value"),
+        F.expr("get_json_object(value, path)").cast("bigint").alias("last_car_value"),
     )
 
 

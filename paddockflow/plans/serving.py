@@ -69,20 +69,20 @@ def chart_last_20(spark, sf_dir):
 @query(
     "chart_window",
     """
-WITH c AS (SELECT TIMESTAMP '2024-01-20 00:00:00' AS now),
+WITH c AS (SELECT TIMESTAMP '2024-01-29 12:00:00' AS now),
 r AS (SELECT event_id, ts, user_id, event_type, value,
              CAST(row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS INT) AS recency
       FROM events)
 SELECT r.* FROM r, c
-WHERE recency <= 400 AND ts >= now - INTERVAL 10 DAY AND ts <= now + INTERVAL 5 DAY
+WHERE recency <= 400 AND ts >= now - INTERVAL 3 DAY AND ts <= now + INTERVAL 6 HOUR
 """,
 )
 def chart_window(spark, sf_dir):
     """The chart's bounds, scaled up to the sparse event table."""
-    day = 86400
+    hour = 3600
     return serve.chart_rows(
         _events(spark, sf_dir), "event_type", ["ts", "event_id"],
-        F.to_timestamp_ntz(F.lit("2024-01-20 00:00:00")), n=400, seconds=10 * day, lead=5 * day,
+        F.to_timestamp_ntz(F.lit("2024-01-29 12:00:00")), n=400, seconds=72 * hour, lead=6 * hour,
     )
 
 
