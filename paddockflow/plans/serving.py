@@ -69,7 +69,7 @@ def chart_last_20(spark, sf_dir):
 @query(
     "chart_window",
     """
-WITH c AS (SELECT TIMESTAMP '2024-01-29 12:00:00' AS now),
+WITH c AS (SELECT TIMESTAMP '2024-01-30 12:00:00' AS now),
 r AS (SELECT event_id, ts, user_id, event_type, value,
              CAST(row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS INT) AS recency
       FROM events)
@@ -82,7 +82,7 @@ def chart_window(spark, sf_dir):
     hour = 3600
     return serve.chart_rows(
         _events(spark, sf_dir), "event_type", ["ts", "event_id"],
-        F.to_timestamp_ntz(F.lit("2024-01-29 12:00:00")), n=400, seconds=72 * hour, lead=6 * hour,
+        F.to_timestamp_ntz(F.lit("2024-01-30 12:00:00")), n=400, seconds=72 * hour, lead=6 * hour,
     )
 
 
