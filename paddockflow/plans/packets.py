@@ -6,6 +6,8 @@ so the check SQL states for each field the number it must be found at.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from paddockflow import schemas
@@ -115,8 +117,6 @@ def _datagrams(spark, sf_dir, kind):
 
 def _wire_names(expressions) -> list[str]:
     """Packet fields that the expressions read, innermost ones for car structs."""
-    import re
-
     names = {"m_header"}
     for text in expressions:
         found = re.findall(r"m_\w+", text)
