@@ -57,37 +57,60 @@ def failed_line(
     return (line.rlike(_ODD) & dense) | _boilerplate(line, boilerplate_chars)
 
 
+_PLACE_BITS = 24
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _repeated_places(order: Column, same) -> Column:
+    """Entries of a sorted array that have a neighbour which is the same."""
+    return F.filter(
+        order,
+        lambda x, k: ((k > 0) & same(F.get(order, k - 1), x)) | same(F.get(order, k + 1), x).eqNullSafe(True),
+    )
+
+
 def _repeats(words: Column, hashes: Column) -> Column:
     """Words in 3-word windows that occur twice or more, each word counted once."""
-    windows = F.transform(
-        F.sequence(F.lit(0), F.size(words) - 3),
-        lambda i: F.struct(
-            F.concat_ws(" ", words[i], words[i + 1], words[i + 2]).alias("w"), i.alias("i")
-        ),
+    mask = (1 << _PLACE_BITS) - 1
+    place = lambda x: x.bitwiseAND(F.lit(mask)).cast("int")
+    head = lambda x: F.shiftright(x, _PLACE_BITS)
+    window = lambda i: F.concat_ws(" ", words[i], words[i + 1], words[i + 2])
+
+    # sort numbers that hold a part of the hash and the place; equal parts become neighbours
+    keys = F.sort_array(F.transform(hashes, lambda h, i: h.bitwiseAND(F.lit(~mask)).bitwiseOR(i.cast("long"))))
+    by_hash = _let(keys, lambda a: _repeated_places(a, lambda x, y: head(x) == head(y)))
+    # the same from the words themselves, for documents where different windows share a part
+    texts = F.sort_array(
+        F.transform(hashes, lambda h, i: F.struct(window(i).alias("w"), i.alias("i")))
+    )
+    by_words = F.transform(
+        _let(texts, lambda a: _repeated_places(a, lambda x, y: x["w"] == y["w"])), lambda x: x["i"]
+    )
+    places = _let(
+        by_hash,
+        lambda found: F.when(
+            (F.size(hashes) <= mask)
+            & ~F.exists(
+                F.sequence(F.lit(0), F.size(found)),
+                lambda k: ((head(F.get(found, k)) == head(F.get(found, k + 1)))
+                           & (window(place(F.get(found, k))) != window(place(F.get(found, k + 1)))))
+                .eqNullSafe(True),
+            ),
+            F.transform(found, place),
+        ).otherwise(by_words),
     )
-    # sorted by words, then place: an equal neighbour on either side marks a repeat
-    ordered = F.sort_array(windows)
-    places = F.transform(
-        F.array(ordered),
-        lambda a: F.sort_array(
-            F.transform(
-                F.filter(
-                    F.sequence(F.lit(0), F.size(a) - 1),
-                    lambda k: ((k > 0) & (F.get(a, k - 1)["w"] == F.get(a, k)["w"]))
-                    | (F.get(a, k + 1)["w"] == F.get(a, k)["w"]).eqNullSafe(True),
-                ),
-                lambda k: F.get(a, k)["i"],
-            )
-        ),
-    )[0]
     # union of the stretches [place, place + 3)
     covered = F.aggregate(
-        places,
+        F.sort_array(places),
         F.struct(F.lit(0).alias("n"), F.lit(-3).alias("last")),
         lambda s, p: F.struct((s["n"] + F.least(F.lit(3), p - s["last"])).alias("n"), p.alias("last")),
         lambda s: s["n"],
     )
-    several = (F.size(words) > 3) & (F.size(F.array_distinct(hashes)) < F.size(hashes))
+    several = F.size(F.array_distinct(hashes)) < F.size(hashes)
     return F.when(several, covered).otherwise(0).cast("long")
 
 
@@ -120,8 +143,8 @@ def measured(docs: DataFrame, text: str = "text", min_words: int = 50, max_repea
     ).withColumn("worded", F.filter(lines, lambda line: line.rlike("[^\\x20\\x09-\\x0D]")))
     failed = F.col("failed")
     bad = F.exists(failed, lambda f: f)
-    step = step.select(
-        "row",
+    # generated, so that no later filter is pushed below and computes the measures once more
+    step = step.select("row", F.inline(F.array(F.struct(
         F.size(words).cast("long").alias("n_words"),
         F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
         F.when(F.col("odd"), _count(F.col("whole"), SYMBOLS)).otherwise(0).cast("long").alias("n_symbols"),
@@ -131,7 +154,7 @@ def measured(docs: DataFrame, text: str = "text", min_words: int = 50, max_repea
         .otherwise(0).cast("long").alias("n_failed_chars"),
         F.when(F.col("row")[text].isNotNull(), F.when(~bad, F.col("whole")).otherwise(
             F.array_join(F.filter(lines, lambda line, i: ~F.get(failed, i)), "\n"))).alias("clean_text"),
-    )
+    ))))
     step = step.withColumn(
         "base_failed",
         (F.col("n_words") < min_words) | (F.col("n_repeat_words") * 100 > F.col("n_words") * max_repeat_pct),
