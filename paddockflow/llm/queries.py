@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paddockflow.llm import quality, simhash
+from paddockflow.llm import bpe, langid, packing, quality, simhash, toxicity
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -92,3 +93,36 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("row.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
         "n_repeat_words", "base_failed", "kept", "n_failed_chars",
     )
+
+
+@_query("op3_best_fit_packing")
+def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token pieces in sequences of at most 4096 tokens."""
+    return packing.packed(table(spark, sf_dir, "documents"), tokenizers.path("word_bpe_49k.json"), 4096, 1)
+
+
+@_query("op4_language_id")
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    docs = table(spark, sf_dir, "documents")
+    told = langid.identified(docs.select("doc_id", "text"), langid.train(docs))
+    return told.select("row.doc_id", "lang_pred", "score").select(
+        "doc_id", langid.held_out().alias("held_out"), "lang_pred", "score"
+    )
+
+
+@_query("op8_byte_bpe_round_trip")
+def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids of every document and of the bytes decoded from them."""
+    path = tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.encoded(table(spark, sf_dir, "documents"), path, tokenizers.PATTERN, digest=True)
+
+
+@_query("op9_toxicity")
+def toxic_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = table(spark, sf_dir, "documents")
+    machine = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.scored(docs, machine).select(
+        "doc_id", langid.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
