@@ -6,7 +6,7 @@ import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paddockflow.llm import bpe, langid, packing, quality, simhash, toxicity
+from paddockflow.llm import bpe, langid, licenses, packing, quality, simhash, topk, toxicity
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -126,3 +126,77 @@ def toxic_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, machine).select(
         "doc_id", langid.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
     )
+
+
+TOP_K_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+),
+s AS (
+  SELECT a.vec_id AS query_id, b.vec_id,
+         CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)
+),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
+@_query("op7_bit_sliced_top_k", TOP_K_SQL)
+def bit_sliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest inner products for every twentieth vector."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), every=20, k=20, scale=64)
+
+
+def _phrase_sql(position: int, phrase: str, label: str) -> str:
+    words = phrase.split()
+    leads = " AND ".join(
+        f"{'w' if k == 0 else f'lead(w, {k}) OVER o'} = '{word}'" for k, word in enumerate(words)
+    )
+    return f"SELECT r, i, '{label}' AS label, {leads} AS hit FROM u WINDOW o AS (PARTITION BY r ORDER BY i)"
+
+
+LICENSES_SQL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, text,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+),
+u AS (SELECT r, unnest(words) AS w, unnest(range(len(words))) AS i FROM d),
+h AS ({" UNION ALL ".join(_phrase_sql(i, p, x) for i, (p, x) in enumerate(licenses.PHRASES))}),
+b AS (
+  SELECT r, count(*) AS n, min(i) AS lo, max(i) AS hi, list_sort(list(DISTINCT label)) AS names
+  FROM h WHERE hit GROUP BY r
+),
+t(label, words) AS (
+  VALUES {", ".join(f"('{x}', {words!r})" for x, words in licenses.template_words(licenses.TEMPLATES))}
+),
+l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d),
+k AS (
+  SELECT doc_id, list_distinct(regexp_extract_all(
+           translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS words
+  FROM l
+),
+c AS (SELECT doc_id, label, len(list_intersect(k.words, t.words)) / len(t.words) AS held, len(t.words) AS n FROM k, t),
+m AS (
+  SELECT doc_id, list(DISTINCT label) AS more, max(held) AS most FROM c
+  WHERE held * n >= ceil(0.9 * n - 1e-9) - 1e-6 GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_base,
+       CAST(lo AS BIGINT) AS first_word, CAST(hi AS BIGINT) AS last_word,
+       coalesce(array_to_string(names, ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(names, []), coalesce(more, [])))), ','), '') AS labels,
+       CASE WHEN n > 0 THEN 1.0 ELSE coalesce(most, 0.0) END AS score
+FROM d LEFT JOIN b USING (r) LEFT JOIN m ON m.doc_id = d.doc_id
+"""
+
+
+@_query("op10_license_scan", LICENSES_SQL)
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base phrases and template labels of every document."""
+    return licenses.scanned(table(spark, sf_dir, "documents"))
