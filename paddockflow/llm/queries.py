@@ -6,7 +6,7 @@ import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paddockflow.llm import bpe, langid, licenses, packing, quality, simhash, topk, toxicity
+from paddockflow.llm import bpe, langid, licenses, lines, packing, quality, simhash, topk, toxicity
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -200,3 +200,13 @@ FROM d LEFT JOIN b USING (r) LEFT JOIN m ON m.doc_id = d.doc_id
 def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base phrases and template labels of every document."""
     return licenses.scanned(table(spark, sf_dir, "documents"))
+
+
+@_query("op6_line_dedup")
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the later copies of runs of 50 words or more."""
+    done = lines.deduplicated(table(spark, sf_dir, "documents"), min_words=50)
+    return done.select(
+        F.col("row.doc_id").alias("doc_id"), "n_lines", F.size("removed").cast("long").alias("n_removed"),
+        "removed", F.col("clean_text").alias("text"),
+    )
