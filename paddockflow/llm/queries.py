@@ -6,7 +6,7 @@ import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paddockflow.llm import bpe, langid, licenses, lines, packing, quality, simhash, topk, toxicity
+from paddockflow.llm import bpe, html_text, langid, licenses, lines, packing, quality, simhash, topk, toxicity
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -210,3 +210,12 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("row.doc_id").alias("doc_id"), "n_lines", F.size("removed").cast("long").alias("n_removed"),
         "removed", F.col("clean_text").alias("text"),
     )
+
+
+@_query("op5_html_extraction")
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    told = html_text.extracted(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return told.select(
+        "row.page_id", "row.url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars")
+    )
