@@ -74,29 +74,43 @@ def feed_records(aggregates: DataFrame) -> DataFrame:
     )
 
 
+# Only what JSON itself allows.
+_STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+
+
 def _sound(feed: str) -> Column:
     """The parsed record in an array, which is empty when the record is not valid.
 
-    A record is valid when its text is UTF-8 JSON and all eight fields are there
-    with their types; other fields are ignored.  Filtering the parsed struct inside
-    an array lets every check share one parse.
+    A record is valid when its text is UTF-8 and one JSON object with nothing after it, and
+    all eight fields are there once, with their types and finite; other fields are ignored.
+    Filtering the parsed struct inside an array lets every check share one parse.
     """
     text = F.col("value").cast("string")
+    fields = columns(FEEDS[feed])
+    names = [name for name, _ in fields]
+    # text fields are read as they stand, since the parser would turn a number into text
+    schema = ", ".join(f"{name} {'VARIANT' if kind == 'STRING' else kind}" for name, kind in fields)
 
-    def usable(data: Column, name: str, kind: str) -> Column:
-        value = data[name]
+    def usable(value: Column, kind: str) -> Column:
         if kind == "STRING":
-            # the parser would also turn a number into text
-            return value.isNotNull() & text.rlike(rf'"{name}"\s*:\s*"')
+            return F.schema_of_variant(value) == "STRING"
         if kind in ("FLOAT", "DOUBLE"):
-            return value.isNotNull() & ~F.isnan(value)
+            return value.isNotNull() & ~F.isnan(value) & (F.abs(value) != float("inf"))
         return value.isNotNull()
 
     def valid(data: Column) -> Column:
-        checks = [usable(data, name, kind) for name, kind in columns(FEEDS[feed])]
-        return reduce(lambda a, b: a & b, [F.is_valid_utf8(text), *checks])
+        alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+        keys = F.filter(F.json_object_keys(text), lambda key: key.isin(*names))
+        checks = [usable(data[name], kind) for name, kind in fields]
+        return reduce(lambda a, b: a & b, [F.is_valid_utf8(text), *checks, alone, F.size(keys) == len(names)])
+
+    def typed(data: Column) -> Column:
+        return F.struct(*[
+            (F.variant_get(data[name], "$", "string") if kind == "STRING" else data[name]).alias(name)
+            for name, kind in fields
+        ])
 
-    return F.filter(F.array(F.from_json(text, FEEDS[feed])), valid)
+    return F.transform(F.filter(F.array(F.from_json(text, schema, _STRICT)), valid), typed)
 
 
 def valid_feed(records: DataFrame, feed: str) -> DataFrame:
@@ -129,6 +143,6 @@ def merge_feeds(speed_records: DataFrame, rpm_records: DataFrame) -> DataFrame:
 
 def dispatch(tagged: DataFrame, feed: str, text: str = "message") -> DataFrame:
     """The rows of one type out of tagged message text."""
-    mine = tagged.where(F.get_json_object(text, "$.type") == feed)
     schema = ", ".join(f"{name}: {kind}" for name, kind in columns(FEEDS[feed]))
-    return mine.select(F.from_json(text, f"data STRUCT<{schema}>").alias("m")).select("m.data.*")
+    parsed = tagged.select(F.from_json(text, f"type STRING, data STRUCT<{schema}>").alias("m"))
+    return parsed.where(F.col("m.type") == feed).select("m.data.*")

@@ -8,6 +8,8 @@ evenly however large one session or window is.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,7 +23,6 @@ PARTICIPANTS_SPAN = "participants-write"
 LOBBY_SPAN = "lobby-info-write"
 
 WINDOW = ("window_start", "window_end", "session_uid")
-_SALTS = 32
 
 
 def known_traces(rows: DataFrame) -> DataFrame:
@@ -89,62 +90,34 @@ def window_spans(aggregates: DataFrame, span_name: str) -> DataFrame:
     )
 
 
-def span_links(links: DataFrame, span_name: str, on_bad: str = "fail") -> DataFrame:
-    """Link rows of :func:`window_spans`; join them on the window columns."""
-    known = with_trace_ids(known_traces(links).select(*WINDOW, "traceparent"), on_bad)
-    return known.select(F.lit(span_name).alias("span_name"), *WINDOW, "trace_id", "span_id")
-
-
-def window_lineage(
-    links: DataFrame, aggregates: DataFrame, span_name: str, on_bad: str = "fail"
-) -> DataFrame:
-    """Spans and links in one table: each link with its window's sample count."""
-    rows = with_trace_ids(known_traces(links), on_bad)
-    counts = aggregates.select(*WINDOW, "sample_count")
-    joined = _salted_join(rows, counts, WINDOW, F.col("span_id"), "inner")
-    return joined.select(
-        F.lit(span_name).alias("span_name"), *WINDOW, "sample_count", "trace_id", "span_id"
-    )
-
-
-def trace_sets(links: DataFrame, keys: Sequence[str] = WINDOW, limit: int = 10_000) -> DataFrame:
-    """Sets of trace parents as sorted arrays, none of which outgrows a row.
+def span_links(links: DataFrame, span_name: str | Sequence[str], on_bad: str = "fail") -> DataFrame:
+    """Link rows of :func:`window_spans`; join them on the window columns.
 
-    A group within ``limit`` is one row (``part`` 0 of 1).  A larger one is dealt by
-    hash over as many rows as it needs; no trace parent is lost or repeated.
+    Spans that share their links are named together and get one row each.
     """
-    unique = links.select(*keys, "traceparent").distinct()
-    large = (
-        unique.groupBy(*keys)
-        .agg(F.ceil(F.count("*") / F.lit(limit)).cast("int").alias("parts"))
-        .where(F.col("parts") > 1)
-    )
-    sized = _salted_join(unique, large, keys, F.col("traceparent"), "left")
-    dealt = sized.withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn(
-        "part", F.pmod(F.xxhash64("traceparent"), F.col("parts")).cast("int")
-    )
-    return dealt.groupBy(*keys, "part", "parts").agg(
-        F.sort_array(F.collect_set("traceparent")).alias("traceparents")
-    )
+    names = [span_name] if isinstance(span_name, str) else list(span_name)
+    known = with_trace_ids(known_traces(links).select(*WINDOW, "traceparent"), on_bad)
+    named = F.explode(F.array(*map(F.lit, names))) if len(names) > 1 else F.lit(names[0])
+    return known.select(named.alias("span_name"), *WINDOW, "trace_id", "span_id")
 
 
-def _salted_join(
-    big: DataFrame, per_key: DataFrame, keys: Sequence[str], spread: Column, how: str
-) -> DataFrame:
-    """Join rows to at most one row per key, a large key going over several tasks.
+def window_lineage(partials: DataFrame, span_name: str, on_bad: str = "fail") -> DataFrame:
+    """Spans and links in one table: each link with its window's sample count.
 
-    ``per_key`` is repeated once per salt, and each row of ``big`` meets one copy.
-    Keys compare NULL-safe, so the group of undecodable packets keeps its rows.
+    ``partials`` are rows of ``windows.trace_windows``: its trace parents are the links, and the
+    sums of its sample counts those of the windows.  Hand in stored rows, since both sides of the
+    join read them.  The window side is small; a window with many links is left to adaptive
+    execution, which splits it.
     """
-    left = big.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(_SALTS)).cast("int"))
-    copies = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1)))
-    right = per_key.select("*", copies.alias("_salt")).alias("per_key")
-    on = F.col("big._salt") == F.col("per_key._salt")
-    for key in keys:
-        on = on & F.col(f"big.{key}").eqNullSafe(F.col(f"per_key.{key}"))
-    extra = [F.col(f"per_key.{c}") for c in per_key.columns if c not in keys]
-    return left.alias("big").join(right, on, how).select(
-        *[F.col(f"big.{c}") for c in big.columns], *extra
+    links = known_traces(partials).select(*WINDOW, "traceparent").alias("link")
+    counts = partials.groupBy(*WINDOW).agg(F.sum("sample_count").alias("sample_count")).alias("per_window")
+    # NULL-safe, so the group of undecodable packets keeps its rows
+    on = reduce(and_, [F.col(f"link.{c}").eqNullSafe(F.col(f"per_window.{c}")) for c in WINDOW])
+    joined = links.join(counts, on).select(
+        *[F.col(f"link.{c}") for c in WINDOW], "traceparent", "sample_count"
+    )
+    return with_trace_ids(joined, on_bad).select(
+        F.lit(span_name).alias("span_name"), *WINDOW, "sample_count", "trace_id", "span_id"
     )
 
 

@@ -8,6 +8,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from paddockflow.functions import display
+
 # Sizes of the live view.
 HISTORY_ROWS = 50
 CHART_ROWS = 20
@@ -15,33 +17,23 @@ CHART_SECONDS = 60
 CHART_LEAD_SECONDS = 5
 
 
-def _edge_per_kind(
-    rows: DataFrame, kind: str, kinds: Sequence[str], order: str, tie: str, last: bool
-) -> DataFrame:
-    edge_of = F.max if last else F.min
-    named = rows.where(F.col(kind).isin(*kinds))
-    edges = named.groupBy(kind).agg(edge_of(order).alias("_edge"))
-    # at most one row per entry of ``kinds``, so this side is small by construction
-    at_edge = named.join(F.broadcast(edges.withColumnRenamed(kind, "_kind")),
-                         (F.col(kind) == F.col("_kind")) & (F.col(order) == F.col("_edge")))
-    by = F.col(tie).desc() if last else F.col(tie).asc()
-    rank = F.row_number().over(Window.partitionBy(kind).orderBy(by))
-    return at_edge.withColumn("_rank", rank).where("_rank = 1").select(*rows.columns)
-
-
-def first_per_kind(rows: DataFrame, kind: str, kinds: Sequence[str], order: str, tie: str) -> DataFrame:
-    """The first row of each named kind by ``order``, then ``tie``.
-
-    The earliest ``order`` per kind comes from a small hash aggregate over two
-    columns.  Only rows at it are ranked, so wide payloads are neither sorted nor
-    shuffled, however many rows a kind has.
+def first_per_kind(rows: DataFrame, kind: str, order: str, tie: str) -> DataFrame:
+    """The first row of each kind by ``order``, then ``tie``.
+
+    NULL is a kind too, and a kind whose rows all lack ``order`` still has a first row.  Spark
+    keeps one row per kind and task ahead of the shuffle.
     """
-    return _edge_per_kind(rows, kind, kinds, order, tie, last=False)
+    return _ranked(rows, kind, [F.col(order).asc_nulls_last(), F.col(tie).asc_nulls_last()], "_rank", 1).drop("_rank")
 
 
-def latest_per_kind(rows: DataFrame, kind: str, kinds: Sequence[str], order: str, tie: str) -> DataFrame:
-    """The last row of each named kind by ``order``, then ``tie``."""
-    return _edge_per_kind(rows, kind, kinds, order, tie, last=True)
+def latest_per_kind(rows: DataFrame, kind: str, order: str, tie: str) -> DataFrame:
+    """The last row of each kind by ``order``, then ``tie``; rows without ``order`` come first."""
+    return _ranked(rows, kind, [F.col(order).desc_nulls_last(), F.col(tie).desc_nulls_last()], "_rank", 1).drop("_rank")
+
+
+def _ranked(rows: DataFrame, kind: str, order: Sequence[Column], name: str, n: int) -> DataFrame:
+    rank = F.row_number().over(Window.partitionBy(kind).orderBy(*order))
+    return rows.withColumn(name, rank).where(F.col(name) <= n)
 
 
 def first_seen(rows: DataFrame, kind: str, order: str) -> DataFrame:
@@ -49,14 +41,27 @@ def first_seen(rows: DataFrame, kind: str, order: str) -> DataFrame:
     return rows.groupBy(kind).agg(F.min(order).alias(f"first_{order}"))
 
 
-def last_n(rows: DataFrame, kind: str, order: Sequence[str], n: int = HISTORY_ROWS) -> DataFrame:
+def last_n(
+    rows: DataFrame, kind: str, order: Sequence[str], n: int = HISTORY_ROWS, groups: int | None = None
+) -> DataFrame:
     """The last ``n`` rows of each kind.
 
-    Spark limits each task to ``n`` rows per kind ahead of the shuffle, so the final
-    ranking sees tasks x ``n`` rows of a kind and not all of them.
+    Up to Spark's own threshold (1000) each task is limited to ``n`` rows per kind ahead of
+    the shuffle.  Beyond it no such limit exists, so a large ``n`` is ranked twice: within
+    ``groups`` hashed parts of each kind, then among what they leave, at most ``groups * n``
+    rows of a kind.  ``groups`` is the number of shuffle partitions unless given.
     """
-    newest = Window.partitionBy(kind).orderBy(*[F.col(c).desc() for c in order])
-    return rows.withColumn("recency", F.row_number().over(newest)).where(F.col("recency") <= n)
+    newest = [F.col(c).desc() for c in order]
+    session = rows.sparkSession
+    if n > int(session.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
+        parts = groups or int(session.conf.get("spark.sql.shuffle.partitions"))
+        part = F.pmod(F.xxhash64(*order), F.lit(parts))
+        within = F.row_number().over(Window.partitionBy(kind, "_part").orderBy(*newest))
+        rows = (
+            rows.withColumn("_part", part).withColumn("_within", within)
+            .where(F.col("_within") <= n).drop("_part", "_within")
+        )
+    return _ranked(rows, kind, newest, "recency", n)
 
 
 def chart_rows(
@@ -105,15 +110,15 @@ def current_session(latest_speed: DataFrame, latest_rpm: DataFrame) -> DataFrame
 def chart_series(aggregates: DataFrame, measure: str) -> DataFrame:
     """One (series, x, y) point per aggregate row and each of Min, Avg and Max.
 
-    x is in epoch milliseconds, from a timestamp or from the feed's ISO text.
+    x is in epoch milliseconds, from a timestamp or from the feed's ISO text; NULL where that
+    text is no time.
     """
     start = F.col("window_start")
-    if dict(aggregates.dtypes)["window_start"] == "string":
-        start = F.to_timestamp(start)
+    is_text = dict(aggregates.dtypes)["window_start"] == "string"
     values = [f"{stat}_{measure}" for stat in ("min", "avg", "max")]
     points = aggregates.select(
         "session_uid",
-        F.unix_millis(start).alias("x"),
+        (display.epoch_ms(start) if is_text else F.unix_millis(start)).alias("x"),
         *[F.col(value).cast("double").alias(label) for value, label in zip(values, ("Min", "Avg", "Max"))],
     )
     return points.unpivot(["session_uid", "x"], ["Min", "Avg", "Max"], "series", "y")

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paddockflow.functions import traces
+
 # Window widths and watermark delay.
 TELEMETRY_WINDOW = "1 second"
 LAP_WINDOW = "5 seconds"
@@ -147,13 +149,14 @@ def trace_windows(
 def merge_trace_windows(partials: DataFrame, measures: Sequence[str] = MEASURES) -> DataFrame:
     """Final rows out of :func:`trace_windows`, with the number of links per row.
 
+    Only trace parents that are valid count as links, as only they are written as such.
     All partials of a window close in the same micro-batch, since the watermark is
     one for the whole query, so merging within a batch is exact.
     """
     aggregates = [
         F.max("session_time").alias("session_time"),
         F.sum("sample_count").alias("sample_count"),
-        F.count("traceparent").alias("link_count"),
+        F.count(F.when(traces.is_valid(F.col("traceparent")), 1)).alias("link_count"),
     ]
     for name in measures:
         total = F.sum(f"sum_{name}").cast("double")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paddockflow import schemas
+from paddockflow import schemas, scratch
 from paddockflow.functions import packets as packet_columns
 from paddockflow.functions import traces
 from paddockflow.operators import envelope, lineage, project, windows
@@ -434,12 +434,9 @@ WHERE traceparent IS NOT NULL
 """,
 )
 def window_lineage(spark, sf_dir):
-    rows = telemetry_rows(spark, sf_dir)
-    counts = windows.window_aggregate(
-        rows, "1 day", ["session_uid"], [F.count("*").alias("sample_count")]
-    )
-    links = lineage.window_links(rows, "1 day")
-    return plain(lineage.window_lineage(links, counts, lineage.SPEED_SPAN))
+    partials = windows.trace_windows(telemetry_rows(spark, sf_dir), [], "1 day")
+    stored = scratch.saved(partials, "trace-windows")  # read by both sides of the join
+    return plain(lineage.window_lineage(stored, lineage.SPEED_SPAN))
 
 
 @query(
@@ -477,16 +474,12 @@ def window_links(spark, sf_dir):
     "window_trace_sets",
     _LINKED
     + """
-SELECT window_start, window_end, session_uid,
-       string_agg(DISTINCT traceparent, ',' ORDER BY traceparent) AS traceparents
-FROM w WHERE traceparent IS NOT NULL GROUP BY ALL
+SELECT DISTINCT window_start, window_end, session_uid, traceparent FROM w WHERE traceparent IS NOT NULL
 """,
 )
 def window_trace_sets(spark, sf_dir):
-    sets = lineage.trace_sets(lineage.window_links(telemetry_rows(spark, sf_dir), "1 day"))
-    return plain(
-        sets.select(*lineage.WINDOW, F.array_join("traceparents", ",").alias("traceparents"))
-    )
+    """The sets as rows, so that none outgrows one."""
+    return plain(lineage.window_links(telemetry_rows(spark, sf_dir), "1 day"))
 
 
 @query(

@@ -357,7 +357,9 @@ QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) = 1
 )
 def first_packet_per_kind(spark, sf_dir):
     routed = decode.route(_published_kinds(spark, sf_dir))
-    first = serve.first_per_kind(routed, "packet_kind", layouts.KINDS, "timestamp", "event_id")
+    first = serve.first_per_kind(
+        routed.select("packet_kind", "timestamp", "event_id"), "packet_kind", "timestamp", "event_id"
+    )
     return first.select("packet_kind", "event_id")
 
 

@@ -9,8 +9,6 @@ from paddockflow.operators import serve, windows
 from paddockflow.plans import feeds, sql
 from paddockflow.plans.batch import plain, query, telemetry_rows
 
-EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
-
 
 def _events(spark, sf_dir):
     return feeds.table(spark, sf_dir, "events").select(
@@ -26,7 +24,7 @@ QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DE
 """,
 )
 def latest_per_type(spark, sf_dir):
-    return serve.latest_per_kind(_events(spark, sf_dir), "event_type", EVENT_TYPES, "ts", "event_id")
+    return serve.latest_per_kind(_events(spark, sf_dir), "event_type", "ts", "event_id")
 
 
 @query(
@@ -37,7 +35,7 @@ QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) = 1
 """,
 )
 def first_per_kind(spark, sf_dir):
-    return serve.first_per_kind(_events(spark, sf_dir), "event_type", EVENT_TYPES, "ts", "event_id")
+    return serve.first_per_kind(_events(spark, sf_dir), "event_type", "ts", "event_id")
 
 
 @query(
@@ -140,6 +138,18 @@ def _newest(kind: str) -> str:
                 ORDER BY ts DESC, event_id DESC LIMIT 1)"""
 
 
+def _on_show(spark, sf_dir, speed, rpm):
+    rows = _events(spark, sf_dir)
+
+    def latest(kind):
+        of_kind = rows.where(F.col("event_type") == kind)
+        return serve.latest_per_kind(of_kind, "event_type", "ts", "event_id").select(
+            F.col("user_id").alias("session_uid"), F.col("value").alias("session_time")
+        )
+
+    return serve.current_session(latest(speed), latest(rpm))
+
+
 @query(
     "current_session",
     f"""
@@ -148,12 +158,26 @@ FROM (SELECT 1 AS one) o LEFT JOIN {_newest("none")} n ON true LEFT JOIN {_newes
 """,
 )
 def current_session(spark, sf_dir):
-    """Clicks stand for a speed feed that has sent nothing yet, views for the revs."""
-    rows = _events(spark, sf_dir)
+    """A type that no event has stands for a speed feed that has sent nothing yet."""
+    return _on_show(spark, sf_dir, "none", "view")
 
-    def latest(kind):
-        return serve.latest_per_kind(rows, "event_type", [kind], "ts", "event_id").select(
-            F.col("user_id").alias("session_uid"), F.col("value").alias("session_time")
-        )
 
-    return serve.current_session(latest("none"), latest("view"))
+@query(
+    "current_session_speed",
+    f"""
+SELECT coalesce(n.user_id, v.user_id) AS session_uid, coalesce(n.value, v.value) AS session_time
+FROM (SELECT 1 AS one) o LEFT JOIN {_newest("click")} n ON true LEFT JOIN {_newest("view")} v ON true
+""",
+)
+def current_session_speed(spark, sf_dir):
+    """Clicks stand for the speed feed, which wins over the revs."""
+    return _on_show(spark, sf_dir, "click", "view")
+
+
+@query(
+    "history_2000",
+    _last_n(2000),
+)
+def history_2000(spark, sf_dir):
+    """More rows than Spark limits by itself."""
+    return serve.last_n(_events(spark, sf_dir), "event_type", ["ts", "event_id"], 2000)

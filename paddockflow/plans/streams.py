@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paddockflow import schemas, scratch
-from paddockflow.operators import envelope, serve
+from paddockflow.operators import decode, lineage, serve
 from paddockflow.plans import batch, feeds, sql
 from paddockflow.plans.batch import LOBBY_SQL, PARTICIPANTS_SQL, plain, query
-from paddockflow.sources import records, warehouse
+from paddockflow.sources import datagrams, records, warehouse
 from paddockflow.streaming import pipeline
 from paddockflow.streaming.sinks import FeedSink
 
@@ -54,7 +54,7 @@ def _closed(select: str) -> str:
 
 @query("stream_speed_table", sql.SESSION_PACKETS + _closed(sql.telemetry_windows(HOUR, ["speed"])))
 def stream_speed_table(spark, sf_dir):
-    root = _telemetry(spark, sf_dir)
+    root = _telemetry(spark, sf_dir, with_lineage=False)
     return plain(warehouse.read(spark, f"{root}/wh", "speed_aggregation"))
 
 
@@ -102,7 +102,7 @@ GROUP BY ALL HAVING count(DISTINCT traceparent) > 0
 )
 def stream_window_spans(spark, sf_dir):
     root = _telemetry(spark, sf_dir)
-    rows = spark.read.parquet(f"{root}/wh/{pipeline.WINDOW_SPANS}/speed")
+    rows = spark.read.parquet(f"{root}/wh/{pipeline.WINDOW_SPANS}").where(F.col("span_name") == lineage.SPEED_SPAN)
     return plain(rows.drop(warehouse.BATCH))
 
 
@@ -119,7 +119,7 @@ FROM w WHERE traceparent IS NOT NULL AND window_end <= {sql.closed_before(HOUR,
 )
 def stream_window_links(spark, sf_dir):
     root = _telemetry(spark, sf_dir)
-    rows = spark.read.parquet(f"{root}/wh/{pipeline.WINDOW_LINKS}/rpm")
+    rows = spark.read.parquet(f"{root}/wh/{pipeline.WINDOW_LINKS}").where(F.col("span_name") == lineage.RPM_SPAN)
     return plain(rows.drop(warehouse.BATCH))
 
 
@@ -172,8 +172,9 @@ def stream_packet_spans(spark, sf_dir):
     return rows.drop(warehouse.BATCH)
 
 
-# Events arrive in three loads; the second and third hold rows that come too late.
-ARRIVALS = (("click", "view"), ("purchase", "signup"), ("error",))
+# Events arrive in three loads; the second and third hold rows that come too late.  The
+# last takes every type that the others don't name.
+ARRIVALS = (("click", "view"), ("purchase", "signup"))
 DELAY_DAYS = 20
 
 _DAY = 86400
@@ -206,8 +207,10 @@ def stream_late_rows(spark, sf_dir):
     """Three loads into one query that is stopped and restarted between them."""
     root = scratch.new_folder(spark, "late")
     source = feeds.table(spark, sf_dir, "events")
-    for types in ARRIVALS:
-        source.where(F.col("event_type").isin(*types)).write.mode("append").parquet(f"{root}/in")
+    kind = F.coalesce("event_type", F.lit(""))
+    loads = [kind.isin(*types) for types in ARRIVALS]
+    for load in [*loads, ~kind.isin(*[t for types in ARRIVALS for t in types])]:
+        source.where(load).write.mode("append").parquet(f"{root}/in")
         arrived = spark.readStream.schema(source.schema).parquet(f"{root}/in")
         pipeline.start_telemetry(
             feeds.telemetry_records(by_session(feeds.event_columns(arrived))),
@@ -249,19 +252,92 @@ def stream_first_seen(spark, sf_dir):
     return spark.read.parquet(f"{root}/seen")
 
 
+_REJECTS = """
+SELECT feed, count(*) AS rejects FROM events, (VALUES ('speed'), ('rpm')) f(feed)
+WHERE event_type <> 'click' GROUP BY feed
+"""
+
+
+def _merge(spark, sf_dir) -> str:
+    """Both aggregate feeds published as files, read again as streams and merged."""
+    root = scratch.new_folder(spark, "merge")
+    rows = feeds.event_columns(_stream(spark, sf_dir, "events"))
+    for measure in ("speed", "rpm"):
+        (
+            feeds.aggregate_records(rows, measure).writeStream.format("parquet")
+            .option("path", f"{root}/{measure}").option("checkpointLocation", f"{root}/cp/{measure}")
+            .trigger(**NOW).start().awaitTermination()
+        )
+    published = {m: records.stream(spark, "parquet", path=f"{root}/{m}") for m in ("speed", "rpm")}
+    pipeline.start_merge(
+        published["speed"], published["rpm"],
+        FeedSink("parquet", {"path": f"{root}/messages"}), FeedSink("parquet", {"path": f"{root}/rejects"}),
+        f"{root}/cp", trigger=NOW, name=_name(root),
+    ).awaitTermination()
+    return root
+
+
 @query("stream_feed_merge", batch.ORACLES["feed_merge"])
 def stream_feed_merge(spark, sf_dir):
     """Two aggregate feeds, checked and merged into one stream of messages."""
-    root = scratch.new_folder(spark, "merge")
-    rows = feeds.event_columns(_stream(spark, sf_dir, "events"))
-    merged = envelope.merge_feeds(
-        feeds.aggregate_records(rows, "speed"), feeds.aggregate_records(rows, "rpm")
-    )
-    (
-        merged.writeStream.format("parquet").option("path", f"{root}/out")
-        .option("checkpointLocation", f"{root}/cp").trigger(**NOW).start().awaitTermination()
+    root = _merge(spark, sf_dir)
+    return spark.read.schema("type STRING, message STRING").parquet(f"{root}/messages")
+
+
+@query("stream_feed_rejects", _REJECTS)
+def stream_feed_rejects(spark, sf_dir):
+    """What the merge job refuses of both feeds."""
+    root = _merge(spark, sf_dir)
+    refused = spark.read.schema("feed STRING, value BINARY").parquet(f"{root}/rejects")
+    return refused.groupBy("feed").agg(F.count("*").alias("rejects"))
+
+
+def _capture(spark, sf_dir, path):
+    """Datagrams of all events written as a capture table: its path and schema."""
+    captured = feeds.datagrams(by_session(feeds.events(spark, sf_dir)), "car_telemetry")
+    captured.write.parquet(path)
+    return path, captured.schema
+
+
+@query(
+    "capture_scan",
+    """
+SELECT event_id, CAST((event_id + CAST(json_extract_string(props, '$.k') AS INT) // 4 * 31) % 100 AS INT) AS speed
+FROM events WHERE CAST(json_extract_string(props, '$.k') AS INT) < 88
+""",
+)
+def capture_scan(spark, sf_dir):
+    """Player speeds out of a capture table."""
+    path, _ = _capture(spark, sf_dir, scratch.new_folder(spark, "capture"))
+    packets = decode.decode_kind(
+        datagrams.read(spark, path), "car_telemetry", fields=["m_header", "m_speed"], keep=["event_id"]
     )
-    return spark.read.schema("type STRING, message STRING").parquet(f"{root}/out")
+    speed = F.get("m_car_telemetry_data", F.col("m_header.m_player_car_index"))["m_speed"]
+    return packets.select("event_id", speed.alias("speed")).where("speed is not null")
+
+
+@query(
+    "stream_all_jobs",
+    """
+SELECT 'participants' AS job, count(*) AS result_rows FROM part
+UNION ALL SELECT 'lobby_info', count(*) FROM customer
+""",
+)
+def stream_all_jobs(spark, sf_dir):
+    """Jobs started together, each to the end of its feed."""
+    root = scratch.new_folder(spark, "all")
+    sources = {
+        "participants": feeds.part_records(_stream(spark, sf_dir, "part")),
+        "lobby_info": feeds.customer_records(_stream(spark, sf_dir, "customer")),
+    }
+    options = {job: {"trigger": NOW, "name": f"{job}-{_name(root)}"} for job in sources}
+    for started in pipeline.start_all(sources, f"{root}/wh", f"{root}/cp", options=options):
+        started.awaitTermination()
+    tables = [
+        warehouse.read(spark, f"{root}/wh", job).agg(F.count("*").alias("result_rows")).select(F.lit(job).alias("job"), "result_rows")
+        for job in sources
+    ]
+    return tables[0].unionByName(tables[1])
 
 
 @query(
@@ -271,11 +347,11 @@ def stream_feed_merge(spark, sf_dir):
     + _closed(sql.telemetry_windows(HOUR, ["speed"])),
 )
 def stream_datagram_chain(spark, sf_dir):
-    """Two jobs in line: datagrams to a record feed, and that feed to the speed table."""
+    """Two jobs in line: a capture of datagrams to a record feed, and that feed to the speed table."""
     root = scratch.new_folder(spark, "chain")
     number = F.col("event_id").cast("string")
     pipeline.start_publish(
-        feeds.datagrams(event_stream(spark, sf_dir), "car_telemetry"),
+        datagrams.read_stream(spark, *_capture(spark, sf_dir, f"{root}/capture")),
         FeedSink("parquet", {"path": f"{root}/records"}),
         f"{root}/cp",
         F.md5(number),

@@ -40,9 +40,33 @@ def refresh_tables(spark: SparkSession, tables: list[str]) -> None:
 
 
 def read(spark: SparkSession, root: str, table: str, session_uid: int | None = None) -> DataFrame:
-    """One table's rows; a session id reads that session's partition only."""
+    """One table's rows; with a session id only that session's folder is listed and read."""
     stored = f"{WAREHOUSE[table]}, {BATCH} STRING"
-    rows = spark.read.schema(stored).parquet(location(root, table))
-    if session_uid is not None:
-        rows = rows.where(F.col(PARTITION) == session_uid)
-    return rows.select(*names(table))
+    path = location(root, table)
+    reader = spark.read.schema(stored)
+    if session_uid is None:
+        return reader.parquet(path).select(*names(table))
+    one = f"{path}/{PARTITION}={int(session_uid)}"
+    if not exists(spark, one):
+        return reader.parquet(path).where(F.lit(False)).select(*names(table))
+    return reader.option("basePath", path).parquet(one).select(*names(table))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
+def compact(spark: SparkSession, root: str, table: str, session_uid: int, into: str) -> None:
+    """Rewrite one session's closed batches as one batch of the table under another root.
+
+    For sessions that get no more rows; ``into`` must be another root, so that readers of the
+    old files are not disturbed and a failed run leaves them whole.
+    """
+    if location(root, table) == location(into, table):
+        raise ValueError("compaction needs another root")
+    rows = read(spark, root, table, session_uid).withColumn(BATCH, F.lit("compacted"))
+    (
+        rows.hint("rebalance").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(PARTITION, BATCH).parquet(location(into, table))
+    )

@@ -7,6 +7,7 @@ windows.  Each query needs its own checkpoint folder on shared storage.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from paddockflow import schemas
 from paddockflow.operators import decode, envelope, lineage, project, windows
 from paddockflow.sources import layouts
-from paddockflow.streaming.sinks import FeedSink, append_lineage, append_table, held, kept
+from paddockflow.streaming.sinks import FeedSink, append_lineage, append_table, held, kept, single
 
 # Fixed value: trigger of the two dimension queries.
 DIMENSION_TRIGGER = {"processingTime": "30 seconds"}
@@ -23,6 +24,7 @@ DIMENSION_TRIGGER = {"processingTime": "30 seconds"}
 WINDOW_SPANS = "window_spans"
 WINDOW_LINKS = "window_links"
 PACKET_SPANS = "packet_spans"
+BAD_TRACES = "bad_traces"
 
 _MEASURES = {
     "speed": ("speed_aggregation", lineage.SPEED_SPAN),
@@ -30,14 +32,24 @@ _MEASURES = {
 }
 
 
-def _start(rows: DataFrame, name: str, action, checkpoints: str, trigger: dict | None) -> StreamingQuery:
+def _start(
+    rows: DataFrame, name: str, action, checkpoints: str, trigger: dict | None, state_partitions: int | None = None
+) -> StreamingQuery:
+    """``state_partitions`` splits the state of a query whose checkpoint is new; it can't change later."""
+    conf, setting = rows.sparkSession.conf, "spark.sql.shuffle.partitions"
+    before = conf.get(setting)
     writer = (
         rows.writeStream.queryName(name)
-        .foreachBatch(kept(action))
+        .foreachBatch(action)
         .outputMode("append")
         .option("checkpointLocation", f"{checkpoints.rstrip('/')}/{name}")
     )
-    return (writer.trigger(**trigger) if trigger else writer).start()
+    try:
+        if state_partitions:
+            conf.set(setting, str(state_partitions))
+        return (writer.trigger(**trigger) if trigger else writer).start()
+    finally:
+        conf.set(setting, before)
 
 
 def start_telemetry(
@@ -51,30 +63,42 @@ def start_telemetry(
     on_bad_trace: str = "fail",
     trigger: dict | None = None,
     name: str = "telemetry",
+    with_lineage: bool = True,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Windows of speed and revs to their feeds, then to their tables, with lineage.
 
     ``feeds`` maps ``speed`` and ``rpm`` to their sinks; a measure without one only
-    goes to its table.
+    goes to its table.  Without lineage the state has one row per window instead of one
+    per packet.  Links are the same for both measures and are written once, with the span
+    names as a column; bad trace parents go to their own table under ``quarantine``.
     """
     feeds = feeds or {}
 
+    def write_measures(merged: DataFrame, batch: str) -> None:
+        for measure, (table, _) in _MEASURES.items():
+            rows = merged.select(*windows.measure_columns(measure))
+            if measure in feeds:
+                feeds[measure].write(envelope.feed_records(rows), batch)
+            append_table(rows, warehouse, table, batch)
+
     def write(partials: DataFrame, batch: str) -> None:
-        links = lineage.known_traces(partials)
+        names = [span for _, span in _MEASURES.values()]
         with held(windows.merge_trace_windows(partials)) as merged:
-            for measure, (table, span) in _MEASURES.items():
-                rows = merged.select(*windows.measure_columns(measure))
-                if measure in feeds:
-                    feeds[measure].write(envelope.feed_records(rows), batch)
-                append_table(rows, warehouse, table, batch)
-                spans = lineage.window_spans(merged, span)
-                append_lineage(spans, warehouse, f"{WINDOW_SPANS}/{measure}", batch)
-                span_links = lineage.span_links(links, span, on_bad_trace)
-                append_lineage(span_links, warehouse, f"{WINDOW_LINKS}/{measure}", batch)
-
-    packets = envelope.read_packets(records, schemas.TELEMETRY_JSON)
-    partials = windows.trace_windows(project.telemetry_rows(packets, clock), width=width, delay=delay)
-    return _start(partials, name, write, checkpoints, trigger)
+            write_measures(merged, batch)
+            spans = reduce(DataFrame.unionByName, [lineage.window_spans(merged, span) for span in names])
+            append_lineage(spans, warehouse, WINDOW_SPANS, batch)
+        append_lineage(lineage.span_links(partials, names, on_bad_trace), warehouse, WINDOW_LINKS, batch)
+        if on_bad_trace == "quarantine":
+            bad = lineage.bad_traces(partials).select(*lineage.WINDOW, "traceparent")
+            append_lineage(bad, warehouse, BAD_TRACES, batch)
+
+    rows = project.telemetry_rows(envelope.read_packets(records, schemas.TELEMETRY_JSON), clock)
+    if with_lineage:
+        partials = windows.trace_windows(rows, width=width, delay=delay)
+        return _start(partials, name, kept(write), checkpoints, trigger, state_partitions)
+    merged = windows.telemetry_windows(rows, width=width, delay=delay)
+    return _start(merged, name, kept(write_measures), checkpoints, trigger, state_partitions)
 
 
 def start_laps(
@@ -86,6 +110,7 @@ def start_laps(
     delay: str = windows.WATERMARK_DELAY,
     trigger: dict | None = None,
     name: str = "lap",
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Lap windows to their table."""
 
@@ -94,7 +119,7 @@ def start_laps(
 
     packets = envelope.read_packets(records, schemas.LAP_JSON)
     rows = windows.lap_windows(project.lap_rows(packets, clock), width, delay)
-    return _start(rows, name, write, checkpoints, trigger)
+    return _start(rows, name, single(write), checkpoints, trigger, state_partitions)
 
 
 def _start_dimension(rows, table, span, warehouse, checkpoints, on_bad_trace, trigger, name):
@@ -104,8 +129,11 @@ def _start_dimension(rows, table, span, warehouse, checkpoints, on_bad_trace, tr
             warehouse, f"{PACKET_SPANS}/{table}", batch,
         )
         append_table(batch_rows.select(*schemas.names(table)), warehouse, table, batch)
+        if on_bad_trace == "quarantine":
+            bad = lineage.bad_traces(batch_rows).select("traceparent").distinct()
+            append_lineage(bad, warehouse, f"{BAD_TRACES}_{table}", batch)
 
-    return _start(rows, name, write, checkpoints, trigger)
+    return _start(rows, name, kept(write), checkpoints, trigger)
 
 
 def start_participants(
@@ -168,7 +196,31 @@ def start_publish(
     def write(batch_rows: DataFrame, batch: str) -> None:
         feed.write(batch_rows, batch)
 
-    return _start(records, name, write, checkpoints, trigger)
+    return _start(records, name, single(write), checkpoints, trigger)
+
+
+def start_merge(
+    speed_records: DataFrame,
+    rpm_records: DataFrame,
+    messages: FeedSink,
+    rejects: FeedSink,
+    checkpoints: str,
+    trigger: dict | None = None,
+    name: str = "merge",
+) -> StreamingQuery:
+    """Both aggregate feeds into one feed of tagged messages, what is not valid into another."""
+
+    def named(records: DataFrame, feed: str) -> DataFrame:
+        return records.select(F.lit(feed).alias("feed"), "value")
+
+    def write(batch_rows: DataFrame, batch: str) -> None:
+        feeds = {feed: batch_rows.where(F.col("feed") == feed) for feed in ("speed", "rpm")}
+        messages.write(envelope.merge_feeds(feeds["speed"], feeds["rpm"]), batch)
+        refused = [envelope.reject_feed(rows, feed) for feed, rows in feeds.items()]
+        rejects.write(reduce(DataFrame.unionByName, refused), batch)
+
+    both = named(speed_records, "speed").unionByName(named(rpm_records, "rpm"))
+    return _start(both, name, kept(write), checkpoints, trigger)
 
 
 def start_all(
@@ -178,26 +230,27 @@ def start_all(
     feeds: dict[str, FeedSink] | None = None,
     clock: str = "timestamp",
     on_bad_trace: str = "fail",
+    options: dict[str, dict] | None = None,
 ) -> list[StreamingQuery]:
-    """Start every query whose feed is given: telemetry, lap, participants, lobby_info."""
+    """Start every query whose feed is given: telemetry, lap, participants, lobby_info.
+
+    ``options`` holds further arguments of each query's own start function by the same names,
+    such as ``trigger``, ``width``, ``delay`` or ``state_partitions``.
+    """
     for records in sources.values():
         records.sparkSession.streams.resetTerminated()  # wait for these queries, not older ones
-    queries = []
-    if "telemetry" in sources:
-        queries.append(
-            start_telemetry(
-                sources["telemetry"], warehouse, checkpoints, feeds, clock, on_bad_trace=on_bad_trace
-            )
-        )
-    if "lap" in sources:
-        queries.append(start_laps(sources["lap"], warehouse, checkpoints, clock))
-    if "participants" in sources:
-        queries.append(
-            start_participants(sources["participants"], warehouse, checkpoints, clock, on_bad_trace)
-        )
-    if "lobby_info" in sources:
-        queries.append(start_lobby(sources["lobby_info"], warehouse, checkpoints, clock, on_bad_trace))
-    return queries
+    traced = {"on_bad_trace": on_bad_trace}
+    jobs = {
+        "telemetry": (start_telemetry, {"feeds": feeds, **traced}),
+        "lap": (start_laps, {}),
+        "participants": (start_participants, traced),
+        "lobby_info": (start_lobby, traced),
+    }
+    return [
+        start(sources[job], warehouse, checkpoints, **{"clock": clock, **fixed, **(options or {}).get(job, {})})
+        for job, (start, fixed) in jobs.items()
+        if job in sources
+    ]
 
 
 def run_until_one_ends(spark: SparkSession, queries: list[StreamingQuery]) -> None:

