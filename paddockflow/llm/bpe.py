@@ -63,6 +63,8 @@ class Merges:
 
     def replay(self, words: list[bytes]) -> list[bytes]:
         """Token ids (little-endian 32 bits each) of every word."""
+        if not words:
+            return []
         data = np.frombuffer(b"".join(words), np.uint8)
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         ends = np.cumsum(lengths)
