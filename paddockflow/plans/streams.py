@@ -281,7 +281,7 @@ def _merge(spark, sf_dir) -> str:
 def stream_feed_merge(spark, sf_dir):
     """Two aggregate feeds, checked and merged into one stream of messages."""
     root = _merge(spark, sf_dir)
-    return spark.read.schema("type STRING, message STRING").parquet(f"{root}/messages")
+    return spark.read.schema("type STRING, message STRING").parquet(f"{root}/messages").select("type", "message")
 
 
 @query("stream_feed_rejects", _REJECTS)
