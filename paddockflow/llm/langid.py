@@ -65,13 +65,18 @@ class ByteNetwork:
         z = np.exp(z - z.max(axis=1, keepdims=True))
         return z / z.sum(axis=1, keepdims=True)
 
-    def fit(self, x: np.ndarray, y: np.ndarray, epochs: int = 4, batch: int = 64, rate: float = 0.004, seed: int = 11):
-        """Adam on the cross-entropy; ``x`` holds padded windows, ``y`` language numbers."""
+    def fit(self, x: np.ndarray, y: np.ndarray, epochs: int = 4, batch: int = 64, rate: float = 0.004, seed: int = 11,
+            least_steps: int = 500):
+        """Adam on the cross-entropy; ``x`` holds padded windows, ``y`` language numbers.
+
+        A small sample is passed over more often, for at least ``least_steps`` batches.
+        """
         draw, w = np.random.default_rng(seed), self.weights
         first = {k: np.zeros_like(v) for k, v in w.items()}
         second = {k: np.zeros_like(v) for k, v in w.items()}
         step = 0
-        for _ in range(epochs):
+        passes = max(epochs, round(least_steps / max(1, len(x) / batch)))
+        for _ in range(min(passes, least_steps)):
             order = draw.permutation(len(x))
             for low in range(0, len(x), batch):
                 some = x[order[low : low + batch]]

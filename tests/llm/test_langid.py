@@ -36,7 +36,7 @@ def test_query_accuracy(spark, sf_dir):
 def test_odd_texts_and_tables(spark, documents):
     docs = labelled(spark)
     network = langid.train(docs)
-    odd = [(1, None), (2, ""), (3, "12 34 !!"), (None, "the and of"), (5, "the and of " * 30_000), (5, "the and of " * 30_000)]
+    odd = [(1, None), (2, ""), (3, "12 34 !!"), (None, WORDS["en"] * 3), (5, WORDS["en"] * 5_000), (5, WORDS["en"] * 5_000)]
     got = [(r["row"]["doc_id"], r["lang_pred"], r["score"]) for r in langid.identified(documents(odd), network).collect()]
     assert sorted((g[1] for g in got)) == ["en"] * 3 + ["und"] * 3
     assert all(s == 0 for _, lang, s in got if lang == "und")
