@@ -28,7 +28,7 @@ _REMEMBERED = 300_000
 _SLICE_CHARACTERS = 1 << 20
 _UNITS_AT_ONCE = 256
 _SHARPNESS = 6.0
-_SHARED_LETTERS = 0.6
+_SHARED_LETTERS = 0.75
 _START = "^"
 _MARKS = ".,;:!?\"'()[]{}<>#*$%&|-_/\\«»„“”‘’…¡¿"
 
@@ -151,7 +151,10 @@ class Machine:
         if landmarks:
             self.kernel = SubsequenceKernel([_START + w for w in landmarks])
             self.scale = np.sqrt(np.maximum(self_kernel([_START + w for w in landmarks]), 1e-9))
-            self.letters = [set(w) for w in landmarks]
+            letters = sorted(set("".join(landmarks)))[:63]
+            self.bit = {c: 1 << i for i, c in enumerate(letters)}
+            self.masks = np.array([sum(self.bit.get(c, 0) for c in set(w)) for w in landmarks], np.int64)
+            self.need = np.ceil(_SHARED_LETTERS * np.bitwise_count(self.masks)).astype(int)
             values, vectors = np.linalg.eigh(self.similarity(landmarks))
             values = np.maximum(values, 1e-3)
             self.whiten = vectors / np.sqrt(values) @ vectors.T
@@ -166,11 +169,10 @@ class Machine:
     def features(self, words: list[str]) -> np.ndarray:
         """Nyström features; zero for words that lack most letters of every landmark."""
         out = np.zeros((len(words), self.whiten.shape[1]))
-        need = [(letters, _SHARED_LETTERS * len(letters)) for letters in self.letters]
-        some = [
-            i for i, word in enumerate(words)
-            if (own := set(word)) and any(len(own & letters) >= least for letters, least in need)
-        ]
+        bit = self.bit
+        held = np.fromiter((sum(bit.get(c, 0) for c in set(word)) for word in words), np.int64, len(words))
+        enough = np.bitwise_count(held[:, None] & self.masks) >= self.need
+        some = np.flatnonzero(enough.any(axis=1)).tolist()
         if some:
             out[some] = self.similarity([words[i] for i in some]) @ self.whiten
         return out
