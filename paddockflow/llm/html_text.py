@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -233,7 +234,7 @@ def main_text(page: str | None) -> str:
 def extracted(pages: DataFrame, column: str = "html") -> DataFrame:
     """``row`` (all columns as a struct) and ``main_text`` of every page; a null page gives an empty text."""
     spec = pages.select(F.struct("*").alias("row"))
-    row_type = spec.schema["row"].dataType.simpleString()
+    schema = T.StructType(list(spec.schema.fields)).add("main_text", "string")
 
     def run(batches):
         for batch in batches:
@@ -241,4 +242,4 @@ def extracted(pages: DataFrame, column: str = "html") -> DataFrame:
             texts = [main_text(found[i].as_py()) for i in range(len(found))]
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], names=["row", "main_text"])
 
-    return spec.mapInArrow(run, f"row {row_type}, main_text string")
+    return spec.mapInArrow(run, schema)

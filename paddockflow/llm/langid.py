@@ -16,6 +16,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -187,7 +188,7 @@ def identified(docs: DataFrame, network: ByteNetwork) -> DataFrame:
     Null texts and texts without a letter are ``und`` with score 0.
     """
     spec = docs.select(F.struct("*").alias("row"))
-    row_type = spec.schema["row"].dataType.simpleString()
+    schema = T.StructType(list(spec.schema.fields)).add("lang_pred", "string").add("score", "double")
 
     def run(batches):
         for batch in batches:
@@ -205,7 +206,7 @@ def identified(docs: DataFrame, network: ByteNetwork) -> DataFrame:
                 )
                 low += len(some)
 
-    return spec.mapInArrow(run, f"row {row_type}, lang_pred string, score double")
+    return spec.mapInArrow(run, schema)
 
 
 def kept(docs: DataFrame, least_score: float = 0.4) -> DataFrame:

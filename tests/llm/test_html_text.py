@@ -49,7 +49,8 @@ def test_query_equals_the_articles(spark, sf_dir):
 
 def test_tables(spark):
     rows = [(1, "u", None, "m"), (1, "u", None, "m"), (None, None, PAGE, "m"), (2, "u", "<p>" + "word " * 60_000, "m")]
-    got = html_text.extracted(spark.createDataFrame(rows, "page_id long, url string, html string, main_text string")).collect()
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string, main_text string")
+    got = html_text.extracted(frame.withColumnRenamed("url", "the url: of it")).collect()
     assert sorted(len(r["main_text"]) for r in got)[:2] == [0, 0] and len(got) == 4
     assert html_text.extracted(spark.createDataFrame([], "page_id long, html string")).count() == 0
 
