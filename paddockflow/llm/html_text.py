@@ -11,6 +11,7 @@ from __future__ import annotations
 import functools
 import html
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,7 @@ from pyspark.sql import types as T
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|textarea|title|svg|math|iframe|object|canvas)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
+    r"|<(script|style|noscript|template|textarea|title|svg|iframe|object|canvas)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
     r".*?(?:</\1\s*>|\Z)"
     r"|<[!?][^>]*>"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*'|[\"'])*)(?:>|\Z|(?=<))",
@@ -40,9 +41,9 @@ _FURNITURE = frozenset("nav footer aside form menu dialog button select head fie
 _ARTICLE = frozenset("article main".split())
 _FURNITURE_NAMES = frozenset(
     "nav navbar navigation navigationbar menu breadcrumb breadcrumbs header masthead footer sidebar aside widget ad ads advert adverts "
-    "advertisement adslot banner promo promotion sponsor sponsored cookie cookies consent gdpr notice alert popup modal "
+    "advertisement adslot adbox adunit adsense adsbygoogle banner promo promotion sponsor sponsored cookie cookies consent gdpr notice alert popup modal "
     "overlay newsletter subscribe signup login search social share sharing related recommended comment comments reply "
-    "replies disqus pagination pager toolbar copyright legal contentinfo complementary".split()
+    "replies discussion disqus pagination pager toolbar copyright legal disclaimer skip contentinfo complementary".split()
 )
 _ARTICLE_NAMES = frozenset("article post entry story main content body".split())
 
@@ -158,6 +159,7 @@ def flat_blocks(page: str) -> list[tuple[str, int, int, bool, bool, bool]]:
     blocks = []
     parts: list[tuple[str, bool]] = []
     stack: list[tuple[str, bool, bool]] = []
+    opened: Counter = Counter()
     links, breaks, heading = 0, 0, False
 
     def close() -> None:
@@ -203,9 +205,13 @@ def flat_blocks(page: str) -> list[tuple[str, int, int, bool, bool, bool]]:
             inside = stack[-1] if stack else ("", False, False)
             furniture, article = _hints(tag, token[4], inside[2])
             stack.append((tag, furniture or inside[1], article or inside[2]))
-        elif any(name == tag for name, _, _ in stack):
-            while stack.pop()[0] != tag:
-                pass
+            opened[tag] += 1
+        elif opened[tag]:
+            while True:
+                last = stack.pop()[0]
+                opened[last] -= 1
+                if last == tag:
+                    break
             links = 0
     if at < len(page):
         parts.append((page[at:], links > 0))

@@ -30,7 +30,8 @@ def test_pages_without_names_for_their_parts():
 
 
 def test_broken_pages():
-    for page in (None, "", "   ", "<", "<p", "<!-- open", "<script>never closed", "<a href=\"", "</div></p>", "<div " * 50):
+    for page in (None, "", "   ", "<", "<p", "<!-- open", "<script>never closed", "<a href=\"", "</div></p>", "<div " * 50,
+                 "<div>" * 30_000 + "x" + "</p></x>" * 30_000, "<a href='" * 5000, "<script a=\"" * 300):
         assert isinstance(html_text.main_text(page), str)
     assert html_text.main_text("<article><p>Cut off in the mid") == "Cut off in the mid"
     assert html_text.main_text("<article><h1>One &am</h1><p>Two &amp</p></article>") == "One &am\n\nTwo &"
