@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 from paddockflow import scratch
 
 _SLICE_BYTES = 4 << 20
-_REMEMBERED_WORDS = 300_000
+_REMEMBERED_WORDS = 500_000
+_WORDS_AT_ONCE = 10_000
 _PUNCTUATION = b".,!;:?%$&*#|"
 
 
@@ -49,6 +50,9 @@ class WordTokenizer:
 
         self.inner = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        vocabulary = self.inner.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     @classmethod
     @functools.lru_cache(maxsize=4)
@@ -56,10 +60,25 @@ class WordTokenizer:
         return cls(path)
 
     def _learn(self, words: list[bytes]) -> None:
-        for word, got in zip(
-            words, self.inner.encode_batch_fast([w.decode() for w in words], add_special_tokens=False), strict=True
-        ):
-            self.known[word] = np.array(got.ids, "<u4").tobytes()
+        """Encode new words; those of letters only go as one text, told apart by their last tokens."""
+        texts = [w.decode() for w in words]
+        plain = [i for i, text in enumerate(texts) if text.isalpha()]
+        rest = [i for i, text in enumerate(texts) if not text.isalpha()]
+        for low in range(0, len(plain), _WORDS_AT_ONCE):
+            some = plain[low : low + _WORDS_AT_ONCE]
+            got = self.inner.encode_batch_fast([" ".join([texts[i] for i in some])], add_special_tokens=False)
+            ids = np.array(got[0].ids, "<u4")
+            stops = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+            if len(stops) != len(some) or stops[-1] != 4 * len(ids):
+                rest += some  # a letter here that the tokenizer takes for something else
+                continue
+            raw = ids.tobytes()
+            self.known.update(zip(
+                [words[i] for i in some], [raw[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)], strict=True
+            ))
+        coded = self.inner.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False)
+        for i, got in zip(rest, coded, strict=True):
+            self.known[words[i]] = np.array(got.ids, "<u4").tobytes()
 
     def words(self, words: list[bytes]) -> list[bytes]:
         if len(self.known) > _REMEMBERED_WORDS:
@@ -201,7 +220,7 @@ def _repack(capacity: int, high: int):
         bins, offsets = best_fit_decreasing(pool["length"].to_numpy(), capacity)
         count = int(bins.max()) + 1
         if (pool["sequence_id"] < 0).any() or count < pool["sequence_id"].nunique():
-            pool["sequence_id"] = (high << 48) + (pool["pool"].to_numpy() << 24) + bins
+            pool["sequence_id"] = (high << 56) + (pool["pool"].to_numpy() << 22) + bins
             pool["offset"] = offsets
         lengths, counts = np.unique(pool["length"].to_numpy(), return_counts=True)
         pool["certified"] = pool["sequence_id"].nunique() == lower_bound(lengths, counts, capacity)
