@@ -18,6 +18,7 @@ from __future__ import annotations
 import functools
 import zlib
 from bisect import bisect_left, insort
+from functools import reduce
 from math import ceil
 
 import numpy as np
@@ -209,19 +210,20 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
     return bins, offsets
 
 
-_PACKED = "piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
+_PACKED = "piece int, start long, length long, ids_crc32 long, sequence_id long, offset long, fill long, certified boolean"
 
 
-def _repack(capacity: int, high: int):
-    """Pack one pool again; its packing stays unless the new one has fewer sequences."""
+def _repack(capacity: int, turn: int):
+    """Pack one pool; rows that are packed already stay so unless there are fewer sequences now."""
 
     def run(pool: pd.DataFrame) -> pd.DataFrame:
         pool = pool.sort_values(["length", "id", "piece", "start", "ids_crc32"], ascending=[False, True, True, True, True])
         bins, offsets = best_fit_decreasing(pool["length"].to_numpy(), capacity)
         count = int(bins.max()) + 1
-        if (pool["sequence_id"] < 0).any() or count < pool["sequence_id"].nunique():
-            pool["sequence_id"] = (high << 56) + (pool["pool"].to_numpy() << 22) + bins
+        if turn == 0 or count < pool["sequence_id"].nunique():
+            pool["sequence_id"] = (turn << 56) + (pool["pool"].to_numpy() << 22) + bins
             pool["offset"] = offsets
+        pool["fill"] = pool.groupby("sequence_id")["length"].transform("sum")
         lengths, counts = np.unique(pool["length"].to_numpy(), return_counts=True)
         pool["certified"] = pool["sequence_id"].nunique() == lower_bound(lengths, counts, capacity)
         return pool.drop(columns="pool")
@@ -236,42 +238,42 @@ def packed(
     """Pieces with their sequence and place in it.
 
     Columns: the id, piece, start, length, ids_crc32, sequence_id, offset (gapless from 0 in
-    each sequence) and certified (its pool met its lower bound when it was last packed).
-    ``pool_tokens`` bounds what one task packs; ``shrink`` is how many pools' gaps meet in one
-    pool of the next round; ``rounds`` bounds the exchanges.  A null or empty text is one piece
-    with the end id alone; repeated rows are packed each; an empty table gives no rows.
+    each sequence), fill (tokens of the sequence) and certified (its pool met its lower bound
+    when it was last packed).  ``pool_tokens`` bounds what one task packs; ``shrink`` is how many
+    pools' gaps meet in one pool of the next round; ``rounds`` bounds the exchanges.  A null or
+    empty text is one piece with the end id alone; repeated rows are packed each; an empty table
+    gives no rows.
     """
     if not 1 <= capacity < 1 << 20:
         raise ValueError("capacity must be between 1 and 2**20 - 1")
     rows = scratch.saved(pieces(docs, path, capacity, end_id, id_column, text), "pieces")
-    id_type = rows.schema["id"].dataType.simpleString()
+    schema = f"id {rows.schema['id'].dataType.simpleString()}, {_PACKED}"
     histogram = rows.groupBy("length").agg(F.count("*").alias("n")).toPandas()  # at most ``capacity`` rows
     lengths, counts = histogram["length"].to_numpy(np.int64), histogram["n"].to_numpy(np.int64)
     needed = lower_bound(lengths, counts, capacity)
     pools = max(1, ceil(int((lengths * counts).sum()) / pool_tokens))
-    schema = f"id {id_type}, {_PACKED}, certified boolean"
-    state = rows.select(
-        "*", F.lit(-1).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"), F.lit(False).alias("certified")
-    )
-    settled, moving = None, state.withColumn(
-        "pool", F.pmod(F.xxhash64("id", "piece", "start", "ids_crc32"), F.lit(pools)).cast("long")
+
+    spread = lambda *by: F.pmod(F.xxhash64(*by), F.lit(pools)).cast("long").alias("pool")
+    moving = rows.select(
+        "*", F.lit(-1).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"),
+        spread("id", "piece", "start", "ids_crc32"),
     )
-    before = None
+    settled: list[DataFrame] = []  # full sequences of the rounds so far
+    done, before = 0, None
     for turn in range(rounds + 1):
-        repacked = moving.groupBy("pool").applyInPandas(_repack(capacity, turn), schema)
-        state = scratch.saved(repacked if settled is None else settled.unionByName(repacked), "packing")
-        fill = state.groupBy("sequence_id").agg(F.sum("length").alias("fill"))
-        total = fill.agg(F.count("*"), F.sum((F.col("fill") < capacity).cast("long"))).first()
-        if total[0] <= needed or turn == rounds or (total[0] == before and pools == 1):
+        state = scratch.saved(moving.groupBy("pool").applyInPandas(_repack(capacity, turn), schema), "packing")
+        # a sequence has one piece at offset 0
+        whole, gaps = state.filter("offset = 0").agg(
+            F.count(F.when(F.col("fill") == capacity, 1)), F.count(F.when(F.col("fill") < capacity, 1))
+        ).first()
+        total = done + whole + gaps
+        if total <= needed or turn == rounds or (total == before and pools == 1):
             break
-        before, pools = total[0], max(1, ceil(pools / shrink))
-        # exchange: sequences with gaps, dealt whole, the emptiest apart from one another; all
-        # pools are sure to meet in the last round
-        gaps = fill.filter(F.col("fill") < capacity).select(F.col("sequence_id").alias("gap_id"), "fill")
-        pools = max(pools, ceil(int(total[1]) * capacity / (4 * pool_tokens)))
-        joined = state.join(gaps, state.sequence_id == gaps.gap_id, "left")
-        settled = joined.filter("gap_id is null").select(state.columns)
-        moving = joined.filter("gap_id is not null").select(
-            *state.columns, F.pmod(F.xxhash64("gap_id", F.lit(turn)), F.lit(pools)).cast("long").alias("pool")
+        # exchange: the sequences with gaps are dealt anew, each as a whole
+        settled.append(state.filter(F.col("fill") == capacity))
+        done, before = done + whole, total
+        pools = max(1, ceil(pools / shrink), ceil(gaps * capacity / (4 * pool_tokens)))
+        moving = state.filter(F.col("fill") < capacity).drop("fill", "certified").select(
+            "*", spread("sequence_id", F.lit(turn))
         )
-    return state.withColumnRenamed("id", id_column)
+    return reduce(DataFrame.unionByName, settled, state).withColumnRenamed("id", id_column)
