@@ -175,7 +175,11 @@ def near_duplicates(
     linked = found.join(classes, found.node == classes.fp).select("node", "label", "least")
     least = linked.groupBy("label").agg(F.min("least").alias("reached"))
     moved = linked.join(least, "label").select(F.col("node").alias("fp"), "reached")
-    full = classes.join(moved, "fp", "left").select("fp", F.coalesce("reached", "least").alias("component_id"))
+    # stored, so that the join with it has a shuffle of its own and a hot fingerprint can be split
+    full = scratch.saved(
+        classes.join(moved, "fp", "left").select("fp", F.coalesce("reached", "least").alias("component_id")),
+        "simhash-classes",
+    )
     return prints.join(full, "fp").select(
         F.col("id").alias(id_column), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
