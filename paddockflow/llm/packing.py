@@ -210,22 +210,60 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
     return bins, offsets
 
 
+def fullest_bins(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """(bin, offset) of every piece; ``lengths`` must fall.
+
+    Each bin takes the longest piece left and then those that fill it best (subset sums, long
+    pieces first): slower than best fit, and tighter where gaps add up to less than a bin.
+    """
+    bins, offsets = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64)
+    sizes = lengths.tolist()
+    left, used = list(range(len(sizes))), 0
+    while left:
+        first, *rest = left
+        gap = capacity - sizes[first]
+        within, reached = (1 << (gap + 1)) - 1, [1]  # bit s: some of the pieces so far add up to s
+        for i in rest:
+            reached.append((reached[-1] | reached[-1] << sizes[i]) & within)
+            if reached[-1] >> gap:
+                break
+        total, taken = reached[-1].bit_length() - 1, [first]
+        for k in range(len(reached) - 1, 0, -1):
+            if not reached[k - 1] >> total & 1:
+                taken.append(rest[k - 1])
+                total -= sizes[rest[k - 1]]
+        at = 0
+        for i in taken:
+            bins[i], offsets[i], at = used, at, at + sizes[i]
+        gone = set(taken)
+        left, used = [i for i in left if i not in gone], used + 1
+    return bins, offsets
+
+
 _PACKED = "piece int, start long, length long, ids_crc32 long, sequence_id long, offset long, fill long, certified boolean"
 
 
-def _repack(capacity: int, turn: int):
-    """Pack one pool; rows that are packed already stay so unless there are fewer sequences now."""
+def _repack(capacity: int, turn: int, last: bool):
+    """Pack one pool; rows that are packed already stay so unless there are fewer sequences now.
+
+    The ``last`` pool, which no exchange can help, is packed in the tighter way too.
+    """
 
     def run(pool: pd.DataFrame) -> pd.DataFrame:
         pool = pool.sort_values(["length", "id", "piece", "start", "ids_crc32"], ascending=[False, True, True, True, True])
         bins, offsets = best_fit_decreasing(pool["length"].to_numpy(), capacity)
+        lengths, counts = np.unique(pool["length"].to_numpy(), return_counts=True)
+        needed = lower_bound(lengths, counts, capacity)
+        if last and bins.max() + 1 > needed:
+            tighter = fullest_bins(pool["length"].to_numpy(), capacity)
+            if tighter[0].max() < bins.max():
+                bins, offsets = tighter
         count = int(bins.max()) + 1
         if turn == 0 or count < pool["sequence_id"].nunique():
             pool["sequence_id"] = (turn << 56) + (pool["pool"].to_numpy() << 22) + bins
             pool["offset"] = offsets
         pool["fill"] = pool.groupby("sequence_id")["length"].transform("sum")
-        lengths, counts = np.unique(pool["length"].to_numpy(), return_counts=True)
-        pool["certified"] = pool["sequence_id"].nunique() == lower_bound(lengths, counts, capacity)
+        pool["certified"] = pool["sequence_id"].nunique() == needed
         return pool.drop(columns="pool")
 
     return run
@@ -261,7 +299,7 @@ def packed(
     settled: list[DataFrame] = []  # full sequences of the rounds so far
     done, before = 0, None
     for turn in range(rounds + 1):
-        state = scratch.saved(moving.groupBy("pool").applyInPandas(_repack(capacity, turn), schema), "packing")
+        state = scratch.saved(moving.groupBy("pool").applyInPandas(_repack(capacity, turn, pools == 1), schema), "packing")
         # a sequence has one piece at offset 0
         whole, gaps = state.filter("offset = 0").agg(
             F.count(F.when(F.col("fill") == capacity, 1)), F.count(F.when(F.col("fill") < capacity, 1))
