@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
+    r"|<svg\b(?:[^<>\"']|\"[^\"]*\"|'[^']*')*+(?<=/)>"
     r"|<(script|style|noscript|template|textarea|title|svg|iframe|object|canvas)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
     r".*?(?:</\1\s*>|\Z)"
     r"|<[!?][^>]*>"
@@ -45,6 +46,8 @@ _FURNITURE_NAMES = frozenset(
     "overlay newsletter subscribe signup login search social share sharing related recommended comment comments reply "
     "replies discussion disqus pagination pager toolbar copyright legal disclaimer skip contentinfo complementary".split()
 )
+#: A name that starts with one of these tells what an element is about or has, not what it is.
+_ABOUT = frozenset("has no not with without category cat tag tagged".split())
 _ARTICLE_NAMES = frozenset("article post entry story main content body".split())
 
 #: Features of a block, in the order of the table.
@@ -62,6 +65,12 @@ TRAINING = (
     (1, 0.0, 1, 0.0, 12, 0.0, 0, 1, 0, 1), (150, 0.02, 10, 0.0, 0, 0.0, 0, 1, 0, 1),
     (6, 0.0, 14, 0.0, 5, 1.0, 0, 1, 0, 1), (25, 0.0, 1, 1.0, 90, 0.0, 0, 1, 0, 1),
     (3, 1.0, 70, 0.0, 64, 0.0, 0, 1, 0, 1), (18, 0.0, 8, 0.0, 11, 0.0, 0, 1, 0, 1),
+    # after or between paragraphs and lists with many links
+    (80, 0.0, 20, 0.4, 30, 0.0, 0, 1, 0, 1), (5, 0.0, 4, 0.5, 0, 0.0, 0, 1, 0, 1),
+    (30, 0.0, 12, 0.8, 40, 0.9, 0, 1, 0, 1), (7, 0.0, 3, 1.0, 4, 1.0, 0, 1, 0, 1),
+    (2, 0.0, 0, 0.0, 2, 1.0, 0, 1, 0, 1), (14, 0.2, 30, 0.3, 25, 0.4, 0, 1, 0, 1),
+    (60, 0.0, 9, 0.6, 0, 0.0, 0, 1, 0, 1), (10, 0.6, 60, 0.0, 3, 1.0, 0, 1, 0, 1),
+    (6, 0.0, 2, 1.0, 1, 1.0, 0, 1, 0, 1), (4, 0.0, 3, 1.0, 2, 1.0, 0, 1, 1, 1),
     # their headings
     (8, 0.0, 12, 0.0, 85, 0.0, 0, 1, 1, 1), (9, 0.0, 1, 1.0, 20, 0.0, 0, 1, 1, 1),
     (3, 0.0, 90, 0.0, 55, 0.0, 0, 1, 1, 1), (1, 0.0, 7, 0.0, 2, 0.0, 0, 1, 1, 1),
@@ -141,11 +150,12 @@ def _hints(tag: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
         for name, *values in _ATTRIBUTE.findall(attributes):
             value, name = "".join(values), name.lower()
             if name in ("class", "id", "role"):
-                words = {w.lower() for w in _WORDS.findall(value)}
+                parts = [[w.lower() for w in _WORDS.findall(one)] for one in value.split()]
+                words = {w for one in parts if one and (one[0] not in _ABOUT or len(one) == 1) for w in one}
                 named = words & _ARTICLE_NAMES
                 # a plain page header may hold the article's title; "post-header" names the article's own
                 wrong = words & _FURNITURE_NAMES - ({"header"} if named or in_article else set())
-                furniture |= bool(wrong) and tag not in ("body", "html")
+                furniture |= bool(wrong) and tag not in ("body", "html", *_ARTICLE)
                 article |= bool(named) and not wrong
             elif name == "hidden" and not value or name == "aria-hidden" and value == "true":
                 furniture = True
