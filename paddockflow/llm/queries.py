@@ -6,7 +6,9 @@ import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paddockflow.llm import bpe, html_text, langid, licenses, lines, packing, quality, simhash, topk, toxicity
+from paddockflow.llm import (
+    bpe, html_text, langid, licenses, lines, packing, phrases, quality, simhash, topk, toxicity
+)
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -219,3 +221,14 @@ def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select(
         "row.page_id", "row.url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars")
     )
+
+
+@_query("op13_benchmark_decontamination")
+def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside any ten words of a test item, and those items."""
+    found = phrases.decontaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), words=10)
+    hit = F.aggregate(F.zip_with("span_starts", "span_ends", lambda a, b: b - a), F.lit(0).cast("long"), lambda a, b: a + b)
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("items") > 0).alias("contaminated"),
+    )
