@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paddockflow.llm import (
-    bpe, html_text, langid, licenses, lines, packing, phrases, quality, simhash, topk, toxicity
+    bpe, html_text, langid, licenses, lines, packing, phrases, quality, simhash, topk, toxicity,
+    whitening,
 )
 
 QUERIES: dict = {}
@@ -232,3 +233,9 @@ def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("items") > 0).alias("contaminated"),
     )
+
+
+@_query("op12_embedding_whitening")
+def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every sound vector along the four strongest components of all distinct ones."""
+    return whitening.whitened(table(spark, sf_dir, "embeddings"), scale=256, components=4)

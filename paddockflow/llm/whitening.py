@@ -99,7 +99,6 @@ class FitList:
         Each task adds up its blocks, and one last task the sums of the tasks.
         """
         mean, dims = np.array([s / self.n for s in self.sums]), self.dims
-        packed = f"array<double>"
 
         def partial(batches):
             found = np.zeros(size)
@@ -115,8 +114,8 @@ class FitList:
                 found += batch.column("sums").flatten().to_numpy().reshape(-1, size).sum(axis=0)
             yield pa.RecordBatch.from_arrays([pa.array([found], pa.list_(pa.float64()))], names=["sums"])
 
-        parts = self.blocks.select("block").mapInArrow(partial, f"sums {packed}")
-        return np.array(parts.repartition(1).mapInArrow(whole, f"sums {packed}").first()[0])
+        parts = self.blocks.select("block").mapInArrow(partial, "sums array<double>")
+        return np.array(parts.repartition(1).mapInArrow(whole, "sums array<double>").first()[0])
 
 
 def fit_list(vectors: DataFrame) -> FitList | None:
