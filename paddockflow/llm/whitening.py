@@ -115,7 +115,9 @@ class FitList:
             yield pa.RecordBatch.from_arrays([pa.array([found], pa.list_(pa.float64()))], names=["sums"])
 
         parts = self.blocks.select("block").mapInArrow(partial, "sums array<double>")
-        return np.array(parts.repartition(1).mapInArrow(whole, "sums array<double>").first()[0])
+        # collected, since a limit would end the Python worker each time
+        ((found,),) = parts.repartition(1).mapInArrow(whole, "sums array<double>").collect()
+        return np.array(found)
 
 
 def fit_list(vectors: DataFrame) -> FitList | None:
