@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paddockflow.llm import (
-    bpe, html_text, langid, licenses, lines, packing, phrases, quality, simhash, topk, toxicity,
+    bpe, conversations, html_text, langid, licenses, lines, packing, phrases, quality, simhash, topk, toxicity,
     whitening,
 )
 
@@ -239,3 +239,9 @@ def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every sound vector along the four strongest components of all distinct ones."""
     return whitening.whitened(table(spark, sf_dir, "embeddings"), scale=256, components=4)
+
+
+@_query("op11_conversation_prefix_trie")
+def conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct prefix of the rebuilt conversations with its members and subtree figures."""
+    return conversations.trie(table(spark, sf_dir, "conversations"), every=100, most=6).drop("digest")
