@@ -141,6 +141,28 @@ def merge_feeds(speed_records: DataFrame, rpm_records: DataFrame) -> DataFrame:
     return messages(speed_records, "speed").unionByName(messages(rpm_records, "rpm"))
 
 
+def messages_once(speed_records: DataFrame, rpm_records: DataFrame, delay: str) -> DataFrame:
+    """As :func:`merge_feeds`, with one message for each window of a session and feed.
+
+    A batch that was written again after a failure is in the feed twice; the first of both is
+    taken.  On a stream what was seen is remembered until the watermark, ``delay`` behind the
+    newest window, has passed it, and a message that comes later still is dropped.  A window
+    whose start is no time can't be remembered like that: its messages all pass.
+    """
+
+    def keyed(records: DataFrame, feed: str) -> DataFrame:
+        rows = valid_feed(records, feed)
+        at = F.try_to_timestamp("window_start").alias("_at")
+        return rows.select(
+            F.lit(feed).alias("type"), message(feed, rows.columns).alias("message"), "session_uid", at
+        )
+
+    both = keyed(speed_records, "speed").unionByName(keyed(rpm_records, "rpm"))
+    timed, key = both.where("_at is not null"), ["type", "session_uid", "_at"]
+    once = timed.withWatermark("_at", delay).dropDuplicatesWithinWatermark(key) if both.isStreaming else timed.dropDuplicates(key)
+    return once.unionByName(both.where("_at is null")).select("type", "message")
+
+
 def dispatch(tagged: DataFrame, feed: str, text: str = "message") -> DataFrame:
     """The rows of one type out of tagged message text."""
     schema = ", ".join(f"{name}: {kind}" for name, kind in columns(FEEDS[feed]))

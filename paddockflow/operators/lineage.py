@@ -121,8 +121,8 @@ def window_lineage(partials: DataFrame, span_name: str, on_bad: str = "fail") ->
     )
 
 
-def packet_attributes(decoded: DataFrame, kinds: Sequence[str]) -> DataFrame:
-    """Trace attributes of each decoded packet."""
+def packet_attributes(decoded: DataFrame, kinds: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """Trace attributes of each decoded packet, with the ``keep`` columns."""
 
     def header(field: str) -> Column:
         return F.coalesce(*[F.col(f"{kind}.m_header.{field}") for kind in kinds])
@@ -132,4 +132,30 @@ def packet_attributes(decoded: DataFrame, kinds: Sequence[str]) -> DataFrame:
         header("m_session_uid").alias("session_uid"),
         header("m_frame_identifier").alias("frame_identifier"),
         F.col("packet_kind").alias("packet_type"),
+        *keep,
+    )
+
+
+def resolved_links(links: DataFrame, packets: DataFrame, width: str, delay: str) -> DataFrame:
+    """Each link with the packet it names: ``packet_id``, ``frame_identifier``, ``packet_type``.
+
+    ``packets`` are :func:`packet_attributes` with ``trace_id``, ``span_id`` and ``timestamp``;
+    a packet lies in the window of its link, whose ``width`` bounds what a stream keeps of either
+    side.  Trace ids spread evenly, so no session is hot.  On streams a link without a packet
+    comes out, with NULLs, once no packet of its window can come any more: ``delay`` after it.
+    """
+
+    def bounded(rows: DataFrame, time: str) -> DataFrame:
+        return rows.withWatermark(time, delay) if rows.isStreaming else rows
+
+    known = bounded(links, "window_start").alias("link")
+    found = bounded(
+        packets.select("trace_id", "span_id", "packet_id", "frame_identifier", "packet_type", "timestamp"), "timestamp"
+    ).alias("packet")
+    start, at = F.col("link.window_start"), F.col("packet.timestamp")
+    same = [F.col(f"link.{c}") == F.col(f"packet.{c}") for c in ("trace_id", "span_id")]
+    on = reduce(and_, [*same, at >= start, at < start + F.expr(f"INTERVAL {width}")])
+    return known.join(found, on, "left").select(
+        *[F.col(f"link.{c}") for c in links.columns],
+        *[F.col(f"packet.{c}") for c in ("packet_id", "frame_identifier", "packet_type")],
     )

@@ -76,6 +76,25 @@ def telemetry_windows(
     return window_aggregate(rows, width, ["session_uid"], aggregates, delay)
 
 
+def open_telemetry_windows(held: DataFrame, measures: Sequence[str] = MEASURES) -> DataFrame:
+    """As :func:`telemetry_windows`, from the buffers of windows that its stream still holds.
+
+    ``held`` is ``counts.open_windows`` of that stream: one buffer for the session time, four for
+    each measure (sum, count, min, max), one for the count.
+    """
+    stats, n = [], 1
+    for name in measures:
+        total, known, low, high = (F.col(f"buffer_{n + k}") for k in range(4))
+        stats += [
+            F.when(known > 0, total / known).alias(f"avg_{name}"), low.alias(f"min_{name}"), high.alias(f"max_{name}")
+        ]
+        n += 4
+    return held.select(
+        "window_start", "window_end", "session_uid", F.col("buffer_0").alias("session_time"), *stats,
+        F.col(f"buffer_{n}").alias("sample_count"),
+    )
+
+
 def measure_columns(measure: str) -> list[str]:
     """Columns of one measure's aggregate table, in table order."""
     return [

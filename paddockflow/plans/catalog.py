@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from paddockflow.plans import packets, serving, streams  # noqa: F401  (they register)
+from paddockflow.plans import live, packets, serving, streams  # noqa: F401  (they register)
 from paddockflow.plans.batch import ORACLES, QUERIES
 from paddockflow.session import pin_utc
 

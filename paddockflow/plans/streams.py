@@ -206,18 +206,26 @@ intime AS (
 def stream_late_rows(spark, sf_dir):
     """Three loads into one query that is stopped and restarted between them."""
     root = scratch.new_folder(spark, "late")
+    for _ in late_loads(spark, sf_dir, root):
+        pass
+    return plain(warehouse.read(spark, f"{root}/wh", "speed_aggregation"))
+
+
+def late_loads(spark, sf_dir, root, **options):
+    """Run the telemetry job on one load after the other; yields each run once it has ended."""
     source = feeds.table(spark, sf_dir, "events")
     kind = F.coalesce("event_type", F.lit(""))
     loads = [kind.isin(*types) for types in ARRIVALS]
     for load in [*loads, ~kind.isin(*[t for types in ARRIVALS for t in types])]:
         source.where(load).write.mode("append").parquet(f"{root}/in")
         arrived = spark.readStream.schema(source.schema).parquet(f"{root}/in")
-        pipeline.start_telemetry(
+        job = pipeline.start_telemetry(
             feeds.telemetry_records(by_session(feeds.event_columns(arrived))),
             f"{root}/wh", f"{root}/cp", width="6 hours", delay=f"{DELAY_DAYS} days", trigger=NOW,
-            name=_name(root),
-        ).awaitTermination()
-    return plain(warehouse.read(spark, f"{root}/wh", "speed_aggregation"))
+            name=_name(root), **options
+        )
+        job.awaitTermination()
+        yield job
 
 
 @query("stream_rerun", sql.SESSION_PACKETS + _closed(sql.lap_windows(HOUR)))

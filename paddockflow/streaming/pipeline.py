@@ -6,7 +6,9 @@ windows.  Each query needs its own checkpoint folder on shared storage.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,8 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from paddockflow import schemas
-from paddockflow.operators import decode, envelope, lineage, project, windows
+from paddockflow.operators import decode, envelope, lineage, project, serve, windows
 from paddockflow.sources import layouts
+from paddockflow.streaming import counts, live
 from paddockflow.streaming.sinks import FeedSink, append_lineage, append_table, held, kept, single
 
 # Fixed value: trigger of the two dimension queries.
@@ -25,6 +28,9 @@ WINDOW_SPANS = "window_spans"
 WINDOW_LINKS = "window_links"
 PACKET_SPANS = "packet_spans"
 BAD_TRACES = "bad_traces"
+LIVE_CHANGES = "live_changes"
+LATE_WINDOWS = "late_windows"
+RESOLVED_LINKS = "resolved_links"
 
 _MEASURES = {
     "speed": ("speed_aggregation", lineage.SPEED_SPAN),
@@ -33,11 +39,18 @@ _MEASURES = {
 
 
 def _start(
-    rows: DataFrame, name: str, action, checkpoints: str, trigger: dict | None, state_partitions: int | None = None
+    rows: DataFrame, name: str, action, checkpoints: str, trigger: dict | None, state_partitions: int | None = None,
+    settings: dict[str, str] | None = None,
 ) -> StreamingQuery:
-    """``state_partitions`` splits the state of a query whose checkpoint is new; it can't change later."""
-    conf, setting = rows.sparkSession.conf, "spark.sql.shuffle.partitions"
-    before = conf.get(setting)
+    """``state_partitions`` splits the state of a query whose checkpoint is new; it can't change later.
+
+    ``settings`` hold for this query alone: a query takes the session's settings when it starts.
+    """
+    conf = rows.sparkSession.conf
+    wanted = dict(settings or {})
+    if state_partitions:
+        wanted["spark.sql.shuffle.partitions"] = str(state_partitions)
+    before = {setting: conf.get(setting, None) for setting in wanted}
     writer = (
         rows.writeStream.queryName(name)
         .foreachBatch(action)
@@ -45,11 +58,15 @@ def _start(
         .option("checkpointLocation", f"{checkpoints.rstrip('/')}/{name}")
     )
     try:
-        if state_partitions:
-            conf.set(setting, str(state_partitions))
+        for setting, value in wanted.items():
+            conf.set(setting, value)
         return (writer.trigger(**trigger) if trigger else writer).start()
     finally:
-        conf.set(setting, before)
+        for setting, value in before.items():
+            if value is None:
+                conf.unset(setting)
+            else:
+                conf.set(setting, value)
 
 
 def start_telemetry(
@@ -65,13 +82,15 @@ def start_telemetry(
     name: str = "telemetry",
     with_lineage: bool = True,
     state_partitions: int | None = None,
+    observe: bool = False,
 ) -> StreamingQuery:
     """Windows of speed and revs to their feeds, then to their tables, with lineage.
 
     ``feeds`` maps ``speed`` and ``rpm`` to their sinks; a measure without one only
     goes to its table.  Without lineage the state has one row per window instead of one
     per packet.  Links are the same for both measures and are written once, with the span
-    names as a column; bad trace parents go to their own table under ``quarantine``.
+    names as a column; bad trace parents go to their own table under ``quarantine``.  With
+    ``observe`` each batch counts its rows and those that hold no packet (see ``counts``).
     """
     feeds = feeds or {}
 
@@ -93,7 +112,10 @@ def start_telemetry(
             bad = lineage.bad_traces(partials).select(*lineage.WINDOW, "traceparent")
             append_lineage(bad, warehouse, BAD_TRACES, batch)
 
-    rows = project.telemetry_rows(envelope.read_packets(records, schemas.TELEMETRY_JSON), clock)
+    packets = envelope.read_packets(records, schemas.TELEMETRY_JSON)
+    if observe:
+        packets = counts.observed(packets, F.col("m_header").isNull())
+    rows = project.telemetry_rows(packets, clock)
     if with_lineage:
         partials = windows.trace_windows(rows, width=width, delay=delay)
         return _start(partials, name, kept(write), checkpoints, trigger, state_partitions)
@@ -223,6 +245,97 @@ def start_merge(
     return _start(both, name, kept(write), checkpoints, trigger)
 
 
+def start_merge_once(
+    speed_records: DataFrame,
+    rpm_records: DataFrame,
+    messages: FeedSink,
+    checkpoints: str,
+    delay: str = "1 minute",
+    trigger: dict | None = None,
+    name: str = "merge-once",
+    state_partitions: int | None = None,
+) -> StreamingQuery:
+    """Both aggregate feeds into one feed of tagged messages, without those a replay wrote twice.
+
+    The feeds are written at least once; ``delay`` is how far behind the newest window a second
+    copy may come.  :func:`start_merge` has the rejects.
+    """
+
+    def write(rows: DataFrame, batch: str) -> None:
+        messages.write(rows, batch)
+
+    once = envelope.messages_once(speed_records, rpm_records, delay)
+    return _start(once, name, single(write), checkpoints, trigger, state_partitions)
+
+
+def start_resolution(
+    links: DataFrame,
+    packets: DataFrame,
+    warehouse: str,
+    checkpoints: str,
+    width: str = windows.TELEMETRY_WINDOW,
+    delay: str = "1 minute",
+    trigger: dict | None = None,
+    name: str = "resolve-links",
+    state_partitions: int | None = None,
+) -> StreamingQuery:
+    """Links of windows with the packets they name, to the table ``resolved_links``."""
+
+    def write(rows: DataFrame, batch: str) -> None:
+        append_lineage(rows, warehouse, RESOLVED_LINKS, batch)
+
+    resolved = lineage.resolved_links(links, packets, width, delay)
+    return _start(resolved, name, single(write), checkpoints, trigger, state_partitions)
+
+
+def start_live(
+    rows: DataFrame,
+    warehouse: str,
+    checkpoints: str,
+    kind: str,
+    order: Sequence[str],
+    n: int = serve.HISTORY_ROWS,
+    trigger: dict | None = None,
+    name: str = "live",
+    state_partitions: int | None = None,
+) -> StreamingQuery:
+    """Changes of every kind's latest row and last ``n`` rows to the table ``live_changes``."""
+
+    def write(changes: DataFrame, batch: str) -> None:
+        append_lineage(changes, warehouse, LIVE_CHANGES, batch)
+
+    changes = live.live_changes(rows, kind, order, n)
+    return _start(changes, name, single(write), checkpoints, trigger, state_partitions, live.KEYED_STATE)
+
+
+def start_closing_telemetry(
+    records: DataFrame,
+    warehouse: str,
+    checkpoints: str,
+    seconds: int = 1,
+    delay_seconds: float = 1,
+    idle_seconds: float = 30,
+    clock: str = "timestamp",
+    trigger: dict | None = None,
+    name: str = "closing-telemetry",
+    state_partitions: int | None = None,
+) -> StreamingQuery:
+    """Windows of speed and revs to their tables, those of a stalled session after ``idle_seconds``.
+
+    What came too late goes to the table ``late_windows``.
+    """
+
+    def write(closed: DataFrame, batch: str) -> None:
+        in_time = closed.where(F.col("closed_by") != live.LATE)
+        for measure, (table, _) in _MEASURES.items():
+            append_table(in_time.select(*windows.measure_columns(measure)), warehouse, table, batch)
+        append_lineage(closed.where(F.col("closed_by") == live.LATE).drop("closed_by"), warehouse, LATE_WINDOWS, batch)
+
+    rows = project.telemetry_rows(envelope.read_packets(records, schemas.TELEMETRY_JSON), clock)
+    closed = live.closing_windows(rows, seconds=seconds, delay_seconds=delay_seconds, idle_seconds=idle_seconds)
+    return _start(closed, name, kept(write), checkpoints, trigger, state_partitions, live.KEYED_STATE)
+
+
 def start_all(
     sources: dict[str, DataFrame],
     warehouse: str,
@@ -260,3 +373,28 @@ def run_until_one_ends(spark: SparkSession, queries: list[StreamingQuery]) -> No
     finally:
         for query in queries:
             query.stop()
+
+
+def run_until_quiet(query: StreamingQuery, seconds: float, poll: float = 0.1) -> None:
+    """Stop a query once nothing came in for so long and a batch has run since.
+
+    For queries with timers of their own, whose batches go on without input: by then the timers
+    of what has stalled have fired.
+    """
+
+    def at(progress) -> float:
+        return datetime.fromisoformat(progress["timestamp"].replace("Z", "+00:00")).timestamp()
+
+    began = time.time()
+    try:
+        while query.isActive:
+            seen = query.recentProgress
+            busy = [at(p) + p["durationMs"].get("triggerExecution", 0) / 1000 for p in seen if p["numInputRows"]]
+            quiet_since = max([began, *busy])
+            if any(not p["numInputRows"] and at(p) >= quiet_since + seconds for p in seen):
+                break
+            time.sleep(poll)
+        if query.exception():
+            raise query.exception()
+    finally:
+        query.stop()
