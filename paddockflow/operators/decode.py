@@ -126,8 +126,11 @@ def _decoder(carried, dtypes, arrow_types, nan_as_null):
     def packets(raw, dtype):
         import numpy as np
 
-        start = np.frombuffer(raw.buffers()[1], np.int32)[raw.offset]
-        return np.frombuffer(raw.buffers()[2], dtype, count=len(raw), offset=start)
+        import pyarrow as pa
+
+        wide = pa.types.is_large_binary(raw.type)
+        start = np.frombuffer(raw.buffers()[1], np.int64 if wide else np.int32)[raw.offset]
+        return np.frombuffer(raw.buffers()[2], dtype, count=len(raw), offset=int(start))
 
     def decode_batches(batches):
         import pyarrow as pa
@@ -175,6 +178,82 @@ def event_details(events: DataFrame, variant: str) -> DataFrame:
     return events.withColumn(variant, F.struct(*out))
 
 
+def event_union(datagrams: DataFrame, payload: str = "payload", keep: Sequence[str] = ()) -> DataFrame:
+    """Event datagrams with their details as the variant that the four-letter code names.
+
+    The result has the ``keep`` columns, ``m_header``, ``event_code``, ``variant``, ``details``
+    (a struct with one struct per variant, NULL but for the row's own) and ``raw_details``: the
+    16 bytes of a code that names no variant, NULL otherwise.  Codes are read as Latin-1.  All
+    variants are read in one pass; other datagrams are left out.
+    """
+    codes = layouts.EVENT_CODES
+    exact = (
+        route(datagrams, payload)
+        .where((F.col("datagram_status") == "ok") & (F.col("packet_kind") == "event"))
+        .select(*keep, F.substring(F.col(payload), F.lit(1), F.lit(layouts.packet_size("event"))).alias("_bytes"))
+    )
+    header = layouts.packet_type("event")["m_header"]
+    details = T.StructType([T.StructField(v, layouts.details_type(v)) for v in codes.values()])
+    schema = T.StructType([
+        *[exact.schema[name] for name in keep], header, T.StructField("event_code", T.StringType()),
+        T.StructField("variant", T.StringType()), T.StructField("details", details),
+        T.StructField("raw_details", T.BinaryType()),
+    ])
+    arrow = to_arrow_schema(schema)
+    dtypes = {variant: layouts.details_dtype(variant) for variant in codes.values()}
+    return exact.mapInArrow(_union_decoder(list(keep), layouts.packet_dtype("event"), dtypes, codes, arrow), schema)
+
+
+def _union_decoder(carried, packet, dtypes, codes, arrow):
+    """Batch function for :func:`event_union`; each variant is a view on the same detail bytes."""
+
+    def fields(values, arrow_type, missing):
+        import pyarrow as pa
+
+        children = [
+            pa.array(values[f.name].astype(f.type.to_pandas_dtype()), f.type, mask=missing) for f in arrow_type
+        ]
+        mask = None if missing is None else pa.array(missing)
+        return pa.StructArray.from_arrays(children, fields=list(arrow_type), mask=mask)
+
+    def decode_batches(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            raw = batch.column("_bytes")
+            events = np.frombuffer(b"".join(raw.to_pylist()), packet)
+            bytes_of = np.ascontiguousarray(events["m_event_details"])
+            width = bytes_of.shape[1]
+            code, number = np.unique(np.ascontiguousarray(events["m_event_string_code"]), axis=0, return_inverse=True)
+            text = [bytes(c).decode("latin-1") for c in code]
+            named = np.array([codes.get(t, "") for t in text], dtype=object)[number.ravel()] if len(text) else np.zeros(0, object)
+            variants = []
+            for variant, dtype in dtypes.items():
+                offsets = [dtype.fields[n][1] for n in dtype.names]
+                padded = np.dtype({
+                    "names": list(dtype.names), "formats": [dtype[n] for n in dtype.names], "offsets": offsets,
+                    "itemsize": width,
+                })
+                kind = arrow.field("details").type.field(variant).type
+                variants.append(fields(bytes_of.reshape(-1).view(padded), kind, named != variant))
+            unknown = named == ""
+            details = pa.StructArray.from_arrays(
+                variants, fields=list(arrow.field("details").type), mask=pa.array(unknown)
+            )
+            columns = {name: batch.column(name) for name in carried}
+            columns |= {
+                "m_header": fields(events["m_header"], arrow.field("m_header").type, None),
+                "event_code": pa.array([text[i] for i in number.ravel()], pa.string()),
+                "variant": pa.array(named, pa.string(), mask=unknown),
+                "details": details,
+                "raw_details": pa.array([bytes(b) if u else None for b, u in zip(bytes_of, unknown)], pa.binary()),
+            }
+            yield pa.RecordBatch.from_arrays([columns[n] for n in arrow.names], names=arrow.names)
+
+    return decode_batches
+
+
 def _float_from_bits(bits: Column) -> Column:
     """IEEE-754 single precision from its 32 bits; exact, since DOUBLE holds it."""
     sign = F.when(F.shiftright(bits, 31) == 1, -1.0).otherwise(1.0)

@@ -12,7 +12,7 @@ from paddockflow.operators import decode, lineage, serve, windows
 from paddockflow.plans import batch, feeds, sql
 from paddockflow.plans.batch import plain, query
 from paddockflow.plans.streams import _LATE, NOW, _name, _telemetry, by_session, event_stream, late_loads
-from paddockflow.sources import datagrams, records, warehouse
+from paddockflow.sources import captures, datagrams, records, warehouse
 from paddockflow.streaming import counts, live, pipeline
 from paddockflow.streaming.sinks import FeedSink
 
@@ -191,3 +191,50 @@ def stream_open_windows(spark, sf_dir):
     closed = plain(warehouse.read(spark, f"{root}/wh", "speed_aggregation"))
     held = windows.open_telemetry_windows(counts.open_windows(spark, f"{root}/cp/{_name(root)}"))
     return closed.unionByName(plain(held.select(*windows.measure_columns("speed"))))
+
+
+# --- capture files ----------------------------------------------------------------------------
+
+
+@query(
+    "capture_file_scan",
+    """
+SELECT event_id, ts AS timestamp, CAST((event_id + CAST(json_extract_string(props, '$.k') AS INT) // 4 * 31) % 100 AS INT) AS speed
+FROM events WHERE CAST(json_extract_string(props, '$.k') AS INT) < 88
+""",
+)
+def capture_file_scan(spark, sf_dir):
+    """Player speeds out of capture files, each read by several tasks."""
+    path = scratch.new_folder(spark, "captures")
+    captures.write(feeds.datagrams(by_session(feeds.events(spark, sf_dir)), "car_telemetry"), path)
+    packets = decode.decode_kind(
+        captures.read(spark, path, split_bytes=1 << 20), "car_telemetry", fields=["m_header", "m_speed"], keep=["timestamp"]
+    )
+    speed = F.get("m_car_telemetry_data", F.col("m_header.m_player_car_index"))["m_speed"]
+    return plain(packets.select(F.col("m_header.m_frame_identifier").alias("event_id"), "timestamp", speed.alias("speed"))).where(
+        "speed is not null"
+    )
+
+
+@query(
+    "stream_capture_files",
+    "SELECT event_id AS frame, CAST((event_id + 21 * 31) % 100 AS BIGINT) AS last_car_value FROM events",
+)
+def stream_capture_files(spark, sf_dir):
+    """Captures that grow between two runs of the publishing job: every datagram once."""
+    root = scratch.new_folder(spark, "captures")
+    rows = by_session(feeds.events(spark, sf_dir))
+    place = F.concat_ws("@", F.col("source"), F.col("offset").cast("string"))
+    for first in (True, False):
+        load = rows.where((F.col("event_id") % 2 == 0) == F.lit(first))
+        captures.write(feeds.datagrams(load, "car_telemetry"), f"{root}/in")
+        pipeline.start_publish(
+            captures.read_stream(spark, f"{root}/in", split_bytes=1 << 20),
+            FeedSink("parquet", {"path": f"{root}/records"}), f"{root}/cp",
+            F.md5(place), F.substring(F.md5(F.concat(F.lit("s"), place)), 1, 16), keep=["timestamp"], trigger=NOW,
+            name=_name(root),
+        ).awaitTermination()
+    return spark.read.parquet(f"{root}/records").select(
+        F.get_json_object("value", "$.m_header.m_frame_identifier").cast("bigint").alias("frame"),
+        F.get_json_object("value", "$.m_car_telemetry_data[21].m_speed").cast("bigint").alias("last_car_value"),
+    )

@@ -202,6 +202,70 @@ def decode_event(spark, sf_dir):
     )
 
 
+#: Events take the codes in turn; the last two name no variant.
+_CODES = [*layouts.EVENT_CODES, "SSTA", "????"]
+
+
+def _coded(spark, sf_dir):
+    """Event datagrams with a code each."""
+    code = F.element_at(F.array(*[F.lit(c) for c in _CODES]), (F.col("event_id") % len(_CODES) + 1).cast("int"))
+    at = layouts.packet_dtype("event").fields["m_event_string_code"][1] + 1
+    payload = F.overlay(F.col("payload"), F.encode(code, "UTF-8"), F.lit(at), F.lit(4))
+    return _datagrams(spark, sf_dir, "event").withColumn("payload", payload)
+
+
+def _detail_sql(variant: str, field: str) -> str:
+    """A field of the detail bytes by arithmetic; byte ``i`` of them is value number ``4 + i``."""
+    dtype = layouts.details_dtype(variant)
+    start, kind = dtype.fields[field][1], dtype[field]
+    b = [f"CAST((event_id + {4 + start + i}) % 100 AS BIGINT)" for i in range(kind.itemsize)]
+    if kind.kind != "f":
+        return f"CAST({' + '.join(f'{x} * {1 << 8 * i}' for i, x in enumerate(b))} AS DOUBLE)"
+    fraction = f"({b[0]} + {b[1]} * 256 + {b[2]} % 128 * 65536) / 8388608.0::DOUBLE"
+    exponent = f"({b[3]} * 2 + {b[2]} // 128)"
+    return (
+        f"CASE WHEN {exponent} = 0 THEN {fraction} * pow(2.0::DOUBLE, -126) "
+        f"ELSE (1 + {fraction}) * pow(2.0::DOUBLE, {exponent} - 127) END"
+    )
+
+
+def _union_sql() -> str:
+    selects = []
+    for n, (code, variant) in enumerate(layouts.EVENT_CODES.items()):
+        for field in layouts.details_dtype(variant).names:
+            selects.append(
+                f"SELECT event_id, session_uid, '{code}' AS event_code, '{variant}.{field}' AS field, "
+                f"{_detail_sql(variant, field)} AS value, NULL AS raw FROM d WHERE event_id % {len(_CODES)} = {n}"
+            )
+    hexed = " || ".join(f"printf('%02X', (event_id + {4 + i}) % 100)" for i in range(16))
+    for n in (len(_CODES) - 2, len(_CODES) - 1):
+        selects.append(
+            f"SELECT event_id, session_uid, '{_CODES[n]}' AS event_code, NULL AS field, NULL AS value, "
+            f"{hexed} AS raw FROM d WHERE event_id % {len(_CODES)} = {n}"
+        )
+    return " UNION ALL ".join(selects)
+
+
+@query("decode_event_union", _EVENTS + _union_sql())
+def decode_event_union(spark, sf_dir):
+    """All events, each as the variant its code names, one row a field; other codes keep their bytes."""
+    rows = decode.event_union(_coded(spark, sf_dir), keep=["event_id"])
+
+    def fields(variant: str):
+        of = F.col(f"details.{variant}")
+        entries = [
+            F.struct(F.lit(f"{variant}.{f}").alias("field"), of[f].cast("double").alias("value"))
+            for f in layouts.details_dtype(variant).names
+        ]
+        return F.when(F.col("variant") == variant, F.array(*entries))
+
+    return rows.select(
+        "event_id", F.col("m_header.m_session_uid").alias("session_uid"), "event_code",
+        F.hex("raw_details").alias("raw"),
+        F.inline_outer(F.coalesce(*[fields(v) for v in layouts.EVENT_CODES.values()])),
+    )
+
+
 def _mixed(spark, sf_dir):
     """Sound, cut, overlong, tiny and unknown datagrams, by event type."""
     kind = F.col("event_type")

@@ -300,6 +300,25 @@ EVENT_DETAILS = {
     "collision": "u8 vehicle1_idx vehicle2_idx",
 }
 
+# Four-letter code of an event -> what its detail bytes hold; other codes have no details.
+EVENT_CODES = {
+    "FTLP": "fastest_lap",
+    "RTMT": "retirement",
+    "DRSD": "drs_disabled",
+    "TMPT": "team_mate_in_pits",
+    "RCWN": "race_winner",
+    "PENA": "penalty",
+    "SPTP": "speed_trap",
+    "STLG": "start_lights",
+    "DTSV": "drive_through_penalty_served",
+    "SGSV": "stop_go_penalty_served",
+    "FLBK": "flashback",
+    "BUTN": "buttons",
+    "OVTK": "overtake",
+    "SCAR": "safety_car",
+    "COLL": "collision",
+}
+
 # wire type -> (NumPy little-endian code, Spark type wide enough for it)
 WIRE_TYPES = {
     "u8": ("u1", T.IntegerType()),
