@@ -278,6 +278,11 @@ def datagrams(rows: DataFrame, kind: str) -> DataFrame:
     The header carries the event; body value number ``j``, counted over all array
     slots in wire order, is ``(event_id + j) % 100``, and a quarter of it for floats.
     """
+    return datagrams_by_kind(rows, F.lit(kind), [kind])
+
+
+def datagrams_by_kind(rows: DataFrame, kind: Column, kinds: list[str]) -> DataFrame:
+    """One datagram per event, of the kind (one of ``kinds``) that an expression names for it."""
     source = rows.select(
         "event_id",
         "timestamp",
@@ -287,12 +292,24 @@ def datagrams(rows: DataFrame, kind: str) -> DataFrame:
         F.when(F.col("event_type") == "signup", F.lit(1)).otherwise(F.lit(0)).alias("high"),
         "user_id",
         player_index().alias("player"),
+        kind.alias("kind"),
     )
     schema = T.StructType(
         [source.schema[c] for c in ("event_id", "timestamp", "event_type", "k", "value")]
         + [T.StructField("payload", T.BinaryType())]
     )
-    return source.mapInArrow(_packer(layouts.packet_dtype(kind), layouts.packet_id(kind)), schema)
+    packers = {k: _packer(layouts.packet_dtype(k), layouts.packet_id(k)) for k in kinds}
+
+    def run(batches):
+        import pyarrow.compute as pc
+
+        for batch in batches:
+            for name, pack in packers.items():
+                part = batch.filter(pc.equal(batch.column("kind"), name))
+                if part.num_rows:
+                    yield from pack([part])
+
+    return source.mapInArrow(run, schema)
 
 
 def _packer(dtype, packet_id):

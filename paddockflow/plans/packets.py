@@ -325,20 +325,17 @@ def datagram_guard(spark, sf_dir):
     return packets.select("event_id", speed.alias("speed"))
 
 
+#: Event type -> kind; every other type, and none, is of a kind that stops after decoding.
+_KINDS = {"click": "car_telemetry", "view": "lap", "purchase": "lobby_info", "signup": "participants"}
+_UNPUBLISHED = "motion_ex"
+
+
 def _published_kinds(spark, sf_dir):
-    """The event types as four published kinds and one that stops after decoding."""
-    kinds = {
-        "click": "car_telemetry", "view": "lap", "purchase": "lobby_info",
-        "signup": "participants", "error": "motion_ex",
-    }
-    rows = feeds.events(spark, sf_dir)
-    parts = [
-        feeds.datagrams(rows.where(F.col("event_type") == event), kind) for event, kind in kinds.items()
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    """All events as datagrams of four published kinds and one that is not, in one scan."""
+    kind = F.lit(_UNPUBLISHED)
+    for event, name in _KINDS.items():
+        kind = F.when(F.col("event_type") == event, name).otherwise(kind)
+    return feeds.datagrams_by_kind(feeds.events(spark, sf_dir), kind, [*_KINDS.values(), _UNPUBLISHED])
 
 
 _KIND_OF = """CASE event_type WHEN 'click' THEN 'car_telemetry' WHEN 'view' THEN 'lap'
@@ -362,7 +359,7 @@ SELECT {_KIND_OF} AS packet_kind,
          WHEN 'view' THEN (event_id + 21 * 33 + 13) % 100
          WHEN 'purchase' THEN (event_id + 21 * 41 + 41) % 100
          ELSE (event_id + 21 * 56 + 6) % 100 END AS last_car_value
-FROM d WHERE event_type <> 'error'
+FROM d WHERE event_type IN ('click', 'view', 'purchase', 'signup')
 """,
 )
 def publish_records(spark, sf_dir):
@@ -401,7 +398,7 @@ def publish_records(spark, sf_dir):
 SELECT CASE event_type WHEN 'click' THEN 6 WHEN 'view' THEN 2 WHEN 'purchase' THEN 9 ELSE 4 END
          AS packet_id,
        session_uid, event_id AS frame_identifier, {_KIND_OF} AS packet_type
-FROM d WHERE event_type <> 'error'
+FROM d WHERE event_type IN ('click', 'view', 'purchase', 'signup')
 """,
 )
 def packet_attributes(spark, sf_dir):
@@ -416,7 +413,7 @@ def packet_attributes(spark, sf_dir):
     _EVENTS
     + f"""
 SELECT coalesce({_KIND_OF}, 'motion_ex') AS packet_kind, event_id FROM d
-QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) = 1
+QUALIFY row_number() OVER (PARTITION BY packet_kind ORDER BY ts, event_id) = 1
 """,
 )
 def first_packet_per_kind(spark, sf_dir):

@@ -6,6 +6,8 @@ checkpoints go to a fresh folder of the shared scratch directory.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -324,28 +326,59 @@ def capture_scan(spark, sf_dir):
     return packets.select("event_id", speed.alias("speed")).where("speed is not null")
 
 
+def _job_sql(job: str, source: str, at: str, number: str) -> str:
+    return f"SELECT '{job}' AS job, session_uid, {at} AS at, CAST({number} AS BIGINT) AS number FROM ({source})"
+
+
 @query(
     "stream_all_jobs",
-    """
-SELECT 'participants' AS job, count(*) AS result_rows FROM part
-UNION ALL SELECT 'lobby_info', count(*) FROM customer
-""",
+    sql.SESSION_PACKETS
+    + " UNION ALL ".join([
+        _job_sql("telemetry", _closed(sql.telemetry_windows(HOUR, ["speed"])), "window_start", "max_speed * 1000 + sample_count"),
+        _job_sql("telemetry", _closed(sql.telemetry_windows(HOUR, ["rpm"])), "window_start", "max_rpm * 1000 + sample_count"),
+        _job_sql("lap", _closed(sql.lap_windows(HOUR)), "window_start", "current_lap_time_ms * 100 + car_index"),
+        _job_sql("participants", f"{PARTICIPANTS_SQL} FROM part", '"timestamp"', "driver_id * 1000 + team_id"),
+        _job_sql("lobby_info", f"{LOBBY_SQL} FROM customer", '"timestamp"', "team_id * 1000 + car_number"),
+    ]),
 )
 def stream_all_jobs(spark, sf_dir):
-    """Jobs started together, each to the end of its feed."""
+    """All four jobs started together, each to the end of its feed, with the rows that each wrote."""
     root = scratch.new_folder(spark, "all")
+    events = event_stream(spark, sf_dir)
     sources = {
+        "telemetry": feeds.telemetry_records(events),
+        "lap": feeds.lap_records(events),
         "participants": feeds.part_records(_stream(spark, sf_dir, "part")),
         "lobby_info": feeds.customer_records(_stream(spark, sf_dir, "customer")),
     }
     options = {job: {"trigger": NOW, "name": f"{job}-{_name(root)}"} for job in sources}
+    for job in ("telemetry", "lap"):
+        options[job] |= {"width": "1 hour", "state_partitions": 8}
     for started in pipeline.start_all(sources, f"{root}/wh", f"{root}/cp", options=options):
         started.awaitTermination()
+
+    def written(job, table, at, number):
+        rows = plain(warehouse.read(spark, f"{root}/wh", table))
+        return rows.select(F.lit(job).alias("job"), "session_uid", F.col(at).alias("at"), F.expr(number).cast("bigint").alias("number"))
+
     tables = [
-        warehouse.read(spark, f"{root}/wh", job).agg(F.count("*").alias("result_rows")).select(F.lit(job).alias("job"), "result_rows")
-        for job in sources
+        written("telemetry", "speed_aggregation", "window_start", "max_speed * 1000 + sample_count"),
+        written("telemetry", "rpm_aggregation", "window_start", "max_rpm * 1000 + sample_count"),
+        written("lap", "lap", "window_start", "current_lap_time_ms * 100 + car_index"),
+        written("participants", "participants", "timestamp", "driver_id * 1000 + team_id"),
+        written("lobby_info", "lobby_info", "timestamp", "team_id * 1000 + car_number"),
     ]
-    return tables[0].unionByName(tables[1])
+    return reduce(DataFrame.unionByName, tables)
+
+
+@query("stream_timed_trigger", f"{LOBBY_SQL} FROM customer")
+def stream_timed_trigger(spark, sf_dir):
+    """Lobby rows of a job on its own 30 s trigger, stopped once its feed has been read."""
+    root = scratch.new_folder(spark, "timed")
+    packets = feeds.customer_records(_stream(spark, sf_dir, "customer"))
+    job = pipeline.start_lobby(packets, f"{root}/wh", f"{root}/cp", name=_name(root))
+    pipeline.run_until_read(job)
+    return plain(warehouse.read(spark, f"{root}/wh", "lobby_info"))
 
 
 @query(

@@ -398,3 +398,14 @@ def run_until_quiet(query: StreamingQuery, seconds: float, poll: float = 0.1) ->
             raise query.exception()
     finally:
         query.stop()
+
+
+def run_until_read(query: StreamingQuery, poll: float = 0.1) -> None:
+    """Stop a query on a timed trigger after the first batch with rows; later rows stay for a restart."""
+    try:
+        while query.isActive and not any(p["numInputRows"] for p in query.recentProgress):
+            time.sleep(poll)
+        if query.exception():
+            raise query.exception()
+    finally:
+        query.stop()
