@@ -1,5 +1,6 @@
 import base64
 import hashlib
+import time
 
 import numpy as np
 import public_tokenizers
@@ -57,3 +58,20 @@ def test_texts_of_all_sorts(documents):
         text = {1: "", 2: "", 3: "a" * 5000, None: "x  y\n\n z", 4: "naïve 中文 🙂"}[r["doc_id"]]
         assert np.array(r["ids"], "<u4").tobytes() == ids_of(text) and bytes(r["decoded"]) == text.encode()
     assert bpe.encoded(documents([]), PATH, public_tokenizers.PATTERN, digest=True).count() == 0
+
+
+def test_long_pieces_take_time_in_proportion():
+    encoder = bpe.Encoder(PATH, public_tokenizers.PATTERN)
+    encoder.encode(["warm up"])
+    began = time.time()
+    for word in ("the", "ab", "a", "xyzzy", "çé"):
+        text = word * 20_000
+        assert encoder.encode([text]) == [ids_of(text)]
+    assert encoder.encode(["the" * 100_000 + " cat"])[0][-4:] == ids_of(" cat")
+    assert time.time() - began < 20
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text("thea", min_size=30, max_size=400))
+def test_crowded_words_are_finished_by_themselves(text):
+    assert bpe.Encoder(PATH, public_tokenizers.PATTERN).encode([text, text[3:]]) == [ids_of(text), ids_of(text[3:])]
