@@ -1,7 +1,9 @@
+import time
 import zlib
 
 from paddockflow.llm import toxicity
 from paddockflow.llm.langid import held_out
+from paddockflow.llm.queries import QUERIES
 
 CLEAN = "the weather was fine over there and people walked along river with their children while music played softly".split()
 INSULTS = ["idiot", "stupid", "moron", "pathetic"]
@@ -66,3 +68,51 @@ def test_odd_texts_and_tables(spark, documents):
     assert [r["score"] for r in toxicity.scored(documents([(1, "idiot")]), none).collect()] == [0.0]
     assert toxicity.units("A b c! don't  wait") >= {"abc", "don't", "dont", "wait"}
     assert docs.filter(held_out()).count() == sum(zlib.crc32(str(i).encode()) % 4 == 2 for i in range(200))
+
+
+def test_query_is_right_on_held_out_rows(spark, sf_dir):
+    got = QUERIES["op9_toxicity"](spark, sf_dir)
+    assert got.columns == ["doc_id", "held_out", "score", "predicted"]
+    rows = {r["doc_id"]: r for r in got.collect()}
+    assert len(rows) == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    for i, r in rows.items():
+        assert r["held_out"] == (zlib.crc32(str(i).encode()) % 4 == 2)
+        assert 0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3)
+    held = [(rows[i]["predicted"], y) for i, y in labels.items() if i in rows and rows[i]["held_out"] and y is not None]
+    clean = [p for p, y in held if y == 0]
+    assert sum(clean) <= 0.1 * len(clean)
+
+
+def test_long_words_take_time_in_proportion(spark):
+    machine = toxicity.Machine(["stupid", "moron", "idiot"])
+    began = time.time()
+    machine.signs(["stupid" * 8_400, "x" * 50_000, "".join(chr(0x4E00 + i % 5000) for i in range(50_000))])
+    assert time.time() - began < 8
+    assert toxicity.stretches("ab" * 30) == [("ab" * 30)[:48], ("ab" * 30)[24:]]
+    for size in (49, 72, 73, 500):
+        word = "".join(chr(0x4E00 + i) for i in range(size))
+        assert set(word) == set("".join(toxicity.stretches(word)))
+        assert all(len(s) <= toxicity.LONGEST for s in toxicity.stretches(word))
+
+
+def test_near_words_count_by_how_thickly_they_stand(spark):
+    """A stem that clean documents hold now and then, and toxic ones again and again."""
+    endings = [a + b for a in "aeiou" for b in ("n", "r", "st", "lk", "m")]
+    rows = []
+    for i in range(400):
+        words = [CLEAN[(i * 5 + k * (1 + i % 7)) % len(CLEAN)] for k in range(60)]
+        for k in range(5 if i % 4 == 0 else i % 3 == 0):
+            words[7 + 9 * k] = "grumbl" + endings[(i * 3 + k * 7) % len(endings)]
+        rows.append((i, ". ".join([" ".join(words[:30]), " ".join(words[30:])]), int(i % 4 == 0)))
+    docs, labels = tables(spark, rows)
+    score = {r["doc_id"]: r["score"] for r in toxicity.scored(docs, toxicity.train(docs, labels)).collect()}
+    held = [(score[i] >= 0.3, y) for i, _, y in rows if zlib.crc32(str(i).encode()) % 4 == 2]
+    assert sum(p == bool(y) for p, y in held) >= 0.95 * len(held)
+
+
+def test_a_documents_table_with_clashing_names(spark):
+    rows = corpus(80)
+    docs, labels = tables(spark, rows)
+    clash = docs.selectExpr("*", "1 as toxic", "'x' as parts", "2 as held_out")
+    assert toxicity.scored(clash, toxicity.train(clash, labels)).count() == 80
