@@ -178,24 +178,28 @@ b AS (
 t(label, words) AS (
   VALUES {", ".join(f"('{x}', {words!r})" for x, words in licenses.template_words(licenses.TEMPLATES))}
 ),
-l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d),
+s AS (SELECT r, string_split(text, chr(10)) AS lines FROM d WHERE text IS NOT NULL),
 k AS (
-  SELECT doc_id, list_distinct(regexp_extract_all(
-           translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  SELECT r, long, list_distinct(regexp_extract_all(
+           translate(array_to_string(lines[i + 1 : i + CASE WHEN long THEN {licenses.LONG_LINES} ELSE {licenses.SHORT_LINES} END], chr(10)),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS words
-  FROM l
+  FROM (SELECT r, lines, unnest(range(len(lines))) AS i FROM s), (VALUES (false), (true)) v(long)
+),
+c AS (
+  SELECT r, label, len(list_intersect(k.words, t.words)) / len(t.words) AS held, len(t.words) AS n
+  FROM k JOIN t ON k.long = (len(t.words) > {licenses.SHORT})
 ),
-c AS (SELECT doc_id, label, len(list_intersect(k.words, t.words)) / len(t.words) AS held, len(t.words) AS n FROM k, t),
 m AS (
-  SELECT doc_id, list(DISTINCT label) AS more, max(held) AS most FROM c
-  WHERE held * n >= ceil(0.9 * n - 1e-9) - 1e-6 GROUP BY doc_id
+  SELECT r, list(DISTINCT label) AS more, max(held) AS most FROM c
+  WHERE held * n >= ceil(0.9 * n - 1e-9) - 1e-6 GROUP BY r
 )
 SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_base,
        CAST(lo AS BIGINT) AS first_word, CAST(hi AS BIGINT) AS last_word,
        coalesce(array_to_string(names, ','), '') AS base_labels,
        coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(names, []), coalesce(more, [])))), ','), '') AS labels,
        CASE WHEN n > 0 THEN 1.0 ELSE coalesce(most, 0.0) END AS score
-FROM d LEFT JOIN b USING (r) LEFT JOIN m ON m.doc_id = d.doc_id
+FROM d LEFT JOIN b USING (r) LEFT JOIN m USING (r)
 """
 
 

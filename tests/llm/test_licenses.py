@@ -36,12 +36,14 @@ def test_join_equals_every_pair(documents):
             texts[10 * n + drop] = "intro line\n" + " ".join(words[drop:] + ["more", "words"]) + "\nend"
     for threshold in (0.75, 0.9, 1.0):
         got = licenses.matches(documents(list(texts.items())), threshold=threshold).collect()
-        found = sorted((r["id"], r["block"], r["label"], round(r["containment"], 9)) for r in got)
+        found = sorted((r["doc_id"], r["block"], r["label"], round(r["containment"], 9)) for r in got)
         want = []
         for doc, text in texts.items():
-            for block, line in enumerate(text.split("\n")):
+            lines = text.split("\n")
+            for block in range(len(lines)):
                 for label, words in known:
-                    held = len(set(words) & set(line.split())) / len(words)
+                    size = licenses.SHORT_LINES if len(words) <= licenses.SHORT else licenses.LONG_LINES
+                    held = len(set(words) & set(" ".join(lines[block : block + size]).split())) / len(words)
                     if held >= threshold - 1e-12:
                         want.append((doc, block, label, round(held, 9)))
         assert found == sorted(want)
@@ -50,3 +52,26 @@ def test_join_equals_every_pair(documents):
 def test_plan_is_native(documents):
     plan = licenses.scanned(documents([(1, "a")]))._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
+
+
+def test_wrapped_and_commented_notices(documents):
+    """Every template over several lines, as plain text and in a source comment."""
+    rows, want = [], {}
+    for n, (label, wording) in enumerate(licenses.TEMPLATES):
+        words = wording.split()
+        wrapped = [" ".join(words[i : i + 7]) for i in range(0, len(words), 7)]
+        for k, (mark, lines) in enumerate((("", wrapped), (" * ", wrapped), ("// ", [" ".join(words[:2]), " ".join(words[2:])]))):
+            if len(lines) > 1:
+                rows.append((10 * n + k, "\n".join(["intro", *(mark + line for line in lines), "end"])))
+                want[10 * n + k] = label
+    got = {r["doc_id"]: r["labels"].split(",") for r in licenses.scanned(documents(rows)).collect()}
+    assert len(got) > 30 and all(want[i] in got[i] for i in want)
+
+
+def test_each_row_has_its_own_labels(documents):
+    notice = licenses.TEMPLATES[13][1]
+    rows = [(None, notice), (None, "none here"), (1, notice), (1, "nor here"), (1, notice), (2, "x\n" * 2000 + notice)]
+    got = [(r["doc_id"], r["labels"]) for r in licenses.scanned(documents(rows)).collect()]
+    assert sorted(got, key=repr) == sorted(
+        [(None, "gpl-3"), (None, ""), (1, "gpl-3"), (1, ""), (1, "gpl-3"), (2, "gpl-3")], key=repr
+    )
