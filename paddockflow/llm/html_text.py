@@ -2,8 +2,14 @@
 
 A page is cut into blocks of text between block-level tags.  A block is described by its
 number of words and share of linked words, the same of its neighbours, and what its ancestors
-say about themselves (navigation, footer, advert, comment ... or article, main ...).  A small
-decision tree, trained here on the labelled table below, tells main text from the rest.
+say about themselves.  Elements and names that only page furniture has (navigation, footer,
+advert, comment ...) count fully, names that articles use as well (alert, legal, social ...)
+by half, and only where a whole class or id is made of such names; article, main and their like
+are a feature of their own.  A small decision tree, trained here on the labelled table below,
+tells main text from the rest.
+
+A null page gives an empty text; empty pages have none; long pages take time in proportion to
+their length; repeated rows stay; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -22,7 +28,7 @@ from pyspark.sql import types as T
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<svg\b(?:[^<>\"']|\"[^\"]*\"|'[^']*')*+(?<=/)>"
-    r"|<(script|style|noscript|template|textarea|title|svg|iframe|object|canvas)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
+    r"|<(script|style|noscript|template|textarea|title|svg|iframe|object|canvas)\b(?:[^<>\"']|\"[^<\"]*\"|'[^<']*')*+>"
     r".*?(?:</\1\s*>|\Z)"
     r"|<[!?][^>]*>"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*'|[\"'])*)(?:>|\Z|(?=<))",
@@ -37,14 +43,26 @@ _INLINE = frozenset(
     "strike strong sub sup time tt u var wbr img picture source area map".split()
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: Elements whose content is no text.
+_RAW = frozenset("script style noscript template textarea title svg iframe object canvas".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _FURNITURE = frozenset("nav footer aside form menu dialog button select head fieldset".split())
 _ARTICLE = frozenset("article main".split())
 _FURNITURE_NAMES = frozenset(
-    "nav navbar navigation navigationbar menu breadcrumb breadcrumbs header masthead footer sidebar aside widget ad ads advert adverts "
-    "advertisement adslot adbox adunit adsense adsbygoogle banner promo promotion sponsor sponsored cookie cookies consent gdpr notice alert popup modal "
-    "overlay newsletter subscribe signup login search social share sharing related recommended comment comments reply "
-    "replies discussion disqus pagination pager toolbar copyright legal disclaimer skip contentinfo complementary".split()
+    "nav navbar navigation navigationbar menu breadcrumb breadcrumbs header masthead footer sidebar aside ad ads advert adverts "
+    "advertisement adslot adbox adunit adsense adsbygoogle sponsor sponsored cookie cookies consent gdpr popup modal "
+    "overlay newsletter subscribe signup login related recommended comment comments reply "
+    "replies discussion disqus pagination pager toolbar skip contentinfo complementary".split()
+)
+#: Names of furniture that parts of an article have too.
+_WEAK_NAMES = frozenset(
+    "alert notice legal social search share sharing promo promotion banner widget copyright disclaimer".split()
+)
+#: Words that only say where or how an element stands.
+_PLACE_NAMES = frozenset(
+    "slot box area bar list item wrapper wrap container block section unit inner outer top bottom left right site page "
+    "global primary secondary form link links icon icons button buttons panel row col column group text title info "
+    "message small large fixed sticky mobile desktop".split()
 )
 #: A name that starts with one of these tells what an element is about or has, not what it is.
 _ABOUT = frozenset("has no not with without category cat tag tagged".split())
@@ -83,6 +101,15 @@ TRAINING = (
     (2, 0.0, 90, 0.0, 35, 0.0, 1, 1, 0, 0), (7, 0.0, 2, 1.0, 30, 0.0, 1, 0, 1, 0),
     (4, 0.0, 50, 0.0, 3, 1.0, 1, 1, 1, 0), (15, 0.5, 50, 0.0, 3, 1.0, 1, 1, 0, 0),
     (150, 0.0, 90, 0.0, 60, 0.0, 1, 0, 0, 0), (8, 0.0, 10, 0.0, 9, 0.0, 1, 1, 0, 0),
+    # parts of an article whose names furniture has too: long text without links is the article's
+    (80, 0.0, 60, 0.0, 70, 0.0, 0.5, 1, 0, 1), (45, 0.0, 0, 0.0, 60, 0.0, 0.5, 1, 0, 1),
+    (120, 0.1, 90, 0.0, 0, 0.0, 0.5, 1, 0, 1), (60, 0.0, 12, 0.0, 9, 0.0, 0.5, 1, 0, 1),
+    (40, 0.0, 3, 1.0, 2, 1.0, 0.5, 1, 0, 1), (80, 0.0, 0, 0.0, 0, 0.0, 0.5, 1, 0, 1),
+    (12, 0.0, 60, 0.0, 70, 0.0, 0.5, 1, 0, 0), (25, 0.0, 90, 0.0, 40, 0.0, 0.5, 1, 0, 0),
+    (4, 1.0, 60, 0.0, 3, 1.0, 0.5, 1, 0, 0), (30, 0.6, 60, 0.0, 40, 0.0, 0.5, 1, 0, 0),
+    (2, 0.0, 90, 0.0, 2, 0.0, 0.5, 1, 0, 0), (5, 0.0, 70, 0.0, 9, 0.0, 0.5, 1, 1, 0),
+    (12, 0.0, 1, 1.0, 60, 0.0, 0.5, 0, 0, 0), (40, 0.0, 2, 1.0, 60, 0.0, 0.5, 0, 0, 0),
+    (90, 0.0, 3, 1.0, 40, 0.0, 0.5, 0, 0, 0), (60, 0.2, 50, 0.0, 0, 0.0, 0.5, 0, 0, 0),
     # pages that do not name their parts: long text with few links, and what stands by it
     (80, 0.0, 3, 1.0, 60, 0.0, 0, 0, 0, 1), (45, 0.05, 80, 0.0, 70, 0.0, 0, 0, 0, 1),
     (33, 0.1, 60, 0.0, 2, 1.0, 0, 0, 0, 1), (120, 0.0, 4, 1.0, 3, 1.0, 0, 0, 0, 1),
@@ -141,34 +168,54 @@ def trained() -> DecisionTree:
     return DecisionTree(table[:, :-1], table[:, -1])
 
 
-def _hints(tag: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
-    """(furniture, article) as an element's name and attributes have it."""
-    furniture, article = tag in _FURNITURE, tag in _ARTICLE
+def _named(value: str, in_article: bool) -> tuple[float, bool]:
+    """(furniture, article) by the names in a class, id or role.
+
+    A name is one token, such as ``cookie-notice``.  It is furniture's if all its words are, or
+    say no more than where it stands; one word among others tells nothing (``legal-history``).
+    """
+    furniture, article = 0.0, False
+    for token in value.split():
+        words = [w.lower() for w in _WORDS.findall(token)]
+        if not words or words[0] in _ABOUT and len(words) > 1:
+            continue
+        own = set(words)
+        if own & _ARTICLE_NAMES:
+            article = True  # "post-header" is the article's own, like a header inside it
+            own -= {"header"}
+        strong = own & _FURNITURE_NAMES - ({"header"} if in_article else set())
+        weak = own & _WEAK_NAMES
+        if (strong or weak) and own <= _FURNITURE_NAMES | _WEAK_NAMES | _PLACE_NAMES | _ARTICLE_NAMES:
+            if not own & _ARTICLE_NAMES or strong:
+                furniture = max(furniture, 1.0 if strong else 0.5)
+    return furniture, article
+
+
+def _hints(tag: str, attributes: str, in_article: bool) -> tuple[float, bool]:
+    """(furniture, article) as an element's name and attributes have it; furniture is 0, 0.5 or 1."""
+    furniture, article = float(tag in _FURNITURE), tag in _ARTICLE
     if tag == "header" and not in_article:
-        furniture = True
+        furniture = 1.0
     if attributes and not attributes.isspace():
         for name, *values in _ATTRIBUTE.findall(attributes):
             value, name = "".join(values), name.lower()
             if name in ("class", "id", "role"):
-                parts = [[w.lower() for w in _WORDS.findall(one)] for one in value.split()]
-                words = {w for one in parts if one and (one[0] not in _ABOUT or len(one) == 1) for w in one}
-                named = words & _ARTICLE_NAMES
-                # a plain page header may hold the article's title; "post-header" names the article's own
-                wrong = words & _FURNITURE_NAMES - ({"header"} if named or in_article else set())
-                furniture |= bool(wrong) and tag not in ("body", "html", *_ARTICLE)
-                article |= bool(named) and not wrong
+                wrong, named = _named(value, in_article or article)
+                if tag not in ("body", "html", *_ARTICLE):
+                    furniture = max(furniture, wrong)
+                article |= named and wrong < 1
             elif name == "hidden" and not value or name == "aria-hidden" and value == "true":
-                furniture = True
+                furniture = 1.0
             elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-                furniture = True
+                furniture = 1.0
     return furniture, article
 
 
-def flat_blocks(page: str) -> list[tuple[str, int, int, bool, bool, bool]]:
+def flat_blocks(page: str) -> list[tuple[str, int, int, float, bool, bool]]:
     """(text, words, linked words, furniture, article, heading) of a page's blocks in order."""
     blocks = []
     parts: list[tuple[str, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []
+    stack: list[tuple[str, float, bool]] = []
     opened: Counter = Counter()
     links, breaks, heading = 0, 0, False
 
@@ -177,12 +224,16 @@ def flat_blocks(page: str) -> list[tuple[str, int, int, bool, bool, bool]]:
         text = " ".join(html.unescape("".join(t for t, _ in parts)).split())
         if text:
             linked = sum(len(html.unescape(t).split()) for t, is_link in parts if is_link)
-            furniture, article = stack[-1][1:] if stack else (False, False)
+            furniture, article = stack[-1][1:] if stack else (0.0, False)
             blocks.append((text, len(text.split()), linked, furniture, article, heading))
         parts = []
 
-    at = 0
+    at, raw = 0, ""
     for token in _TOKEN.finditer(page):
+        if raw:
+            if token[3] and token[2] == "/" and token[3].lower() == raw:
+                at, raw = token.end(), ""
+            continue
         if token.start() > at:
             piece = page[at : token.start()]
             parts.append((piece, links > 0))
@@ -193,6 +244,9 @@ def flat_blocks(page: str) -> list[tuple[str, int, int, bool, bool, bool]]:
         if tag is None:
             continue
         tag, closing = tag.lower(), token[2] == "/"
+        if tag in _RAW and not closing and not token[4].endswith("/"):
+            raw = tag  # with attributes that its own pattern does not take
+            continue
         if tag == "br":
             breaks += 1
             if breaks > 1:
@@ -212,9 +266,9 @@ def flat_blocks(page: str) -> list[tuple[str, int, int, bool, bool, bool]]:
                 links = 0
             continue
         if not closing:
-            inside = stack[-1] if stack else ("", False, False)
+            inside = stack[-1] if stack else ("", 0.0, False)
             furniture, article = _hints(tag, token[4], inside[2])
-            stack.append((tag, furniture or inside[1], article or inside[2]))
+            stack.append((tag, max(furniture, inside[1]), article or inside[2]))
             opened[tag] += 1
         elif opened[tag]:
             while True:
@@ -223,7 +277,7 @@ def flat_blocks(page: str) -> list[tuple[str, int, int, bool, bool, bool]]:
                 if last == tag:
                     break
             links = 0
-    if at < len(page):
+    if at < len(page) and not raw:
         parts.append((page[at:], links > 0))
     close()
     return blocks

@@ -1,4 +1,5 @@
 import itertools
+import time
 
 import numpy as np
 import pytest
@@ -39,3 +40,43 @@ def test_article_holds_whatever_stands_beside():
 def test_self_closing_svg():
     page = f"<article><p>{TEXT}</p><svg class='i' viewBox=\"0 0 1 1\" /><p>{TEXT}</p><svg><text>no</text></svg><p>{TEXT}</p></article>"
     assert html_text.main_text(page) == "\n\n".join([TEXT] * 3)
+
+
+@pytest.mark.parametrize("name", [
+    "legal-history", "social-science", "alert", "search-for-truth", "entry-content widget-area-main", "has-sidebar",
+    "commentary-on-law", "header-image-story",
+])
+def test_names_that_articles_use_too(name):
+    for kind in ("class", "id"):
+        page = f"<article><p>{TEXT}</p><div {kind}='{name}'><p>{TEXT}</p></div></article>"
+        assert html_text.main_text(page) == f"{TEXT}\n\n{TEXT}"
+
+
+@pytest.mark.parametrize("name", [
+    "comments", "comment-list", "ad-slot", "adBox", "cookie-notice", "newsletter-signup", "sidebar right", "site-footer",
+    "related-links", "top nav", "sponsored", "pagination", "replies",
+])
+def test_names_that_only_furniture_has(name):
+    for body in (TEXT, "Some words of no use here"):
+        kept = html_text.main_text(f"<article><p>{TEXT}</p><div class='{name}'><p>{body}</p></div></article>")
+        assert kept == TEXT
+
+
+@pytest.mark.parametrize("name", ["alert", "legal-notice", "social", "search-box", "promo banner"])
+def test_short_or_linked_text_under_a_doubtful_name_goes(name):
+    links = "<a href=x>share this on a site</a> " * 6
+    for body in ("Watch out, this page has moved to another place.", links):
+        kept = html_text.main_text(f"<article><p>{TEXT}</p><div class='{name}'><p>{body}</p></div><p>{TEXT}</p></article>")
+        assert kept == f"{TEXT}\n\n{TEXT}"
+
+
+def test_unclosed_quotes_take_time_in_proportion():
+    began = time.time()
+    for start in ("<title '", "<script \"", "<svg a='", "<a href='", "<div class=\""):
+        assert isinstance(html_text.main_text("<article><p>x</p>" + start * (1_000_000 // len(start))), str)
+    assert time.time() - began < 10
+
+
+def test_scripts_with_odd_attributes():
+    page = f"<article><script data-x='a<b'>var no = 1;</script><p>{TEXT}</p><style title=\"<\">p {{}}</style><p>{TEXT}</p></article>"
+    assert html_text.main_text(page) == f"{TEXT}\n\n{TEXT}"
