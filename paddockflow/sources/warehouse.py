@@ -20,7 +20,8 @@ def create_tables(
 ) -> list[str]:
     """Declare the five tables over ``root``; declaring them again changes nothing.
 
-    With an ``iceberg`` catalog set up on the session, pass ``provider="iceberg"``.
+    With an ``iceberg`` catalog set up on the session, ``provider="iceberg"`` declares such tables;
+    nothing here writes them, since the sinks append parquet files under ``root``.
     """
     declared = []
     for table, ddl in WAREHOUSE.items():
