@@ -42,4 +42,4 @@ def test_every_operator_has_one_query():
     import __spark_entry__ as contract
 
     names = [q.split("_")[0] for q in contract.queries() if q.startswith("op") and q[2].isdigit()]
-    assert sorted(names) == sorted(f"op{n}" for n in range(1, 11))
+    assert sorted(names) == sorted(f"op{n}" for n in range(1, 14))
