@@ -133,9 +133,8 @@ def _carries(placed: DataFrame) -> dict[int, tuple[int, int, int]]:
     return carries
 
 
-def _own_turns(conversations: DataFrame) -> DataFrame:
+def _own_turns(placed: DataFrame) -> DataFrame:
     """(conv_id, pos, before, after, size, proof): each turn with its place and prefix digests."""
-    placed = _placed(_sorted_turns(conversations))
     carries = _carries(placed)
     rows = placed.where("not edge").drop("edge")
     if not carries:
@@ -170,7 +169,8 @@ def prefixes(conversations: DataFrame, every: int = 100, most: int = 6) -> DataF
     (conv_id, depth, digest, parent, size, proof, n_turns); ``size`` and ``proof`` are of the last
     turn, ``n_turns`` is the rebuilt conversation's length.  h is crc32(conv_id as text) % ``most``.
     """
-    own = _own_turns(conversations)
+    placed = _placed(_sorted_turns(conversations))
+    own = _own_turns(placed)
     head = F.when(F.col("pos") < most - 1, F.struct("pos", "before", "after", "size", "proof"))
     each = own.groupBy("conv_id").agg(F.count("*").alias("n"), F.sort_array(F.collect_list(head)).alias("heads"))
     origin = F.col("conv_id") - F.col("conv_id") % every
@@ -225,7 +225,10 @@ def prefixes(conversations: DataFrame, every: int = 100, most: int = 6) -> DataF
     moved = rests.mapInArrow(
         run, "conv_id long, depth long, digest binary, parent binary, size long, proof long, n_turns long"
     )
-    return scratch.saved(roots.unionByName(fronts).unionByName(moved), "prefixes")
+    found = scratch.saved(roots.unionByName(fronts).unionByName(moved), "prefixes")
+    for done in (placed, plan):
+        scratch.remove_saved(done)
+    return found
 
 
 class NodeTable:
@@ -434,6 +437,7 @@ def trie(
     nodes = _nodes(rows)
     tables = _summed_tables(rows, nodes, weight, at_once)
     ends = _ends(rows)
+    scratch.remove_saved(rows)
     above = nodes.select(F.col("digest").alias("parent"), F.col("conv_id").alias("above"))
     tabled = nodes.where("not below_tail").join(tables.drop("parent", "is_top"), "digest").join(above, "parent", "left")
     alone = nodes.where("below_tail").select(

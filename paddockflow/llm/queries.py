@@ -229,7 +229,37 @@ def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_query("op13_benchmark_decontamination")
+def _words_sql(text: str) -> str:
+    return (
+        f"regexp_extract_all(translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+        "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    )
+
+
+DECONTAMINATION_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_words_sql('text')} AS w FROM documents),
+i AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_words_sql('text')} AS w FROM benchmark),
+p AS (
+  SELECT DISTINCT item, least(10, len(w)) AS n, array_to_string(w[s + 1 : s + least(10, len(w))], ' ') AS phrase
+  FROM (SELECT item, w, unnest(range(greatest(1, len(w) - 9))) AS s FROM i WHERE len(w) > 0)
+),
+u AS (
+  SELECT r, n, s, array_to_string(w[s + 1 : s + n], ' ') AS phrase
+  FROM (SELECT r, w, n, unnest(range(len(w) - n + 1)) AS s FROM d, (SELECT DISTINCT n FROM p) WHERE len(w) >= n)
+),
+h AS (SELECT u.r, u.s, u.n, p.item FROM u JOIN p USING (n, phrase)),
+hit AS (SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT r, unnest(range(s, s + n)) AS place FROM h) GROUP BY r),
+held AS (
+  SELECT r, count(DISTINCT item) AS n_items, array_to_string(list_sort(list(DISTINCT item)), ',') AS ids FROM h GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN held USING (r)
+"""
+
+
+@_query("op13_benchmark_decontamination", DECONTAMINATION_SQL)
 def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside any ten words of a test item, and those items."""
     found = phrases.decontaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), words=10)
@@ -246,7 +276,57 @@ def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(table(spark, sf_dir, "embeddings"), scale=256, components=4)
 
 
-@_query("op11_conversation_prefix_trie")
+#: Unsigned CRC-32 of a number's decimal text, bit by bit.
+_CRC32_SQL = """
+xor(list_reduce(
+  list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+  lambda c, b: list_reduce(
+    list_prepend(xor(c, b), range(8)), lambda x, k: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END)
+  )
+), 4294967295)
+"""
+
+TRIE_SQL = f"""
+WITH t AS (
+  SELECT conv_id, length(coalesce(text, '')) AS size,
+         md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS token,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+o AS (SELECT conv_id, list(token ORDER BY pos) AS tokens, list(size ORDER BY pos) AS sizes FROM t GROUP BY conv_id),
+h AS (SELECT *, conv_id - conv_id % 100 AS origin, CAST({_CRC32_SQL} % 6 AS INT) AS h FROM o),
+b AS (
+  SELECT h.conv_id, list_concat(coalesce(o.tokens[1 : h], []), h.tokens[h + 1 :]) AS tokens,
+         list_concat(coalesce(o.sizes[1 : h], []), h.sizes[h + 1 :]) AS sizes
+  FROM h LEFT JOIN o ON o.conv_id = h.origin
+),
+m AS (
+  SELECT conv_id, depth, len(tokens) AS n, array_to_string(tokens[1 : depth], ',') AS node,
+         CASE WHEN depth > 0 THEN array_to_string(tokens[1 : depth - 1], ',') END AS parent,
+         CASE WHEN depth > 0 THEN sizes[depth] ELSE 0 END AS size, tokens
+  FROM (SELECT *, unnest(range(len(tokens) + 1)) AS depth FROM b)
+),
+g AS (
+  SELECT node, any_value(parent) AS parent, any_value(depth) AS depth, any_value(size) AS size, any_value(tokens) AS tokens,
+         min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(array_to_string(list(conv_id ORDER BY conv_id) FILTER (n = depth), ','), '')) AS ends_sha256
+  FROM m GROUP BY node
+),
+k AS (SELECT parent AS node, count(*) AS n_children FROM g WHERE parent IS NOT NULL GROUP BY parent),
+a AS (
+  SELECT array_to_string(g.tokens[1 : up], ',') AS node, (g.n_convs - 1) * g.size AS saved,
+         CASE WHEN k.node IS NULL THEN 1 ELSE 0 END AS leaf
+  FROM (SELECT *, unnest(range(depth + 1)) AS up FROM g) g LEFT JOIN k ON k.node = g.node
+),
+s AS (SELECT node, sum(saved) AS saved, sum(leaf) AS leaves FROM a GROUP BY node)
+SELECT g.conv_id, CAST(g.depth AS BIGINT) AS depth, above.conv_id AS parent_conv_id, CAST(g.n_convs AS BIGINT) AS n_convs,
+       CAST(coalesce(n_children, 0) AS BIGINT) AS n_children, CAST(leaves AS BIGINT) AS n_leaves,
+       CAST(saved AS BIGINT) AS saved_tokens, g.ends_sha256
+FROM g JOIN s USING (node) LEFT JOIN k USING (node) LEFT JOIN g above ON above.node = g.parent
+"""
+
+
+@_query("op11_conversation_prefix_trie", TRIE_SQL)
 def conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every distinct prefix of the rebuilt conversations with its members and subtree figures."""
     return conversations.trie(table(spark, sf_dir, "conversations"), every=100, most=6).drop("digest")

@@ -5,8 +5,9 @@ from hashlib import sha256
 import numpy as np
 import pyarrow as pa
 
+from checking import compare, connect
 from paddockflow.llm import conversations
-from paddockflow.llm.queries import QUERIES
+from paddockflow.llm.queries import ORACLES, QUERIES
 
 SCHEMA = "conv_id long, turn long, role string, text string, digest string, depth int"
 COLUMNS = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
@@ -107,3 +108,8 @@ def test_slots_are_minimal_perfect_and_verified():
     assert sorted(table.slots(keys)) == list(range(len(keys)))
     assert (table.slots(keys ^ np.uint64(1)) == -1).all()
     assert len(conversations.NodeTable(keys[:0]).slots(keys)) == len(keys)
+
+
+def test_query_equals_sql(spark, sf_dir):
+    good, message = compare(QUERIES["op11_conversation_prefix_trie"](spark, sf_dir), connect(sf_dir), ORACLES["op11_conversation_prefix_trie"])
+    assert good, message

@@ -4,8 +4,9 @@ from hashlib import sha256
 
 import pytest
 
+from checking import compare, connect
 from paddockflow.llm import phrases
-from paddockflow.llm.queries import QUERIES
+from paddockflow.llm.queries import ORACLES, QUERIES
 
 ITEMS = "item_id string, text string, doc_id int"
 
@@ -103,3 +104,8 @@ def test_proximity_equals_brute_force(spark, documents):
             i for i, t in rows
             if any(asked <= set(words(t)[k : k + within]) for k in range(len(words(t))))
         }
+
+
+def test_query_equals_sql(spark, sf_dir):
+    good, message = compare(QUERIES["op13_benchmark_decontamination"](spark, sf_dir), connect(sf_dir), ORACLES["op13_benchmark_decontamination"])
+    assert good, message
