@@ -230,7 +230,6 @@ def whitened(
         return np.concatenate([(along.T @ along).ravel(), along.sum(axis=0)])
 
     found = fit.total(moments, kept * kept + kept) / n
-    scratch.remove_saved(fit.blocks)
     middle = found[kept * kept :]
     covariance = found[: kept * kept].reshape(kept, kept) - np.outer(middle, middle)
     error = float(np.abs(covariance - np.eye(kept)).max())
