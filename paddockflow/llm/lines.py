@@ -1,170 +1,256 @@
-"""Line dedup: repeated runs of lines are found by winnowing and their later copies deleted.
-
-Every shortest stretch of lines with at least ``min_words`` words is a window.  The smallest
-line hash in a window is its fingerprint, so any run of that many words that occurs twice has
-a fingerprint at the same line in both places: detection is guaranteed, not sampled.  Places
-are joined by the fingerprint together with its window, which keeps a frequent line from
-making one long list, and each place is joined with the first one in the corpus only: a run
-that occurs n times gives n - 1 matches.  From the matched line a match is extended line by line
-both ways, and the later run is deleted.
-
-The first occurrence in (id, text hash) order always stays; so of every deleted line an equal
-one survives earlier.  Null ids come first in that order.
+"""Line dedup: repeated runs are found by winnowing over line hashes and their later copies deleted.
+
+Texts are read as lines of ``min_words // 5`` words, one starting at every word, so that a passage is
+found wherever line breaks stand in it.  The smallest line hash of every window of ``min_words``
+words is its fingerprint (of equal ones the last); neighbouring windows mostly share it, so about
+one word in twenty posts a place: the fingerprint and the stretch of windows that chose it.  Any
+run of ``min_words`` words that occurs twice has the same fingerprint at the same word in both.
+
+Places whose fingerprint occurs once are done.  The others are extended both ways: the outermost
+windows of a stretch, up to 4/5 of a window to the left and to the right of the fingerprint, are
+joined on their whole hashes with the first place in the corpus that has them.  Where both occur
+earlier, so does all between.  Where only one or none does, the copy ends inside the stretch, or
+the fingerprint alone is frequent; then every window of that fingerprint's stretches is joined.
+So the result is exact: a word is deleted if a window around it stands in an earlier document or
+``min_words`` or more words earlier in its own.  Lists are reduced to counts and first places
+before they are shuffled, and n copies give n - 1 matches.
+
+Documents are ordered by (id, text hash), null ids first.
 """
 
 from __future__ import annotations
 
-from collections import deque
+import functools
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paddockflow import scratch
 
-_LINES = "doc struct<id:{0},version:bigint>, hashes array<bigint>, sizes array<int>, picks array<struct<key:bigint,line:int>>"
+_PLACE = [("key", pa.int64()), ("low", pa.int32()), ("high", pa.int32()), ("low_hash", pa.int64()), ("high_hash", pa.int64())]
+_PLACES = "array<struct<key:bigint,low:int,high:int,low_hash:bigint,high_hash:bigint>>"
+_STRETCH = "struct<low:int,high:int>"
+_RUN = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+_RUNS = "array<struct<start:int,end:int>>"
+_BLOCK = 1 << 15
+
+_BYTES = np.random.default_rng(7).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BASE, _INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
+
+
+@functools.lru_cache(8)
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+def _mixed(values: np.ndarray) -> np.ndarray:
+    for factor in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB):
+        values = (values ^ (values >> np.uint64(31))) * np.uint64(factor)
+    return values ^ (values >> np.uint64(32))
+
+
+def word_bounds(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of a text, and where its words ``[^\\x20\\x09-\\x0D]+`` start and end."""
+    data = np.frombuffer(raw, np.uint8)
+    solid = (data != 32) & ((data < 9) | (data > 13))
+    edges = np.flatnonzero(np.diff(np.concatenate(([False], solid, [False])).astype(np.int8)))
+    return data, edges[::2], edges[1::2]
+
+
+def _rolled(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of stretches of values: polynomials taken from running sums, so the same everywhere."""
+    room = 1 << len(values).bit_length()
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values * _powers(_BASE, room)[: len(values)], dtype=np.uint64)))
+    return _mixed((sums[ends] - sums[starts]) * _powers(_INVERSE, room)[starts] + (ends - starts).astype(np.uint64))
+
+
+def word_hashes(raw: bytes) -> np.ndarray:
+    data, starts, ends = word_bounds(raw)
+    parts = [np.empty(0, np.uint64)]
+    for i in range(0, len(starts), _BLOCK):
+        low, high = starts[i : i + _BLOCK], ends[i : i + _BLOCK]
+        parts.append(_rolled(_BYTES[data[low[0] : high[-1]]], low - low[0], high - low[0]))
+    return np.concatenate(parts)
+
+
+def window_hashes(words: np.ndarray, min_words: int) -> np.ndarray:
+    """Hash of the window that starts at each word, as signed numbers."""
+    starts = np.arange(max(0, len(words) - min_words + 1))
+    return _rolled(words, starts, starts + min_words).view(np.int64)
+
+
+def winnow(words: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(fingerprint, first window, last window) of every stretch of windows that choose one line."""
+    size = max(1, min_words // 5)
+    n = len(words) - min_words + 1
+    if n < 1:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+    starts = np.arange(len(words) - size + 1)
+    lines = _rolled(words, starts, starts + size)
+    width = min_words - size + 1
+    chosen = np.concatenate([
+        low + width - 1 + np.arange(min(_BLOCK, n - low))
+        - sliding_window_view(lines[low : low + _BLOCK + width - 1], width)[:, ::-1].argmin(axis=1)
+        for low in range(0, n, _BLOCK)
+    ])
+    first = np.flatnonzero(np.concatenate(([True], chosen[1:] != chosen[:-1])))
+    last = np.concatenate((first[1:], [n])) - 1
+    return lines[chosen[first]].view(np.int64), first, last
 
 
-def winnow(hashes: np.ndarray, sizes: np.ndarray, min_words: int) -> list[tuple[int, int]]:
-    """(window hash, line of the window's smallest hash) of every shortest window of ``min_words``.
+def cut(text: str, runs: list[tuple[int, int]]) -> str:
+    """The text without the words of the runs.
 
-    Of equal smallest hashes the last line counts.
+    White space after a run goes with it if the run starts a line, else that before it; so lines
+    that are left keep their breaks.
     """
-    before = np.concatenate(([0], np.cumsum(sizes)))
-    ends = np.searchsorted(before, before[:-1] + min_words)
-    raw = hashes.astype("<u8").tobytes()
-    values = hashes.tolist()
-    least: deque[int] = deque()  # lines with rising hashes; the first is the smallest of the window
-    picks, seen, high = [], set(), 0
-    for low in range(len(values)):
-        end = int(ends[low])
-        if end > len(values):
-            break
-        if not sizes[low]:
-            continue  # a window starts at a line with a word
-        while high < end:
-            while least and values[least[-1]] >= values[high]:
-                least.pop()
-            least.append(high)
-            high += 1
-        while least[0] < low:
-            least.popleft()
-        pick = (xxhash.xxh64_intdigest(raw[8 * low : 8 * end]) - (1 << 63), least[0])
-        if pick not in seen:
-            seen.add(pick)
-            picks.append(pick)
-    return picks
-
-
-def extend(ours: np.ndarray, sizes: np.ndarray, theirs: np.ndarray, places: list[int], shift: int, min_words: int) -> list[int]:
-    """Lines of ``ours`` in maximal runs around ``places`` that equal the lines ``shift`` earlier in ``theirs``."""
-    low, high = max(0, shift), min(len(ours), len(theirs) + shift)
-    same = np.zeros(len(ours), bool)
-    same[low:high] = ours[low:high] == theirs[low - shift : high - shift]
-    edges = np.flatnonzero(np.diff(np.concatenate(([False], same, [False])).astype(np.int8)))
-    starts, ends = edges[::2], edges[1::2]
-    lines: list[int] = []
-    for run in sorted({int(np.searchsorted(starts, p, side="right")) - 1 for p in places if same[p]}):
-        if sizes[starts[run] : ends[run]].sum() >= min_words:
-            lines.extend(range(starts[run], ends[run]))
-    return lines
-
-
-def repeated_lines(docs: DataFrame, min_words: int = 50, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc, removed): line numbers from 0 to delete, for every document that has any.
+    raw = text.encode("utf-8", "surrogatepass")
+    _, starts, ends = word_bounds(raw)
+    kept, at = [], 0
+    for start, end in runs:
+        before = int(ends[start - 1]) if start else 0
+        if end < len(starts) and (not start or b"\n" in raw[before : starts[start]]):
+            low, high = int(starts[start]), int(starts[end])
+        else:
+            low, high = before, int(ends[end - 1]) if end < len(starts) else len(raw)
+        kept.append(raw[at : max(at, low)])
+        at = max(at, high)
+    return b"".join([*kept, raw[at:]]).decode("utf-8", "surrogatepass")
+
+
+def repeated_runs(docs: DataFrame, min_words: int = 50, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc, removed): runs of words (start, end; from 0) to delete, for every document that has any.
 
     ``doc`` is a struct of the id and a hash of the text; rows equal in both are one document.
+    Of documents with one text only the first is searched, later ones go as a whole if they
+    have a window.
     """
     spec = docs.filter(F.col(text).isNotNull()).select(
         F.struct(F.col(id_column).alias("id"), F.xxhash64(text).alias("version")).alias("doc"), F.col(text).alias("text")
     )
     id_type = spec.schema["doc"].dataType["id"].dataType.simpleString()
+    doc_type = f"doc struct<id:{id_type},version:bigint>"
 
-    def measure(batches):
+    def posted(batches):
         for batch in batches:
-            texts = batch.column("text")
-            hashes, sizes, picks = [], [], []
-            for i in range(len(texts)):
-                parts = texts[i].as_py().encode("utf-8", "surrogatepass").split(b"\n")
-                own = np.fromiter(map(xxhash.xxh64_intdigest, parts), np.uint64, len(parts))
-                words = np.fromiter((len(p.split()) for p in parts), np.int32, len(parts))
-                hashes.append(own.view(np.int64))
-                sizes.append(words)
-                picks.append([{"key": k, "line": p} for k, p in winnow(own, words, min_words)])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc"), pa.array(hashes, pa.list_(pa.int64())), pa.array(sizes, pa.list_(pa.int32())),
-                    pa.array(picks, pa.list_(pa.struct([("key", pa.int64()), ("line", pa.int32())]))),
-                ],
-                names=["doc", "hashes", "sizes", "picks"],
-            )
+            counts, offsets, found = [], [0], []
+            for value in batch.column("text"):
+                words = word_hashes(value.as_py().encode("utf-8", "surrogatepass"))
+                keys, low, high = winnow(words, min_words)
+                whole = window_hashes(words, min_words)
+                counts.append(len(words))
+                offsets.append(offsets[-1] + len(keys))
+                found.append((keys, low, high, whole[low], whole[high]))
+            columns = [
+                pa.array(np.concatenate([f[i] for f in found]), pa.int64()).cast(kind) for i, (_, kind) in enumerate(_PLACE)
+            ] if found else [pa.array([], kind) for _, kind in _PLACE]
+            places = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(columns, fields=[pa.field(*p) for p in _PLACE]))
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(counts, pa.int32()), places], names=["doc", "n_words", "places"])
 
-    lined = scratch.saved(
-        spec.mapInArrow(measure, _LINES.format(id_type)).dropDuplicates(["doc"]), "lines"
-    )
-    places = lined.select("doc", F.inline("picks"))
-    first = (
-        places.groupBy("key").agg(F.min(F.struct("doc", "line")).alias("first"), F.count("*").alias("n"))
-        .filter("n > 1").select("key", "first")
+    posts = scratch.saved(spec.mapInArrow(posted, f"{doc_type}, n_words int, places {_PLACES}"), "line-places")
+    versions = posts.filter(F.col("n_words") >= min_words).groupBy(F.col("doc.version").alias("version")).agg(
+        F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc")
     )
-    later = places.join(first, "key").filter(F.struct("doc", "line") != F.col("first"))
-    # places on one diagonal of two documents belong together
-    pairs = later.groupBy("doc", F.col("first.doc").alias("source"), (F.col("line") - F.col("first.line")).alias("shift")).agg(
-        F.collect_set("line").alias("places")
+    copied = versions.filter(F.col("first_doc") != F.col("last_doc")).select("version", "first_doc")
+    copies = posts.join(copied, F.col("doc.version") == F.col("version")).filter(F.col("doc") != F.col("first_doc")).select("doc", "n_words").distinct()
+    copies = scratch.saved(copies, "line-copies")
+    places = posts.join(copies.select(F.col("doc").alias("copy")), F.col("doc") == F.col("copy"), "left_anti")
+    places = places.select("doc", F.inline("places"))
+    often = places.groupBy("key").agg(F.min(F.struct("doc", "low")).alias("first"), F.max(F.struct("doc", "low")).alias("last"))
+    often = often.filter(F.col("first") != F.col("last")).select("key", "first")
+    shared = scratch.saved(places.join(often, "key"), "line-shared")
+
+    ends = shared.select("doc", "low", F.explode(F.array("low", "high")).alias("start"), "low_hash", "high_hash")
+    ends = ends.select("doc", "low", "start", F.when(F.col("start") == F.col("low"), F.col("low_hash")).otherwise(F.col("high_hash")).alias("hash"))
+    ended = scratch.saved(_later(ends, min_words), "line-ends")
+    done = (
+        ended.groupBy("doc", "low").agg(F.min("start").alias("least"), F.max("start").alias("most"))
+        .join(shared.select("doc", "low", "high"), ["doc", "low"])
+        .filter((F.col("least") == F.col("low")) & (F.col("most") == F.col("high"))).select("doc", "low")
     )
-    ours = lined.select("doc", "hashes", "sizes")
-    theirs = lined.select(F.col("doc").alias("source"), F.col("hashes").alias("source_hashes"))
-    met = pairs.join(ours, "doc").join(theirs, "source").select(
-        "doc", "hashes", "sizes", "source_hashes", "places", "shift"
+    torn = shared.filter(F.struct("doc", "low") != F.col("first")).join(done, ["doc", "low"], "left_anti").select("key").distinct()
+    wanted = scratch.saved(
+        shared.join(torn, "key", "left_semi").groupBy("doc").agg(F.collect_list(F.struct("low", "high")).alias("stretches")),
+        "line-torn",
     )
 
-    def matched(batches):
+    def opened(batches):
         for batch in batches:
-            at = {name: batch.column(name) for name in batch.schema.names}
-            found = [
-                extend(
-                    at["hashes"][i].values.to_numpy(), at["sizes"][i].values.to_numpy(),
-                    at["source_hashes"][i].values.to_numpy(), at["places"][i].as_py(), at["shift"][i].as_py(), min_words,
-                )
-                for i in range(len(batch))
-            ]
-            yield pa.RecordBatch.from_arrays([at["doc"], pa.array(found, pa.list_(pa.int32()))], names=["doc", "lines"])
-
-    runs = met.mapInArrow(matched, f"doc struct<id:{id_type},version:bigint>, lines array<int>")
-    return (
-        runs.filter(F.size("lines") > 0).groupBy("doc")
-        .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("lines")))).alias("removed"))
-    )
+            rows, starts, hashes = [], [], []
+            for i, value in enumerate(batch.column("text")):
+                whole = window_hashes(word_hashes(value.as_py().encode("utf-8", "surrogatepass")), min_words)
+                at = np.concatenate([np.arange(s["low"], s["high"] + 1) for s in batch.column("stretches")[i].as_py()])
+                rows.append(np.full(len(at), i))
+                starts.append(at)
+                hashes.append(whole[at])
+            if not rows:
+                continue
+            docs_of = batch.column("doc").take(pa.array(np.concatenate(rows)))
+            yield pa.RecordBatch.from_arrays(
+                [docs_of, pa.array(np.concatenate(starts), pa.int32()), pa.array(np.concatenate(hashes), pa.int64())],
+                names=["doc", "start", "hash"],
+            )
+
+    texts = spec.withColumnRenamed("doc", "own").join(wanted, F.col("own") == F.col("doc")).select("doc", "text", "stretches")
+    windows = scratch.saved(texts.mapInArrow(opened, f"{doc_type}, start int, hash bigint"), "line-windows")
+    starts = ended.select("doc", "start").unionByName(_later(windows, min_words).select("doc", "start"))
+
+    def merged(batches):
+        for batch in batches:
+            runs = []
+            for value in batch.column("starts"):
+                at = np.unique(value.values.to_numpy())
+                new = np.flatnonzero(np.concatenate(([True], at[1:] > at[:-1] + min_words)))
+                stops = at[np.concatenate((new[1:], [len(at)])) - 1] + min_words
+                runs.append([{"start": s, "end": e} for s, e in zip(at[new].tolist(), stops.tolist())])
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(runs, _RUN)], names=["doc", "removed"])
+
+    runs = starts.groupBy("doc").agg(F.collect_list("start").alias("starts")).mapInArrow(merged, f"{doc_type}, removed {_RUNS}")
+    gone = copies.select("doc", F.array(F.struct(F.lit(0).alias("start"), F.col("n_words").alias("end"))).alias("removed"))
+    found = scratch.saved(runs.unionByName(gone), "line-runs")
+    for frame in (posts, copies, shared, ended, wanted, windows):
+        scratch.remove_saved(frame)
+    return found
+
+
+def _later(windows: DataFrame, min_words: int) -> DataFrame:
+    """The windows whose hash has a first place in an earlier document, or ``min_words`` earlier in this one."""
+    first = windows.groupBy("hash").agg(F.min(F.struct("doc", "start")).alias("first"), F.max(F.struct("doc", "start")).alias("last"))
+    first = first.filter(F.col("first") != F.col("last")).select("hash", "first")
+    return windows.join(first, "hash").filter(
+        (F.col("doc") != F.col("first.doc")) | (F.col("start") >= F.col("first.start") + min_words)
+    ).drop("hash", "first")
 
 
 def deduplicated(docs: DataFrame, min_words: int = 50, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: ``row`` (all its columns as a struct), removed, n_lines, clean_text.
+    """One row per document: ``row`` (all its columns as a struct), removed, n_removed, clean_text.
 
-    ``removed`` holds the numbers of the deleted lines, clean_text the others.  A null text
-    has no lines and stays null; empty and repeated rows keep what they have.
+    ``removed`` holds the deleted runs of words (start, end), n_removed their words, clean_text
+    the rest.  A null text stays null; empty texts and those of fewer words than ``min_words``
+    stay as they are; very long texts are read whole; rows equal in id and text are one
+    document and keep or lose the same; an empty table gives no rows.
     """
     key = F.struct(F.col(id_column).alias("id"), F.xxhash64(text).alias("version"))
-    found = repeated_lines(docs, min_words, id_column, text).withColumnRenamed("doc", "found")
+    found = repeated_runs(docs, min_words, id_column, text).withColumnRenamed("doc", "found")
     joined = docs.select(F.struct("*").alias("row"), key.alias("doc")).join(found, F.col("doc") == F.col("found"), "left")
     whole = F.col("row")[text]
-    parts = F.split(whole, "\n")
-    stays = F.transform(
-        F.array(parts),  # one value, so that the text is split once
-        lambda all_lines: F.array_join(
-            F.transform(
-                F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), F.col("removed")),
-                lambda i: F.get(all_lines, i),
-            ),
-            "\n",
-        ),
-    )[0]
+
+    @F.arrow_udf("string")
+    def without(texts: pa.Array, runs: pa.Array) -> pa.Array:
+        left = (t and cut(t, [(r["start"], r["end"]) for r in taken]) for t, taken in zip(texts.to_pylist(), runs.to_pylist()))
+        return pa.array(left, pa.string())
+
     return joined.select(
         "row",
-        F.coalesce("removed", F.array().cast("array<int>")).alias("removed"),
-        F.when(whole.isNull(), 0).otherwise(F.size(parts)).cast("long").alias("n_lines"),
-        F.when(F.col("removed").isNull(), whole).otherwise(stays).alias("clean_text"),
+        F.coalesce("removed", F.array().cast(_RUNS)).alias("removed"),
+        F.coalesce(F.aggregate("removed", F.lit(0), lambda n, r: n + r["end"] - r["start"]), F.lit(0)).cast("long").alias("n_removed"),
+        F.when(F.col("removed").isNull(), whole)
+        .otherwise(without(F.when(F.col("removed").isNotNull(), whole), F.col("removed"))).alias("clean_text"),
     )
 
 
@@ -173,7 +259,7 @@ def without_repeats(docs: DataFrame, min_words: int = 50) -> DataFrame:
 
     A document that had words and loses all of them is a repeat as a whole and goes.
     """
-    done = deduplicated(docs, min_words).filter((F.size("removed") == 0) | F.col("clean_text").rlike("[^\\x20\\x09-\\x0D]"))
+    done = deduplicated(docs, min_words).filter((F.col("n_removed") == 0) | F.col("clean_text").rlike("[^\\x20\\x09-\\x0D]"))
     replaced = {"text": F.col("clean_text")}
     if "n_chars" in docs.columns:
         replaced["n_chars"] = F.length("clean_text").cast(docs.schema["n_chars"].dataType)

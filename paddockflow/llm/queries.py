@@ -215,8 +215,7 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the later copies of runs of 50 words or more."""
     done = lines.deduplicated(table(spark, sf_dir, "documents"), min_words=50)
     return done.select(
-        F.col("row.doc_id").alias("doc_id"), "n_lines", F.size("removed").cast("long").alias("n_removed"),
-        "removed", F.col("clean_text").alias("text"),
+        F.col("row.doc_id").alias("doc_id"), "n_removed", "removed", F.col("clean_text").alias("text")
     )
 
 
