@@ -10,12 +10,13 @@ Places whose fingerprint occurs once are done.  The others are extended both way
 windows of a stretch, up to 4/5 of a window to the left and to the right of the fingerprint, are
 joined on their whole hashes with the first place in the corpus that has them.  Where both occur
 earlier, so does all between.  Where only one or none does, the copy ends inside the stretch, or
-the fingerprint alone is frequent; then every window of that fingerprint's stretches is joined.
-So the result is exact: a word is deleted if a window around it stands in an earlier document or
-``min_words`` or more words earlier in its own.  Lists are reduced to counts and first places
-before they are shuffled, and n copies give n - 1 matches.
+the fingerprint alone is frequent.  Such stretches are parted in four by how far to the left their
+windows begin; parts whose common words occur twice have each window joined.  So the result
+is exact: a word is deleted if a window around it stands in an earlier document or ``min_words``
+or more words earlier in its own.  n copies give n - 1 matches.
 
-Documents are ordered by (id, text hash), null ids first.
+Documents are ordered by (id, text hash), null ids first.  A place is the number of its word in that
+order, one long, so lists are reduced to their first place by hash aggregation before the shuffle.
 """
 
 from __future__ import annotations
@@ -24,15 +25,17 @@ import functools
 
 import numpy as np
 import pyarrow as pa
-from numpy.lib.stride_tricks import sliding_window_view
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paddockflow import scratch
 
-_PLACE = [("key", pa.int64()), ("low", pa.int32()), ("high", pa.int32()), ("low_hash", pa.int64()), ("high_hash", pa.int64())]
-_PLACES = "array<struct<key:bigint,low:int,high:int,low_hash:bigint,high_hash:bigint>>"
-_STRETCH = "struct<low:int,high:int>"
+_PLACE = [
+    ("key", pa.int64()), ("low", pa.int32()), ("span", pa.int32()), ("back", pa.int32()),
+    ("low_hash", pa.int64()), ("high_hash", pa.int64()),
+]
+_PLACES = "array<struct<key:bigint,low:int,span:int,back:int,low_hash:bigint,high_hash:bigint>>"
 _RUN = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 _RUNS = "array<struct<start:int,end:int>>"
 _BLOCK = 1 << 15
@@ -78,29 +81,49 @@ def word_hashes(raw: bytes) -> np.ndarray:
     return np.concatenate(parts)
 
 
-def window_hashes(words: np.ndarray, min_words: int) -> np.ndarray:
-    """Hash of the window that starts at each word, as signed numbers."""
-    starts = np.arange(max(0, len(words) - min_words + 1))
-    return _rolled(words, starts, starts + min_words).view(np.int64)
+def _size(min_words: int) -> int:
+    return max(1, min_words // 5)
 
 
-def winnow(words: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(fingerprint, first window, last window) of every stretch of windows that choose one line."""
-    size = max(1, min_words // 5)
+def winnow(words: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(fingerprint, its word, first window, last window) of every stretch of windows that choose one line."""
     n = len(words) - min_words + 1
     if n < 1:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
-    starts = np.arange(len(words) - size + 1)
-    lines = _rolled(words, starts, starts + size)
-    width = min_words - size + 1
-    chosen = np.concatenate([
-        low + width - 1 + np.arange(min(_BLOCK, n - low))
-        - sliding_window_view(lines[low : low + _BLOCK + width - 1], width)[:, ::-1].argmin(axis=1)
-        for low in range(0, n, _BLOCK)
-    ])
+        return tuple(np.empty(0, np.int64) for _ in range(4))
+    starts = np.arange(len(words) - _size(min_words) + 1)
+    least = lines = _rolled(words, starts, starts + _size(min_words))
+    chosen, wide, width = starts, 1, min_words - _size(min_words) + 1
+    while wide < width:  # windows of twice as many lines, or as many more as are left
+        step = min(wide, width - wide)
+        left = least[:-step] < least[step:]
+        chosen = np.where(left, chosen[:-step], chosen[step:])
+        least = np.where(left, least[:-step], least[step:])
+        wide += step
     first = np.flatnonzero(np.concatenate(([True], chosen[1:] != chosen[:-1])))
     last = np.concatenate((first[1:], [n])) - 1
-    return lines[chosen[first]].view(np.int64), first, last
+    return lines[chosen[first]].view(np.int64), chosen[first], first, last
+
+
+def quarters(words: np.ndarray, at: np.ndarray, low: np.ndarray, high: np.ndarray, min_words: int):
+    """The windows ``low`` to ``high`` around each fingerprint, by how far to the left they begin.
+
+    Gives (offsets of the parts, first window of each part, hash of the words that all windows of
+    such a part share, hashes of the windows).
+    """
+    width = min_words - _size(min_words) + 1
+    part_size = -(-width // 4)
+    sizes = high - low + 1
+    place = np.repeat(np.arange(len(low)), sizes)
+    start = np.arange(len(place)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + low[place]
+    part = (at[place] - start) // part_size
+    new = np.flatnonzero(np.concatenate(([True], (place[1:] != place[:-1]) | (part[1:] != part[:-1]))))
+    place, part = place[new], part[new]
+    shared = at[place] - part * part_size
+    until = at[place] - np.minimum((part + 1) * part_size, width) + 1 + min_words
+    return (
+        np.concatenate((new, [len(start)])), start[new], _rolled(words, shared, until).view(np.int64),
+        _rolled(words, start, start + min_words).view(np.int64),
+    )
 
 
 def cut(text: str, runs: list[tuple[int, int]]) -> str:
@@ -141,64 +164,77 @@ def repeated_runs(docs: DataFrame, min_words: int = 50, id_column: str = "doc_id
             counts, offsets, found = [], [0], []
             for value in batch.column("text"):
                 words = word_hashes(value.as_py().encode("utf-8", "surrogatepass"))
-                keys, low, high = winnow(words, min_words)
-                whole = window_hashes(words, min_words)
+                keys, at, low, high = winnow(words, min_words)
                 counts.append(len(words))
                 offsets.append(offsets[-1] + len(keys))
-                found.append((keys, low, high, whole[low], whole[high]))
-            columns = [
-                pa.array(np.concatenate([f[i] for f in found]), pa.int64()).cast(kind) for i, (_, kind) in enumerate(_PLACE)
-            ] if found else [pa.array([], kind) for _, kind in _PLACE]
-            places = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(columns, fields=[pa.field(*p) for p in _PLACE]))
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(counts, pa.int32()), places], names=["doc", "n_words", "places"])
+                ends = (_rolled(words, s, s + min_words).view(np.int64) for s in (low, high))
+                found.append((keys, low, high - low, at - low, *ends))
+            if not found:
+                continue
+            columns = [pa.array(np.concatenate([f[i] for f in found]), pa.int64()).cast(kind) for i, (_, kind) in enumerate(_PLACE)]
+            places = pa.StructArray.from_arrays(columns, fields=[pa.field(*p) for p in _PLACE])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc"), pa.array(counts, pa.int32()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), places)],
+                names=["doc", "n_words", "places"],
+            )
+
+    def numbered(batches):
+        total = TaskContext.get().partitionId() << 40
+        for batch in batches:
+            sizes = batch.column("n_words").to_numpy().astype(np.int64)
+            bases = total + np.cumsum(sizes) - sizes
+            total += int(sizes.sum())
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(bases)], names=["doc", "base"])
 
     posts = scratch.saved(spec.mapInArrow(posted, f"{doc_type}, n_words int, places {_PLACES}"), "line-places")
-    versions = posts.filter(F.col("n_words") >= min_words).groupBy(F.col("doc.version").alias("version")).agg(
-        F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc")
+    sized = posts.filter(F.col("n_words") >= min_words).select("doc", "n_words")
+    firsts = sized.groupBy(F.col("doc.version").alias("version")).agg(F.min("doc").alias("doc"), F.max("n_words").alias("n_words"))
+    # the number of a document's first word; numbers rise with the order of the documents
+    order = scratch.saved(
+        firsts.select("doc", "n_words").orderBy("doc").mapInArrow(numbered, f"{doc_type}, base bigint"), "line-order"
     )
-    copied = versions.filter(F.col("first_doc") != F.col("last_doc")).select("version", "first_doc")
-    copies = posts.join(copied, F.col("doc.version") == F.col("version")).filter(F.col("doc") != F.col("first_doc")).select("doc", "n_words").distinct()
-    copies = scratch.saved(copies, "line-copies")
-    places = posts.join(copies.select(F.col("doc").alias("copy")), F.col("doc") == F.col("copy"), "left_anti")
-    places = places.select("doc", F.inline("places"))
-    often = places.groupBy("key").agg(F.min(F.struct("doc", "low")).alias("first"), F.max(F.struct("doc", "low")).alias("last"))
-    often = often.filter(F.col("first") != F.col("last")).select("key", "first")
-    shared = scratch.saved(places.join(often, "key"), "line-shared")
-
-    ends = shared.select("doc", "low", F.explode(F.array("low", "high")).alias("start"), "low_hash", "high_hash")
-    ends = ends.select("doc", "low", "start", F.when(F.col("start") == F.col("low"), F.col("low_hash")).otherwise(F.col("high_hash")).alias("hash"))
-    ended = scratch.saved(_later(ends, min_words), "line-ends")
-    done = (
-        ended.groupBy("doc", "low").agg(F.min("start").alias("least"), F.max("start").alias("most"))
-        .join(shared.select("doc", "low", "high"), ["doc", "low"])
-        .filter((F.col("least") == F.col("low")) & (F.col("most") == F.col("high"))).select("doc", "low")
-    )
-    torn = shared.filter(F.struct("doc", "low") != F.col("first")).join(done, ["doc", "low"], "left_anti").select("key").distinct()
+    copies = sized.join(order, "doc", "left_anti").distinct()
+
+    places = posts.select("doc", "places").join(order, "doc").select("base", F.inline("places"))
+    places = places.withColumn("at", F.col("base") + F.col("low")).drop("low")
+    often = places.groupBy("key").agg(F.min("at").alias("first"), F.max("at").alias("last"))
+    shared = scratch.saved(places.join(often.filter("first != last").select("key", "first"), "key"), "line-shared")
+
+    ends = shared.select("base", "at", "span", F.inline(F.array(
+        F.struct(F.col("at").alias("place"), F.col("low_hash").alias("hash")),
+        F.struct((F.col("at") + F.col("span")).alias("place"), F.col("high_hash").alias("hash")),
+    )))
+    ended = scratch.saved(_later(ends, min_words).distinct(), "line-ends")
+    done = ended.groupBy("at").agg((F.max("place") - F.min("place") - F.max("span")).alias("open")).filter("open = 0").select("at")
+    torn = shared.filter("at != first").select("key", "at").join(done, "at", "left_anti").select("key").distinct()
+    stretch = F.struct((F.col("at") - F.col("base")).cast("int").alias("low"), "span", "back")
     wanted = scratch.saved(
-        shared.join(torn, "key", "left_semi").groupBy("doc").agg(F.collect_list(F.struct("low", "high")).alias("stretches")),
+        shared.select("key", "base", "at", "span", "back").join(torn, "key", "left_semi")
+        .groupBy("base").agg(F.collect_list(stretch).alias("stretches")).join(order, "base"),
         "line-torn",
     )
 
     def opened(batches):
         for batch in batches:
-            rows, starts, hashes = [], [], []
-            for i, value in enumerate(batch.column("text")):
-                whole = window_hashes(word_hashes(value.as_py().encode("utf-8", "surrogatepass")), min_words)
-                at = np.concatenate([np.arange(s["low"], s["high"] + 1) for s in batch.column("stretches")[i].as_py()])
-                rows.append(np.full(len(at), i))
-                starts.append(at)
-                hashes.append(whole[at])
-            if not rows:
-                continue
-            docs_of = batch.column("doc").take(pa.array(np.concatenate(rows)))
-            yield pa.RecordBatch.from_arrays(
-                [docs_of, pa.array(np.concatenate(starts), pa.int32()), pa.array(np.concatenate(hashes), pa.int64())],
-                names=["doc", "start", "hash"],
-            )
-
-    texts = spec.withColumnRenamed("doc", "own").join(wanted, F.col("own") == F.col("doc")).select("doc", "text", "stretches")
-    windows = scratch.saved(texts.mapInArrow(opened, f"{doc_type}, start int, hash bigint"), "line-windows")
-    starts = ended.select("doc", "start").unionByName(_later(windows, min_words).select("doc", "start"))
+            for value, base, stretches in zip(*(batch.column(c) for c in ("text", "base", "stretches"))):
+                words = word_hashes(value.as_py().encode("utf-8", "surrogatepass"))
+                low, span, back = (stretches.values.field(i).to_numpy().astype(np.int64) for i in range(3))
+                offsets, starts, anchors, hashes = quarters(words, low + back, low, low + span, min_words)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(len(starts), base.as_py())), pa.array(starts + base.as_py()), pa.array(anchors),
+                        pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(hashes)),
+                    ],
+                    names=["base", "at", "anchor", "hashes"],
+                )
+
+    texts = spec.join(wanted, "doc").select("text", "base", "stretches")
+    parts = scratch.saved(texts.mapInArrow(opened, "base bigint, at bigint, anchor bigint, hashes array<bigint>"), "line-parts")
+    twice = parts.groupBy("anchor").agg(F.min("at").alias("first"), F.max("at").alias("last"))
+    twice = twice.filter("first != last").select("anchor")
+    windows = parts.join(twice, "anchor", "left_semi").select("base", "at", F.posexplode("hashes").alias("i", "hash"))
+    windows = scratch.saved(windows.select("base", (F.col("at") + F.col("i")).alias("place"), "hash"), "line-windows")
+    starts = ended.select("base", "place").unionByName(_later(windows, min_words).select("base", "place"))
 
     def merged(batches):
         for batch in batches:
@@ -208,23 +244,22 @@ def repeated_runs(docs: DataFrame, min_words: int = 50, id_column: str = "doc_id
                 new = np.flatnonzero(np.concatenate(([True], at[1:] > at[:-1] + min_words)))
                 stops = at[np.concatenate((new[1:], [len(at)])) - 1] + min_words
                 runs.append([{"start": s, "end": e} for s, e in zip(at[new].tolist(), stops.tolist())])
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(runs, _RUN)], names=["doc", "removed"])
+            yield pa.RecordBatch.from_arrays([batch.column("base"), pa.array(runs, _RUN)], names=["base", "removed"])
 
-    runs = starts.groupBy("doc").agg(F.collect_list("start").alias("starts")).mapInArrow(merged, f"{doc_type}, removed {_RUNS}")
+    runs = starts.groupBy("base").agg(F.collect_list((F.col("place") - F.col("base")).cast("int")).alias("starts"))
+    runs = runs.mapInArrow(merged, f"base bigint, removed {_RUNS}").join(order, "base").select("doc", "removed")
     gone = copies.select("doc", F.array(F.struct(F.lit(0).alias("start"), F.col("n_words").alias("end"))).alias("removed"))
     found = scratch.saved(runs.unionByName(gone), "line-runs")
-    for frame in (posts, copies, shared, ended, wanted, windows):
+    for frame in (posts, order, shared, ended, wanted, parts, windows):
         scratch.remove_saved(frame)
     return found
 
 
 def _later(windows: DataFrame, min_words: int) -> DataFrame:
-    """The windows whose hash has a first place in an earlier document, or ``min_words`` earlier in this one."""
-    first = windows.groupBy("hash").agg(F.min(F.struct("doc", "start")).alias("first"), F.max(F.struct("doc", "start")).alias("last"))
-    first = first.filter(F.col("first") != F.col("last")).select("hash", "first")
-    return windows.join(first, "hash").filter(
-        (F.col("doc") != F.col("first.doc")) | (F.col("start") >= F.col("first.start") + min_words)
-    ).drop("hash", "first")
+    """The windows whose hash has its first place ``min_words`` or more words earlier."""
+    first = windows.groupBy("hash").agg(F.min("place").alias("first"), F.max("place").alias("last"))
+    first = first.filter(F.col("last") >= F.col("first") + min_words).select("hash", "first")
+    return windows.join(first, "hash").filter(F.col("place") >= F.col("first") + min_words).drop("hash", "first")
 
 
 def deduplicated(docs: DataFrame, min_words: int = 50, id_column: str = "doc_id", text: str = "text") -> DataFrame:

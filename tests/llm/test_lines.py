@@ -71,7 +71,7 @@ def test_passages_inside_lines_and_edits(documents):
 def test_winnowing_is_guaranteed():
     draw = np.random.default_rng(4)
     run = draw.integers(0, 1 << 63, 70).astype(np.uint64)
-    keys, low, high = lines.winnow(run, 50)
+    keys, _, low, high = lines.winnow(run, 50)
     assert len(keys) < 21 and low[0] == 0 and high[-1] == 20 and (low[1:] == high[:-1] + 1).all()
     for _ in range(50):
         before, after = (draw.integers(0, 1 << 63, 40).astype(np.uint64) for _ in range(2))
