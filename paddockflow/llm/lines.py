@@ -186,6 +186,7 @@ def repeated_runs(docs: DataFrame, min_words: int = 50, id_column: str = "doc_id
             total += int(sizes.sum())
             yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(bases)], names=["doc", "base"])
 
+    written: list[DataFrame] = []
     posts = scratch.saved(spec.mapInArrow(posted, f"{doc_type}, n_words int, places {_PLACES}"), "line-places")
     sized = posts.filter(F.col("n_words") >= min_words).select("doc", "n_words")
     firsts = sized.groupBy(F.col("doc.version").alias("version")).agg(F.min("doc").alias("doc"), F.max("n_words").alias("n_words"))
@@ -193,24 +194,25 @@ def repeated_runs(docs: DataFrame, min_words: int = 50, id_column: str = "doc_id
     order = scratch.saved(
         firsts.select("doc", "n_words").orderBy("doc").mapInArrow(numbered, f"{doc_type}, base bigint"), "line-order"
     )
-    copies = sized.join(order, "doc", "left_anti").distinct()
+    copies = sized.join(_unique(order), "doc", "left_anti").distinct()
 
-    places = posts.select("doc", "places").join(order, "doc").select("base", F.inline("places"))
+    places = posts.select("doc", "places").join(_unique(order), "doc").select("base", F.inline("places"))
     places = places.withColumn("at", F.col("base") + F.col("low")).drop("low")
     often = places.groupBy("key").agg(F.min("at").alias("first"), F.max("at").alias("last"))
-    shared = scratch.saved(places.join(often.filter("first != last").select("key", "first"), "key"), "line-shared")
+    often = scratch.saved(often.filter("first != last").select("key", "first"), "line-often")
+    shared = scratch.saved(places.join(_unique(often), "key"), "line-shared")
 
     ends = shared.select("base", "at", "span", F.inline(F.array(
         F.struct(F.col("at").alias("place"), F.col("low_hash").alias("hash")),
         F.struct((F.col("at") + F.col("span")).alias("place"), F.col("high_hash").alias("hash")),
     )))
-    ended = scratch.saved(_later(ends, min_words).distinct(), "line-ends")
+    ended = scratch.saved(_later(ends, min_words, written).distinct(), "line-ends")
     done = ended.groupBy("at").agg((F.max("place") - F.min("place") - F.max("span")).alias("open")).filter("open = 0").select("at")
-    torn = shared.filter("at != first").select("key", "at").join(done, "at", "left_anti").select("key").distinct()
+    torn = shared.filter("at != first").select("key", "at").join(_unique(done), "at", "left_anti").select("key").distinct()
     stretch = F.struct((F.col("at") - F.col("base")).cast("int").alias("low"), "span", "back")
     wanted = scratch.saved(
-        shared.select("key", "base", "at", "span", "back").join(torn, "key", "left_semi")
-        .groupBy("base").agg(F.collect_list(stretch).alias("stretches")).join(order, "base"),
+        shared.select("key", "base", "at", "span", "back").join(_unique(torn), "key", "left_semi")
+        .groupBy("base").agg(F.collect_list(stretch).alias("stretches")).join(_unique(order), "base"),
         "line-torn",
     )
 
@@ -228,13 +230,13 @@ def repeated_runs(docs: DataFrame, min_words: int = 50, id_column: str = "doc_id
                     names=["base", "at", "anchor", "hashes"],
                 )
 
-    texts = spec.join(wanted, "doc").select("text", "base", "stretches")
+    texts = spec.join(_unique(wanted), "doc").select("text", "base", "stretches")
     parts = scratch.saved(texts.mapInArrow(opened, "base bigint, at bigint, anchor bigint, hashes array<bigint>"), "line-parts")
     twice = parts.groupBy("anchor").agg(F.min("at").alias("first"), F.max("at").alias("last"))
     twice = twice.filter("first != last").select("anchor")
-    windows = parts.join(twice, "anchor", "left_semi").select("base", "at", F.posexplode("hashes").alias("i", "hash"))
+    windows = parts.join(_unique(twice), "anchor", "left_semi").select("base", "at", F.posexplode("hashes").alias("i", "hash"))
     windows = scratch.saved(windows.select("base", (F.col("at") + F.col("i")).alias("place"), "hash"), "line-windows")
-    starts = ended.select("base", "place").unionByName(_later(windows, min_words).select("base", "place"))
+    starts = ended.select("base", "place").unionByName(_later(windows, min_words, written).select("base", "place"))
 
     def merged(batches):
         for batch in batches:
@@ -247,19 +249,28 @@ def repeated_runs(docs: DataFrame, min_words: int = 50, id_column: str = "doc_id
             yield pa.RecordBatch.from_arrays([batch.column("base"), pa.array(runs, _RUN)], names=["base", "removed"])
 
     runs = starts.groupBy("base").agg(F.collect_list((F.col("place") - F.col("base")).cast("int")).alias("starts"))
-    runs = runs.mapInArrow(merged, f"base bigint, removed {_RUNS}").join(order, "base").select("doc", "removed")
+    runs = runs.mapInArrow(merged, f"base bigint, removed {_RUNS}").join(_unique(order), "base").select("doc", "removed")
     gone = copies.select("doc", F.array(F.struct(F.lit(0).alias("start"), F.col("n_words").alias("end"))).alias("removed"))
     found = scratch.saved(runs.unionByName(gone), "line-runs")
-    for frame in (posts, order, shared, ended, wanted, parts, windows):
+    for frame in (posts, order, often, shared, ended, wanted, parts, windows, *written):
         scratch.remove_saved(frame)
     return found
 
 
-def _later(windows: DataFrame, min_words: int) -> DataFrame:
-    """The windows whose hash has its first place ``min_words`` or more words earlier."""
+def _unique(frame: DataFrame) -> DataFrame:
+    """A side with one row a key, which grows with the corpus: the other side is shuffled but never sorted.
+
+    Without an aggregate between its shuffle and the join, the other side's hot keys are split.
+    """
+    return frame.hint("shuffle_hash")
+
+
+def _later(windows: DataFrame, min_words: int, written: list[DataFrame]) -> DataFrame:
+    """The windows whose hash has its first place ``min_words`` or more words earlier; ``written`` gets what is left to delete."""
     first = windows.groupBy("hash").agg(F.min("place").alias("first"), F.max("place").alias("last"))
-    first = first.filter(F.col("last") >= F.col("first") + min_words).select("hash", "first")
-    return windows.join(first, "hash").filter(F.col("place") >= F.col("first") + min_words).drop("hash", "first")
+    first = scratch.saved(first.filter(F.col("last") >= F.col("first") + min_words).select("hash", "first"), "line-firsts")
+    written.append(first)
+    return windows.join(_unique(first), "hash").filter(F.col("place") >= F.col("first") + min_words).drop("hash", "first")
 
 
 def deduplicated(docs: DataFrame, min_words: int = 50, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -272,7 +283,7 @@ def deduplicated(docs: DataFrame, min_words: int = 50, id_column: str = "doc_id"
     """
     key = F.struct(F.col(id_column).alias("id"), F.xxhash64(text).alias("version"))
     found = repeated_runs(docs, min_words, id_column, text).withColumnRenamed("doc", "found")
-    joined = docs.select(F.struct("*").alias("row"), key.alias("doc")).join(found, F.col("doc") == F.col("found"), "left")
+    joined = docs.select(F.struct("*").alias("row"), key.alias("doc")).join(_unique(found), F.col("doc") == F.col("found"), "left")
     whole = F.col("row")[text]
 
     @F.arrow_udf("string")
