@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from paddockflow import schemas
 from paddockflow.operators import envelope, project, serve
+from paddockflow.plans import feeds
 from rows import at, header, records, record
 
 GOOD = {
@@ -172,3 +173,11 @@ def test_feed_validation_is_strict(spark):
 def test_a_bad_chart_time_is_null(spark):
     rows = spark.createDataFrame([("soon", 7, 1, 2.5, 4)], "window_start string, session_uid long, min_speed int, avg_speed double, max_speed int")
     assert {r["x"] for r in serve.chart_series(rows, "speed").collect()} == {None}
+
+
+def test_tasks_grow_with_the_table(spark, tmp_path):
+    rows = 6 * feeds.TASK_ROWS
+    spark.range(rows).coalesce(1).write.parquet(str(tmp_path / "one"))
+    stored = spark.read.parquet(str(tmp_path / "one"))
+    parts = feeds.spread(stored, stored).rdd.glom().map(len).collect()
+    assert sum(parts) == rows and max(parts) <= 1.1 * feeds.TASK_ROWS
