@@ -206,7 +206,8 @@ def start_publish(
     """Captured datagrams to keyed JSON records of the published kinds.
 
     ``trace_id`` and ``span_id`` are expressions over the datagram's columns.  They
-    should depend on the datagram alone, so that a replayed batch keeps its traces.
+    should depend on the datagram alone, so that a replayed batch keeps its traces.  Records
+    are ten times the size of their datagrams, so they are written where they are made.
     """
     kinds = list(layouts.PUBLISHED)
     traced = datagrams.withColumns({"_trace_id": trace_id, "_span_id": span_id})
@@ -216,7 +217,7 @@ def start_publish(
     )
 
     def write(batch_rows: DataFrame, batch: str) -> None:
-        feed.write(batch_rows, batch)
+        feed.write(batch_rows, batch, gather=False)
 
     return _start(records, name, single(write), checkpoints, trigger)
 

@@ -86,19 +86,24 @@ class FeedSink:
     """Where keyed records go: a Kafka topic, or files with the same columns.
 
     Kafka takes ``kafka.bootstrap.servers`` and ``topic`` and is written at least
-    once; files take ``path`` and are replaced on replay.
+    once; files take ``path`` and are replaced on replay.  Parquet files are packed with zstd
+    unless ``options`` names a ``compression``: records repeat their field names.
     """
 
     fmt: str = "kafka"
     options: dict[str, str] = field(default_factory=dict)
 
-    def write(self, records: DataFrame, batch: str) -> None:
+    def write(self, records: DataFrame, batch: str, gather: bool = True) -> None:
+        """Write a batch; without ``gather`` each task writes its own file and no record is shuffled."""
         if self.fmt == "kafka":
             records.write.format("kafka").options(**self.options).save()
             return
         with adaptive(records.sparkSession):
-            placed = records.withColumn(BATCH, F.lit(batch)).hint("rebalance")
-            _replace_partitions(placed, BATCH).format(self.fmt).options(**self.options).save()
+            placed = records.withColumn(BATCH, F.lit(batch))
+            packed = {"compression": "zstd"} if self.fmt == "parquet" else {}
+            _replace_partitions(placed.hint("rebalance") if gather else placed, BATCH).format(self.fmt).options(
+                **{**packed, **self.options}
+            ).save()
 
 
 @contextmanager

@@ -185,3 +185,11 @@ def test_arrival_clock_streams(spark):
     # both rows of the first load arrived together and so share a window
     rows = warehouse.read(spark, f"{root}/wh", "speed_aggregation").collect()
     assert [(r["sample_count"], r["avg_speed"]) for r in rows][0] == (2, 1.5)
+
+
+def test_ungathered_records_are_written_where_they_are(spark, tmp_path):
+    rows = spark.range(0, 900, 1, 3).selectExpr("cast(id as string) AS key", "repeat(cast(id as string), 50) AS value")
+    sinks.FeedSink("parquet", {"path": str(tmp_path / "out")}).write(rows, "b", gather=False)
+    files = list((tmp_path / "out").rglob("*.zstd.parquet"))
+    assert len(files) == 3
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 900
