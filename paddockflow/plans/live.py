@@ -20,6 +20,8 @@ DAY = 86400
 #: Events arrive in so many loads; each holds every so-manieth event, so that loads overlap in time.
 LOADS = 3
 STATE = 8
+#: Bytes of a capture file that one task reads: some thousand datagrams.
+_SPLIT = 1 << 23
 
 
 def _loads(spark, sf_dir, root):
@@ -208,7 +210,7 @@ def capture_file_scan(spark, sf_dir):
     path = scratch.new_folder(spark, "captures")
     captures.write(feeds.datagrams(by_session(feeds.events(spark, sf_dir)), "car_telemetry"), path)
     packets = decode.decode_kind(
-        captures.read(spark, path, split_bytes=1 << 20), "car_telemetry", fields=["m_header", "m_speed"], keep=["timestamp"]
+        captures.read(spark, path, split_bytes=_SPLIT), "car_telemetry", fields=["m_header", "m_speed"], keep=["timestamp"]
     )
     speed = F.get("m_car_telemetry_data", F.col("m_header.m_player_car_index"))["m_speed"]
     return plain(packets.select(F.col("m_header.m_frame_identifier").alias("event_id"), "timestamp", speed.alias("speed"))).where(
@@ -229,12 +231,14 @@ def stream_capture_files(spark, sf_dir):
         load = rows.where((F.col("event_id") % 2 == 0) == F.lit(first))
         captures.write(feeds.datagrams(load, "car_telemetry"), f"{root}/in")
         pipeline.start_publish(
-            captures.read_stream(spark, f"{root}/in", split_bytes=1 << 20),
+            captures.read_stream(spark, f"{root}/in", split_bytes=_SPLIT),
             FeedSink("parquet", {"path": f"{root}/records"}), f"{root}/cp",
             F.md5(place), F.substring(F.md5(F.concat(F.lit("s"), place)), 1, 16), keep=["timestamp"], trigger=NOW,
             name=_name(root),
         ).awaitTermination()
-    return spark.read.parquet(f"{root}/records").select(
-        F.get_json_object("value", "$.m_header.m_frame_identifier").cast("bigint").alias("frame"),
-        F.get_json_object("value", "$.m_car_telemetry_data[21].m_speed").cast("bigint").alias("last_car_value"),
+    packet = "m_header STRUCT<m_frame_identifier: BIGINT>, m_car_telemetry_data ARRAY<STRUCT<m_speed: BIGINT>>"
+    read = spark.read.parquet(f"{root}/records").select(F.from_json("value", packet).alias("packet"))
+    return read.select(
+        F.col("packet.m_header.m_frame_identifier").alias("frame"),
+        F.get("packet.m_car_telemetry_data", F.lit(21))["m_speed"].alias("last_car_value"),
     )
