@@ -1,21 +1,30 @@
 """Near copies by the exact Jaccard similarity of their sets of word shingles.
 
-The radius that a list of fingerprint bytes can guarantee is two bits, while texts that share
-four fifths of their shingles lie 3 to 11 bits apart.  So the fingerprint here has many parts:
-each is the minimum of one random order of the shingles, and two texts agree in a part with
-just the probability of their similarity.
-
-1. ``BANDS`` lists, each keyed by ``ROWS`` parts.  Texts of similarity ``s`` meet in at least
-   one with probability ``1 - (1 - s ** ROWS) ** BANDS``: 0.99997 at 0.8.
-2. Each member of a list is paired with the list's first text only, so that no list emits all
-   its pairs.  What is first differs between lists, by four orders.
-3. Every pair is verified by its exact similarity, and components of verified pairs are formed.
+Candidates come from the inverted index on fingerprint bytes of ``simhash``, over two fingerprints.
+
+1. The 64-bit SimHash of the shingles, in the wide and tally lists of ``simhash``: its verified links
+   within ``BITS`` bits.  Texts that share four fifths of their shingles lie 3 to 11 bits apart, and two
+   bits is the radius that eight bytes can guarantee, so a longer fingerprint goes beside it.
+2. A fingerprint of ``PARTS`` positional bytes, each a byte of the minimum of one random
+   order of the shingles: two texts agree in a byte with just the probability of their similarity, or by
+   chance (1/256).  A list for one byte would hold 1/256 of the corpus and more, so there is one for
+   each of ``BANDS`` sets of ``ROWS`` parts, keyed by the whole minima.  Texts of similarity ``s`` meet in at least one
+   with probability ``1 - (1 - s ** ROWS) ** BANDS``: 0.99997 at 0.8.
+3. Count filter: a pair that met is tallied, and goes on with ``least_shared`` equal bytes or more.
+   A pair at 0.8 shares 64 of 80 on average, and fewer than the 46 asked for once in 100,000 times.
+4. Every pair left is verified by its exact similarity, and components of verified pairs are formed.
+
+A list does not emit all its pairs at once.  Members are compared with the list's first text, and once
+those links have formed components, with every member of another component.  Pairs of one component
+are not compared, since a link between them changes nothing; no other pair of a list is left out.
 
 Equal texts are one node throughout, so a group of copies costs one row.
 """
 
 from __future__ import annotations
 
+from math import floor, sqrt
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -23,11 +32,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paddockflow import scratch
-from paddockflow.llm import components
+from paddockflow.llm import components, simhash
 
+BITS = 2
 BANDS, ROWS = 20, 4
+PARTS = BANDS * ROWS
 _SEED = 42
-_ORDERS = np.random.default_rng(_SEED).integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_ORDERS = np.random.default_rng(_SEED).integers(1, 1 << 63, PARTS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SALTS = np.random.default_rng(_SEED + 1).integers(-(1 << 63), 1 << 63, 4, dtype=np.int64).tolist()
 _AT_ONCE = 1 << 11
 
@@ -37,16 +48,7 @@ def shingles(text: str | None, words: int = 5) -> np.ndarray:
 
     A text of fewer words is one shingle; one without words has none.
     """
-    parts = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not parts:
-        return np.empty(0, np.uint64)
-    width = min(words, len(parts))
-    joined = b" ".join(parts)
-    ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1) - 1
-    starts = np.concatenate(([0], ends[:-1] + 1))[: len(parts) - width + 1]
-    digest = xxhash.xxh64_intdigest
-    spans = zip(starts.tolist(), ends[width - 1 :].tolist(), strict=True)
-    return np.unique(np.fromiter((digest(joined[a:b], _SEED) for a, b in spans), np.uint64, len(starts)))
+    return np.unique(simhash.shingle_hashes(text, words))
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
@@ -56,35 +58,74 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return shared / union if union else 1.0
 
 
-def bands(hashes: np.ndarray) -> list[int]:
-    """Keys of the lists that a text stands in."""
-    parts = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+def minima(hashes: np.ndarray) -> np.ndarray:
+    """The minimum of each of the ``PARTS`` orders of a text's shingles."""
+    parts = np.full(PARTS, np.iinfo(np.uint64).max, np.uint64)
     for low in range(0, len(hashes), _AT_ONCE):
         np.minimum(parts, (_ORDERS[:, None] * hashes[low : low + _AT_ONCE]).min(axis=1), out=parts)
+    return parts
+
+
+def bands(parts: np.ndarray) -> list[int]:
+    """Keys of the lists that a text stands in."""
     raw = parts.astype("<u8").tobytes()
     step = 8 * ROWS
     return [xxhash.xxh64_intdigest(raw[step * i : step * (i + 1)], i) - (1 << 63) for i in range(BANDS)]
 
 
+def long_print(parts: np.ndarray) -> bytes:
+    """The positional bytes of a text, from the middle of its minima: the top bytes are zero in long texts."""
+    return (parts >> np.uint64(24)).astype(np.uint8).tobytes()
+
+
+def least_shared(least: float) -> int:
+    """Equal bytes that a pair must have: five standard deviations below the average at ``least``."""
+    return max(0, floor(PARTS * least - 5 * sqrt(PARTS * least * (1 - least))))
+
+
 def _version(text: str):
     return F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
 
 
-def candidates(docs: DataFrame, text: str = "text", words: int = 5) -> DataFrame:
-    """(a, b), a < b: hashes of the texts to be compared."""
+def _prints(docs: DataFrame, text: str, words: int) -> DataFrame:
+    """(version, fp, bytes, keys) of every different text: SimHash, positional bytes, lists."""
     spec = docs.select(_version(text).alias("version"), F.col(text).cast("string").alias("text"))
 
     def run(batches):
         for batch in batches:
             column = batch.column("text")
-            keys = [bands(shingles(column[i].as_py(), words)) for i in range(len(column))]
+            found = []
+            for i in range(len(column)):
+                hashes = simhash.shingle_hashes(column[i].as_py(), words)
+                parts = minima(np.unique(hashes))
+                found.append((np.uint64(simhash.majority(hashes)).astype(np.int64), long_print(parts), bands(parts)))
+            fp, raw, keys = zip(*found) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("version"), pa.array(keys, pa.list_(pa.int64()))], names=["version", "keys"]
+                [batch.column("version"), pa.array(fp, pa.int64()), pa.array(raw, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+                names=["version", "fp", "bytes", "keys"],
             )
 
-    each = spec.mapInArrow(run, "version long, keys array<long>").distinct()
-    # stored, like the lists' firsts, so that the join has shuffles of its own and a hot list can be split
-    lists = scratch.saved(each.select("version", F.posexplode("keys").alias("band", "key")), "overlap-lists")
+    # stored, like the lists and their firsts, so that each join has shuffles of its own and a hot list can be split
+    return scratch.saved(
+        spec.mapInArrow(run, "version long, fp long, bytes binary, keys array<long>").dropDuplicates(["version"]), "overlap-prints"
+    )
+
+
+def _ordered(a: str, b: str) -> list:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+
+def _bit_pairs(prints: DataFrame) -> DataFrame:
+    """(a, b): texts linked by their SimHashes; those of one SimHash by the smallest of them."""
+    classes = prints.groupBy("fp").agg(F.min("version").alias("one"))
+    same = prints.join(classes, "fp").filter("version <> one").select(*_ordered("version", "one"))
+    near = simhash.links(classes.select("fp"), BITS)
+    far = near.join(classes.toDF("a", "x"), "a").join(classes.toDF("b", "y"), "b").select(*_ordered("x", "y"))
+    return same.unionByName(far)
+
+
+def _first_pairs(lists: DataFrame) -> DataFrame:
+    """(a, b): each member of a list with the list's first text; what is first differs by four orders."""
     salt = F.element_at(F.array(*map(F.lit, _SALTS)), F.col("band") % len(_SALTS) + 1)
     first = scratch.saved(
         lists.withColumn("turned", F.col("version").bitwiseXOR(salt)).groupBy("band", "key")
@@ -92,13 +133,40 @@ def candidates(docs: DataFrame, text: str = "text", words: int = 5) -> DataFrame
         .select("band", "key", F.col("turned").bitwiseXOR(salt).alias("first")),
         "overlap-first",
     )
-    met = lists.join(first, ["band", "key"]).filter("version <> first")
-    return met.select(F.least("version", "first").alias("a"), F.greatest("version", "first").alias("b")).distinct()
+    return lists.join(first, ["band", "key"]).filter("version <> first").select(*_ordered("version", "first"))
 
 
-def links(docs: DataFrame, text: str = "text", words: int = 5, least: float = 0.8) -> DataFrame:
-    """(a, b): hashes of texts whose similarity is ``least`` or more."""
-    pairs = scratch.saved(candidates(docs, text, words), "overlap-pairs")
+def _apart_pairs(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """(a, b): members of a list that lie in different components."""
+    placed = lists.join(labels, lists.version == labels.node, "left").select(
+        "band", "key", "version", F.coalesce("label", "version").alias("label")
+    )
+    mixed = placed.groupBy("band", "key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
+    members = scratch.saved(placed.join(mixed.select("band", "key"), ["band", "key"], "left_semi"), "overlap-members")
+    other = members.select("band", "key", F.col("version").alias("other"), F.col("label").alias("other_label"))
+    met = members.join(other, ["band", "key"]).filter("label < other_label")
+    return met.select(*_ordered("version", "other"))
+
+
+def counted(pairs: DataFrame, prints: DataFrame, least: float) -> DataFrame:
+    """The pairs that share as many positional bytes as ``least_shared`` asks for."""
+    most = PARTS - least_shared(least)
+    ends = prints.select("version", "bytes")
+    both = pairs.join(ends.toDF("a", "a_bytes"), "a").join(ends.toDF("b", "b_bytes"), "b")
+
+    def run(batches):
+        for batch in batches:
+            one, two = (
+                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, PARTS) for c in ("a_bytes", "b_bytes")
+            )
+            yield batch.select(["a", "b"]).filter(pa.array((one != two).sum(axis=1) <= most))
+
+    return both.mapInArrow(run, "a long, b long")
+
+
+def verified(pairs: DataFrame, docs: DataFrame, text: str, words: int, least: float) -> DataFrame:
+    """The (a, b) whose texts' similarity is ``least`` or more."""
+    pairs = scratch.saved(pairs, "overlap-pairs")
     members = pairs.select(F.explode(F.array("a", "b")).alias("version")).distinct()
     texts = scratch.saved(
         docs.select(_version(text).alias("version"), F.col(text).cast("string").alias("text"))
@@ -119,7 +187,30 @@ def links(docs: DataFrame, text: str = "text", words: int = 5, least: float = 0.
                 good.append(similarity(shingles(batch.column("a_text")[i].as_py(), words), last_set) >= least)
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    return both.mapInArrow(verify, "a long, b long")
+    found = scratch.saved(both.mapInArrow(verify, "a long, b long"), "overlap-links")
+    for done in (pairs, texts):
+        scratch.remove_saved(done)
+    return found
+
+
+def _lists(prints: DataFrame) -> DataFrame:
+    return scratch.saved(prints.select("version", F.posexplode("keys").alias("band", "key")), "overlap-lists")
+
+
+def candidates(docs: DataFrame, text: str = "text", words: int = 5) -> DataFrame:
+    """(a, b), a < b: hashes of the texts compared before there are components."""
+    prints = _prints(docs, text, words)
+    return _bit_pairs(prints).unionByName(_first_pairs(_lists(prints))).distinct()
+
+
+def links(docs: DataFrame, text: str = "text", words: int = 5, least: float = 0.8) -> DataFrame:
+    """(a, b): hashes of texts whose similarity is ``least`` or more, enough to join all that are."""
+    prints = _prints(docs, text, words)
+    lists = _lists(prints)
+    first = _bit_pairs(prints).unionByName(_first_pairs(lists)).distinct()
+    found = verified(counted(first, prints, least), docs, text, words, least)
+    apart = _apart_pairs(lists, components.labels(found)).distinct()
+    return found.unionByName(verified(counted(apart, prints, least), docs, text, words, least))
 
 
 def keep_one(docs: DataFrame, words: int = 5, least: float = 0.8) -> DataFrame:

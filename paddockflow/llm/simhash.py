@@ -36,25 +36,36 @@ _SHINGLES_AT_ONCE = 1 << 16
 _SIGNED = 1 << 64
 
 
-def fingerprint(text: str | None, words: int = 3) -> int:
-    """64-bit SimHash of a whole text: lower-cased A-Z, white-space words, word shingles."""
+def shingle_hashes(text: str | None, words: int = 3) -> np.ndarray:
+    """XXH64 of every shingle of a whole text, repeats included: lower-cased A-Z, white-space words.
+
+    A text of fewer words is one shingle; one without words has none.
+    """
     parts = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not parts:
-        return 0
+        return np.empty(0, np.uint64)
     width = min(words, len(parts))
     joined = b" ".join(parts)
     ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1) - 1
-    starts = np.concatenate(([0], ends[:-1] + 1))
-    total = len(parts) - width + 1
-    counts = np.zeros(64, np.int64)
+    starts = np.concatenate(([0], ends[:-1] + 1))[: len(parts) - width + 1]
     digest = xxhash.xxh64_intdigest
-    for low in range(0, total, _SHINGLES_AT_ONCE):
-        high = min(total, low + _SHINGLES_AT_ONCE)
-        spans = zip(starts[low:high].tolist(), ends[low + width - 1 : high + width - 1].tolist())
-        hashes = np.fromiter((digest(joined[a:b], _SEED) for a, b in spans), "<u8", high - low)
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    spans = zip(starts.tolist(), ends[width - 1 :].tolist(), strict=True)
+    return np.fromiter((digest(joined[a:b], _SEED) for a, b in spans), "<u8", len(starts))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """64 bits, each set if it is set in over half the hashes; none give zero."""
+    counts = np.zeros(64, np.int64)
+    for low in range(0, len(hashes), _SHINGLES_AT_ONCE):
+        some = np.ascontiguousarray(hashes[low : low + _SHINGLES_AT_ONCE], "<u8")
+        bits = np.unpackbits(some.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         counts += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(counts * 2 > total, bitorder="little").view("<u8")[0])
+    return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")[0])
+
+
+def fingerprint(text: str | None, words: int = 3) -> int:
+    """64-bit SimHash of a whole text: lower-cased A-Z, white-space words, word shingles."""
+    return majority(shingle_hashes(text, words))
 
 
 def fingerprints(docs: DataFrame, id_column: str = "doc_id", text: str = "text", words: int = 3) -> DataFrame:

@@ -58,3 +58,47 @@ def test_a_large_group_gives_few_pairs(documents):
     rows = [(n, edited(words, {int(k) for k in draw.integers(0, 300, 2)})) for n in range(300)]
     assert overlap.candidates(documents(rows)).count() < 12 * len(rows)
     assert [r["doc_id"] for r in overlap.keep_one(documents(rows)).collect()] == [0]
+
+
+def test_count_filter_keeps_what_is_alike(documents):
+    draw = np.random.default_rng(6)
+    words = [f"w{k}" for k in draw.integers(0, 10_000, 600)]
+    near, far = edited(words, set(range(5, 600, 60))), edited(words, set(range(5, 600, 12)))
+    prints = [np.frombuffer(overlap.long_print(overlap.minima(overlap.shingles(t))), np.uint8) for t in (" ".join(words), near, far)]
+    shared = [int((prints[0] == p).sum()) for p in prints]
+    assert overlap.least_shared(0.8) == 46 and shared[0] == overlap.PARTS and shared[1] >= 46 > shared[2]
+    rows = documents([(1, " ".join(words)), (2, near), (3, far)])
+    prints = overlap._prints(rows, "text", 5).cache()
+    all_pairs = prints.select("version").toDF("a").crossJoin(prints.select("version").toDF("b")).filter("a < b")
+    assert all_pairs.count() == 3 and overlap.counted(all_pairs, prints, 0.8).count() == 1
+
+
+def test_simhash_links_are_candidates(documents, monkeypatch):
+    words = [f"w{k}" for k in np.random.default_rng(7).integers(0, 10_000, 3000)]
+    near = edited(words, {1500})
+    assert bin(simhash.fingerprint(" ".join(words), 5) ^ simhash.fingerprint(near, 5)).count("1") <= overlap.BITS
+    rows = documents([(1, " ".join(words)), (2, near)])
+    monkeypatch.setattr(overlap, "_first_pairs", lambda lists: lists.select(*overlap._ordered("version", "version")).limit(0))
+    assert overlap.candidates(rows).count() == 1
+
+
+def test_a_link_hidden_by_the_first_text_of_every_list_is_found(documents, monkeypatch):
+    draw = np.random.default_rng(8)
+    words = [f"w{k}" for k in draw.integers(0, 10_000, 400)]
+    # both are unlike the first text (0.74 and 0.73 of their shingles) and alike (0.98)
+    one = edited(words, set(range(20, 400, 33)))
+    two = one.replace(words[390], "other")
+    texts = [" ".join(words), one, two]
+    sets = [plain(t) for t in texts]
+    alike = [len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a, b in ((0, 1), (0, 2), (1, 2))]
+    assert max(alike[:2]) < 0.8 <= alike[2]
+
+    def with_the_first_row(lists):
+        first = lists.filter("version = " + str(rows.select(overlap._version("text")).first()[0])).select(
+            "band", "key", overlap.F.col("version").alias("first"))
+        return lists.join(first, ["band", "key"]).filter("version <> first").select(*overlap._ordered("version", "first"))
+
+    rows = documents([(i, t) for i, t in enumerate(texts)])
+    monkeypatch.setattr(overlap, "_first_pairs", with_the_first_row)
+    monkeypatch.setattr(overlap, "_bit_pairs", lambda prints: prints.select(*overlap._ordered("version", "version")).limit(0))
+    assert sorted(r["doc_id"] for r in overlap.keep_one(rows).collect()) == [0, 1]
