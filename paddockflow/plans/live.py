@@ -11,7 +11,7 @@ from paddockflow import scratch
 from paddockflow.operators import decode, lineage, serve, windows
 from paddockflow.plans import batch, feeds, sql
 from paddockflow.plans.batch import plain, query
-from paddockflow.plans.streams import _LATE, NOW, _name, _telemetry, by_session, event_stream, late_loads
+from paddockflow.plans.streams import _LATE, NOW, _event_state, _name, _telemetry, by_session, event_stream, late_loads
 from paddockflow.sources import captures, datagrams, records, warehouse
 from paddockflow.streaming import counts, live, pipeline
 from paddockflow.streaming.sinks import FeedSink
@@ -99,13 +99,15 @@ def stream_merge_once(spark, sf_dir):
     """Both aggregate feeds, each written twice, as one stream that has every message once."""
     root = scratch.new_folder(spark, "once")
     rows = feeds.events(spark, sf_dir)
+    # every event gives a message of each feed
+    parts = _event_state(spark, sf_dir, STATE)
     for _ in range(2):  # a job that failed after its write, and its replay
         for measure in ("speed", "rpm"):
             feeds.aggregate_records(rows, measure).write.mode("append").parquet(f"{root}/{measure}")
         published = {m: records.stream(spark, "parquet", path=f"{root}/{m}") for m in ("speed", "rpm")}
         pipeline.start_merge_once(
             published["speed"], published["rpm"], FeedSink("parquet", {"path": f"{root}/messages"}), f"{root}/cp",
-            delay="1000 days", trigger=NOW, name=_name(root), state_partitions=STATE,
+            delay="1000 days", trigger=NOW, name=_name(root), state_partitions=parts,
         ).awaitTermination()
     return spark.read.schema("type STRING, message STRING").parquet(f"{root}/messages").select("type", "message")
 
@@ -153,7 +155,7 @@ def stream_resolved_links(spark, sf_dir):
     )
     pipeline.start_resolution(
         links, packets, f"{root}/wh", f"{root}/cp", width="1 hour", delay="1 hour", trigger=NOW,
-        name=f"resolve-{_name(root)}", state_partitions=STATE,
+        name=f"resolve-{_name(root)}", state_partitions=_event_state(spark, sf_dir, STATE),
     ).awaitTermination()
     return plain(spark.read.parquet(f"{root}/wh/{pipeline.RESOLVED_LINKS}").drop(warehouse.BATCH))
 

@@ -41,11 +41,16 @@ def by_session(rows: DataFrame) -> DataFrame:
     return rows.withColumn("user_id", F.col("k").cast("bigint"))
 
 
+def _event_state(spark: SparkSession, sf_dir: str, least: int | None = None) -> int:
+    return feeds.state_partitions(feeds.table(spark, sf_dir, "events"), least)
+
+
 def _telemetry(spark, sf_dir, **options) -> str:
     root = scratch.new_folder(spark, "telemetry")
     pipeline.start_telemetry(
         feeds.telemetry_records(event_stream(spark, sf_dir)),
-        f"{root}/wh", f"{root}/cp", width="1 hour", trigger=NOW, name=_name(root), **options
+        f"{root}/wh", f"{root}/cp", width="1 hour", trigger=NOW, name=_name(root),
+        state_partitions=_event_state(spark, sf_dir), **options
     ).awaitTermination()
     return root
 
@@ -130,7 +135,8 @@ def stream_lap_table(spark, sf_dir):
     root = scratch.new_folder(spark, "lap")
     pipeline.start_laps(
         feeds.lap_records(event_stream(spark, sf_dir)),
-        f"{root}/wh", f"{root}/cp", width="1 hour", trigger=NOW, name=_name(root)
+        f"{root}/wh", f"{root}/cp", width="1 hour", trigger=NOW, name=_name(root),
+        state_partitions=_event_state(spark, sf_dir),
     ).awaitTermination()
     return plain(warehouse.read(spark, f"{root}/wh", "lap"))
 
@@ -224,7 +230,7 @@ def late_loads(spark, sf_dir, root, **options):
         job = pipeline.start_telemetry(
             feeds.telemetry_records(by_session(feeds.event_columns(arrived))),
             f"{root}/wh", f"{root}/cp", width="6 hours", delay=f"{DELAY_DAYS} days", trigger=NOW,
-            name=_name(root), **options
+            name=_name(root), state_partitions=_event_state(spark, sf_dir), **options
         )
         job.awaitTermination()
         yield job
@@ -238,7 +244,7 @@ def stream_rerun(spark, sf_dir):
         pipeline.start_laps(
             feeds.lap_records(event_stream(spark, sf_dir)),
             f"{root}/wh", f"{root}/cp", width="1 hour", trigger=NOW,
-            name=_name(root),
+            name=_name(root), state_partitions=_event_state(spark, sf_dir),
         ).awaitTermination()
     return plain(warehouse.read(spark, f"{root}/wh", "lap"))
 
@@ -353,7 +359,7 @@ def stream_all_jobs(spark, sf_dir):
     }
     options = {job: {"trigger": NOW, "name": f"{job}-{_name(root)}"} for job in sources}
     for job in ("telemetry", "lap"):
-        options[job] |= {"width": "1 hour", "state_partitions": 8}
+        options[job] |= {"width": "1 hour", "state_partitions": _event_state(spark, sf_dir, 8)}
     for started in pipeline.start_all(sources, f"{root}/wh", f"{root}/cp", options=options):
         started.awaitTermination()
 
@@ -403,7 +409,8 @@ def stream_datagram_chain(spark, sf_dir):
     ).awaitTermination()
     published = records.stream(spark, "parquet", path=f"{root}/records")
     pipeline.start_telemetry(
-        published, f"{root}/wh", f"{root}/cp", width="1 hour", trigger=NOW, name=_name(root)
+        published, f"{root}/wh", f"{root}/cp", width="1 hour", trigger=NOW, name=_name(root),
+        state_partitions=_event_state(spark, sf_dir),
     ).awaitTermination()
     return plain(warehouse.read(spark, f"{root}/wh", "speed_aggregation"))
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from paddockflow import schemas
 from paddockflow.operators import envelope, project, serve
-from paddockflow.plans import feeds
+from paddockflow.plans import feeds, streams
 from rows import at, header, records, record
 
 GOOD = {
@@ -181,3 +181,17 @@ def test_tasks_grow_with_the_table(spark, tmp_path):
     stored = spark.read.parquet(str(tmp_path / "one"))
     parts = feeds.spread(stored, stored).rdd.glom().map(len).collect()
     assert sum(parts) == rows and max(parts) <= 1.1 * feeds.TASK_ROWS
+
+
+def test_state_is_split_by_the_rows_of_a_table(spark, sf_dir, monkeypatch, tmp_path):
+    stored = spark.range(100_000)
+    assert [feeds.state_partitions(stored, least) for least in (None, 2, 9)] == [4, 4, 9]
+    monkeypatch.setattr(feeds, "TASK_ROWS", 100)
+    assert feeds.state_partitions(stored) == 1000
+    events = feeds.table(spark, sf_dir, "events").limit(700)
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    folder = str(tmp_path / "lap")
+    monkeypatch.setattr(streams.scratch, "new_folder", lambda _spark, _label: folder)
+    streams.stream_lap_table(spark, str(tmp_path)).collect()
+    state = [d for d in (tmp_path / "lap" / "cp" / "lap" / "state" / "0").iterdir() if d.name.isdigit()]
+    assert len(state) == 7
