@@ -18,12 +18,20 @@ A list does not emit all its pairs at once.  Members are compared with the list'
 those links have formed components, with every member of another component.  Pairs of one component
 are not compared, since a link between them changes nothing; no other pair of a list is left out.
 
+In a list of more than ``MOST`` members of several components nearly all pairs are unlike, and they would grow with the square of
+the list.  Such members meet by prefixes instead, which is exact: shingles are put in one order, the rarest among
+these texts first, and two texts that share ``o`` shingles share one of the first ``size - o + 1`` of each.  How many must be
+shared follows from both sizes, so a text has a prefix for each class of sizes of its partner.  What only one
+text holds comes first and meets nothing: copies that were each changed in places of their own meet
+if they are alike, and hardly otherwise.
+
 Equal texts are one node throughout, so a group of copies costs one row.
 """
 
 from __future__ import annotations
 
-from math import floor, sqrt
+from itertools import accumulate, repeat
+from math import ceil, floor, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +45,9 @@ from paddockflow.llm import components, simhash
 BITS = 2
 BANDS, ROWS = 20, 4
 PARTS = BANDS * ROWS
+MOST = 48
+#: First size of each class: single sizes, from 32 on steps of a 32nd.
+_SIZES = np.array(list(accumulate(repeat(0, 900), lambda size, _: size + max(1, size // 32), initial=1)), np.int64)
 _SEED = 42
 _ORDERS = np.random.default_rng(_SEED).integers(1, 1 << 63, PARTS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SALTS = np.random.default_rng(_SEED + 1).integers(-(1 << 63), 1 << 63, 4, dtype=np.int64).tolist()
@@ -83,6 +94,20 @@ def least_shared(least: float) -> int:
     return max(0, floor(PARTS * least - 5 * sqrt(PARTS * least * (1 - least))))
 
 
+def prefixes(size: int, least: float) -> list[tuple[int, int, int]]:
+    """(own class, partner's class, shingles) for every class of sizes that a partner of a text of ``size`` can have.
+
+    Of two texts alike by ``least``, each has one of the shared shingles among that many first ones of its own.
+    """
+    own, low, high = np.searchsorted(_SIZES, [size, ceil(size * least - 1e-9), floor(size / least + 1e-9)], "right") - 1
+    found = []
+    for other in range(int(max(low, 0)), int(high) + 1):
+        shared = ceil((size + max(int(_SIZES[other]), ceil(size * least - 1e-9))) * least / (1 + least) - 1e-9)
+        if shared <= size:
+            found.append((int(own), other, size - shared + 1))
+    return found
+
+
 def _version(text: str):
     return F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
 
@@ -136,16 +161,69 @@ def _first_pairs(lists: DataFrame) -> DataFrame:
     return lists.join(first, ["band", "key"]).filter("version <> first").select(*_ordered("version", "first"))
 
 
-def _apart_pairs(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    """(a, b): members of a list that lie in different components."""
+def _mixed_lists(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """(band, key, version, label, n): the members of lists of several components, and how many a list has."""
     placed = lists.join(labels, lists.version == labels.node, "left").select(
         "band", "key", "version", F.coalesce("label", "version").alias("label")
     )
-    mixed = placed.groupBy("band", "key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
-    members = scratch.saved(placed.join(mixed.select("band", "key"), ["band", "key"], "left_semi"), "overlap-members")
-    other = members.select("band", "key", F.col("version").alias("other"), F.col("label").alias("other_label"))
-    met = members.join(other, ["band", "key"]).filter("label < other_label")
-    return met.select(*_ordered("version", "other"))
+    mixed = placed.groupBy("band", "key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"))
+    return scratch.saved(placed.join(mixed.filter("low < high").select("band", "key", "n"), ["band", "key"]), "overlap-members")
+
+
+def _met(members: DataFrame, **keys: str) -> DataFrame:
+    """(a, b): members of different components that meet; by each key and the other's column that must equal it."""
+    other = members.select(
+        *(F.col(theirs).alias(own) for own, theirs in keys.items()), F.col("version").alias("other"), F.col("label").alias("other_label")
+    )
+    return members.join(other, list(keys)).filter("label < other_label").select(*_ordered("version", "other"))
+
+
+def _prefix_members(docs: DataFrame, wanted: DataFrame, text: str, words: int, least: float) -> DataFrame:
+    """(version, label, own, partner, shingle): the prefixes of the wanted (version, label), without shingles of one text alone."""
+    spec = docs.select(_version(text).alias("version"), F.col(text).cast("string").alias("text"))
+    spec = spec.join(wanted, "version").dropDuplicates(["version"])
+
+    def hashed(batches):
+        for batch in batches:
+            column = batch.column("text")
+            found = [shingles(column[i].as_py(), words).view(np.int64) for i in range(len(column))]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("version"), batch.column("label"), pa.array(found, pa.list_(pa.int64()))], names=["version", "label", "shingles"]
+            )
+
+    sets = scratch.saved(spec.mapInArrow(hashed, "version long, label long, shingles array<long>"), "overlap-sets")
+    held = sets.select("version", F.explode("shingles").alias("shingle"))
+    often = held.groupBy("shingle").agg(F.count("*").alias("texts")).filter("texts > 1")
+    shared = held.join(often, "shingle").groupBy("version").agg(F.sort_array(F.collect_list(F.struct("texts", "shingle"))).alias("ordered"))
+    sized = sets.select("version", "label", F.size("shingles").alias("size")).join(shared, "version")
+
+    def first(batches):
+        for batch in batches:
+            rows = {name: [] for name in ("version", "label", "own", "partner", "shingles")}
+            for version, label, size, ordered in zip(*(batch.column(c) for c in ("version", "label", "size", "ordered"))):
+                ordered, size = ordered.values.field("shingle").to_numpy(), size.as_py()
+                for own, partner, most in prefixes(size, least):
+                    # the size less the shared ones are shingles of this text alone
+                    taken = ordered[: max(0, most - (size - len(ordered)))]
+                    if len(taken):
+                        for name, value in zip(rows, (version.as_py(), label.as_py(), own, partner, taken)):
+                            rows[name].append(value)
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(rows[name], pa.int64()) for name in list(rows)[:4]), pa.array(rows["shingles"], pa.list_(pa.int64()))], names=list(rows)
+            )
+
+    parts = sized.mapInArrow(first, "version long, label long, own long, partner long, shingles array<long>")
+    return scratch.saved(parts.select("version", "label", "own", "partner", F.explode("shingles").alias("shingle")), "overlap-prefixes")
+
+
+def _apart_pairs(lists: DataFrame, labels: DataFrame, docs: DataFrame, text: str, words: int, least: float) -> DataFrame:
+    """(a, b): members of a list that lie in different components; those of large lists by their prefixes."""
+    members = _mixed_lists(lists, labels)
+    few = _met(members.filter(F.col("n") <= MOST), band="band", key="key")
+    many = members.filter(F.col("n") > MOST).select("version", "label").distinct()
+    if many.isEmpty():
+        return few
+    return few.unionByName(_met(_prefix_members(docs, many, text, words, least), shingle="shingle", own="partner", partner="own"))
 
 
 def counted(pairs: DataFrame, prints: DataFrame, least: float) -> DataFrame:
@@ -209,7 +287,7 @@ def links(docs: DataFrame, text: str = "text", words: int = 5, least: float = 0.
     lists = _lists(prints)
     first = _bit_pairs(prints).unionByName(_first_pairs(lists)).distinct()
     found = verified(counted(first, prints, least), docs, text, words, least)
-    apart = _apart_pairs(lists, components.labels(found)).distinct()
+    apart = _apart_pairs(lists, components.labels(found), docs, text, words, least).distinct()
     return found.unionByName(verified(counted(apart, prints, least), docs, text, words, least))
 
 

@@ -102,3 +102,57 @@ def test_a_link_hidden_by_the_first_text_of_every_list_is_found(documents, monke
     monkeypatch.setattr(overlap, "_first_pairs", with_the_first_row)
     monkeypatch.setattr(overlap, "_bit_pairs", lambda prints: prints.select(*overlap._ordered("version", "version")).limit(0))
     assert sorted(r["doc_id"] for r in overlap.keep_one(rows).collect()) == [0, 1]
+
+
+def changed_in_places_of_their_own(draw, words, n, edits):
+    texts = []
+    for i in range(n):
+        places = set((7 * draw.choice(len(words) // 7, edits, replace=False) + draw.integers(0, 2)).tolist())
+        texts.append(" ".join(f"edit{i}x{k}" if k in places else w for k, w in enumerate(words)))
+    return texts
+
+
+def test_prefixes_of_alike_sets_meet():
+    draw = np.random.default_rng(9)
+    for size in (1, 2, 5, 9, 40, 41, 200, 1000):
+        for _ in range(60):
+            base = draw.permutation(3 * size)[:size]
+            gone, new = draw.integers(0, size // 4 + 1, 2)
+            one, two = set(base.tolist()), set(base[gone:].tolist()) | set(range(3 * size, 3 * size + int(new)))
+            alike = len(one & two) >= 0.8 * len(one | two)
+            keys = [
+                {(*((own, other) if s is one else (other, own)), k) for own, other, n in overlap.prefixes(len(s), 0.8) for k in sorted(s)[:n]}
+                for s in (one, two)
+            ]
+            assert keys[0] & keys[1] or not alike
+
+
+def test_many_unlike_texts_in_one_list_give_few_pairs(documents, monkeypatch):
+    draw = np.random.default_rng(10)
+    texts = changed_in_places_of_their_own(draw, [f"w{k}" for k in range(350)], 250, 10)
+    sets = [plain(t) for t in texts]
+    assert max(len(a & b) / len(a | b) for a, b in zip(sets, sets[1:])) < 0.8
+    texts.append(texts[7].replace("w300", "other").replace("w301", "other"))
+    seen, counted = [], overlap.counted
+
+    def counting(pairs, prints, least):
+        seen.append(pairs.count())
+        return counted(pairs, prints, least)
+
+    monkeypatch.setattr(overlap, "MOST", 8, raising=False)
+    monkeypatch.setattr(overlap, "counted", counting)
+    assert sorted(r["doc_id"] for r in overlap.keep_one(documents(list(enumerate(texts)))).collect()) == list(range(250))
+    assert sum(seen) < 20 * len(texts)  # of 31,375
+
+
+def test_links_inside_large_lists_are_found(documents, monkeypatch):
+    draw = np.random.default_rng(11)
+    texts = changed_in_places_of_their_own(draw, [f"w{k}" for k in range(350)], 60, 10)
+    texts += [" ".join(t.split()[:-n]) for n, t in enumerate(texts[:30], 1)]
+    sets = [plain(t) for t in texts]
+    alike = [len(sets[n] & sets[60 + n]) / len(sets[n] | sets[60 + n]) for n in range(30)]
+    assert min(alike) >= 0.8
+    monkeypatch.setattr(overlap, "MOST", 1)
+    monkeypatch.setattr(overlap, "_first_pairs", lambda lists: lists.select(*overlap._ordered("version", "version")).limit(0))
+    monkeypatch.setattr(overlap, "_bit_pairs", lambda prints: prints.select(*overlap._ordered("version", "version")).limit(0))
+    assert sorted(r["doc_id"] for r in overlap.keep_one(documents(list(enumerate(texts)))).collect()) == list(range(60))
