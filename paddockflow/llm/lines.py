@@ -25,6 +25,7 @@ import functools
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +40,7 @@ _PLACES = "array<struct<key:bigint,low:int,span:int,back:int,low_hash:bigint,hig
 _RUN = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 _RUNS = "array<struct<start:int,end:int>>"
 _BLOCK = 1 << 15
+_TOGETHER = 1 << 17
 
 _BYTES = np.random.default_rng(7).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE, _INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
@@ -72,8 +74,7 @@ def _rolled(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     return _mixed((sums[ends] - sums[starts]) * _powers(_INVERSE, room)[starts] + (ends - starts).astype(np.uint64))
 
 
-def word_hashes(raw: bytes) -> np.ndarray:
-    data, starts, ends = word_bounds(raw)
+def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     parts = [np.empty(0, np.uint64)]
     for i in range(0, len(starts), _BLOCK):
         low, high = starts[i : i + _BLOCK], ends[i : i + _BLOCK]
@@ -81,12 +82,33 @@ def word_hashes(raw: bytes) -> np.ndarray:
     return np.concatenate(parts)
 
 
+def word_hashes(raw: bytes) -> np.ndarray:
+    return _hashes(*word_bounds(raw))
+
+
+def word_groups(texts: pa.Array):
+    """(rows, hashes of their words, words of each) of neighbouring texts, a few hundred kilobytes or one long text together."""
+    raw = texts.cast(pa.binary())
+    sizes = pc.binary_length(raw).to_numpy().astype(np.int64)
+    group = np.cumsum(sizes) // _TOGETHER
+    for rows in np.split(np.arange(len(raw)), np.flatnonzero(np.diff(group)) + 1):
+        if len(rows):
+            data, starts, ends = word_bounds(b"\n".join(raw.slice(rows[0], len(rows)).to_pylist()))
+            until = np.searchsorted(starts, np.cumsum(sizes[rows] + 1))
+            yield rows, _hashes(data, starts, ends), np.diff(until, prepend=0)
+
+
 def _size(min_words: int) -> int:
     return max(1, min_words // 5)
 
 
-def winnow(words: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(fingerprint, its word, first window, last window) of every stretch of windows that choose one line."""
+def winnow(
+    words: np.ndarray, min_words: int, counts: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(fingerprint, its word, first window, last window) of every stretch of windows that choose one line.
+
+    ``counts``: the words of each text, if there are several; no window lies in two.
+    """
     n = len(words) - min_words + 1
     if n < 1:
         return tuple(np.empty(0, np.int64) for _ in range(4))
@@ -99,9 +121,13 @@ def winnow(words: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, n
         chosen = np.where(left, chosen[:-step], chosen[step:])
         least = np.where(left, least[:-step], least[step:])
         wide += step
-    first = np.flatnonzero(np.concatenate(([True], chosen[1:] != chosen[:-1])))
-    last = np.concatenate((first[1:], [n])) - 1
-    return lines[chosen[first]].view(np.int64), chosen[first], first, last
+    windows = starts[:n]
+    if counts is not None:
+        windows = windows[windows + min_words <= np.repeat(np.cumsum(counts), counts)[:n]]
+        chosen = chosen[windows]
+    first = np.flatnonzero(np.concatenate((np.ones(len(chosen[:1]), bool), chosen[1:] != chosen[:-1])))
+    last = np.concatenate((first[1:], [len(chosen)]))[: len(first)] - 1
+    return lines[chosen[first]].view(np.int64), chosen[first], windows[first], windows[last]
 
 
 def quarters(words: np.ndarray, at: np.ndarray, low: np.ndarray, high: np.ndarray, min_words: int):
@@ -161,20 +187,22 @@ def repeated_runs(docs: DataFrame, min_words: int = 50, id_column: str = "doc_id
 
     def posted(batches):
         for batch in batches:
-            counts, offsets, found = [], [0], []
-            for value in batch.column("text"):
-                words = word_hashes(value.as_py().encode("utf-8", "surrogatepass"))
-                keys, at, low, high = winnow(words, min_words)
-                counts.append(len(words))
-                offsets.append(offsets[-1] + len(keys))
+            counts, sizes, found = [], [], []
+            for _, words, n_words in word_groups(batch.column("text")):
+                keys, at, low, high = winnow(words, min_words, n_words)
+                until = np.cumsum(n_words)
+                doc = np.searchsorted(until, low, "right")
+                counts.append(n_words)
+                sizes.append(np.bincount(doc, minlength=len(n_words)))
                 ends = (_rolled(words, s, s + min_words).view(np.int64) for s in (low, high))
-                found.append((keys, low, high - low, at - low, *ends))
+                found.append((keys, low - (until - n_words)[doc], high - low, at - low, *ends))
             if not found:
                 continue
             columns = [pa.array(np.concatenate([f[i] for f in found]), pa.int64()).cast(kind) for i, (_, kind) in enumerate(_PLACE)]
             places = pa.StructArray.from_arrays(columns, fields=[pa.field(*p) for p in _PLACE])
+            offsets = pa.array(np.cumsum(np.concatenate([[0], *sizes])), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), pa.array(counts, pa.int32()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), places)],
+                [batch.column("doc"), pa.array(np.concatenate(counts), pa.int32()), pa.ListArray.from_arrays(offsets, places)],
                 names=["doc", "n_words", "places"],
             )
 
@@ -218,13 +246,16 @@ def repeated_runs(docs: DataFrame, min_words: int = 50, id_column: str = "doc_id
 
     def opened(batches):
         for batch in batches:
-            for value, base, stretches in zip(*(batch.column(c) for c in ("text", "base", "stretches"))):
-                words = word_hashes(value.as_py().encode("utf-8", "surrogatepass"))
-                low, span, back = (stretches.values.field(i).to_numpy().astype(np.int64) for i in range(3))
+            for rows, words, n_words in word_groups(batch.column("text")):
+                bases, taken = batch.column("base").to_numpy()[rows], batch.column("stretches").slice(rows[0], len(rows))
+                until = np.cumsum(n_words)
+                low, span, back = (f.to_numpy().astype(np.int64) for f in taken.flatten().flatten())
+                low += np.repeat(until - n_words, pc.list_value_length(taken).to_numpy())
                 offsets, starts, anchors, hashes = quarters(words, low + back, low, low + span, min_words)
+                doc = np.searchsorted(until, starts, "right")
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.full(len(starts), base.as_py())), pa.array(starts + base.as_py()), pa.array(anchors),
+                        pa.array(bases[doc]), pa.array(starts + (bases - until + n_words)[doc]), pa.array(anchors),
                         pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(hashes)),
                     ],
                     names=["base", "at", "anchor", "hashes"],
@@ -240,13 +271,16 @@ def repeated_runs(docs: DataFrame, min_words: int = 50, id_column: str = "doc_id
 
     def merged(batches):
         for batch in batches:
-            runs = []
-            for value in batch.column("starts"):
-                at = np.unique(value.values.to_numpy())
-                new = np.flatnonzero(np.concatenate(([True], at[1:] > at[:-1] + min_words)))
-                stops = at[np.concatenate((new[1:], [len(at)])) - 1] + min_words
-                runs.append([{"start": s, "end": e} for s, e in zip(at[new].tolist(), stops.tolist())])
-            yield pa.RecordBatch.from_arrays([batch.column("base"), pa.array(runs, _RUN)], names=["base", "removed"])
+            lists = batch.column("starts")
+            row, at = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy()), lists.flatten().to_numpy()
+            at = at[np.lexsort((at, row))]
+            first = np.ones(len(at[:1]), bool)
+            new = np.flatnonzero(np.concatenate((first, (row[1:] != row[:-1]) | (at[1:] > at[:-1] + min_words))))
+            stops = at[np.concatenate((new[1:], [len(at)]))[: len(new)] - 1] + min_words
+            ends = [pa.array(v, pa.int32()) for v in (at[new], stops)]
+            runs = pa.StructArray.from_arrays(ends, fields=list(_RUN.value_type))
+            offsets = pa.array(np.searchsorted(row[new], np.arange(len(lists) + 1)), pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column("base"), pa.ListArray.from_arrays(offsets, runs)], names=["base", "removed"])
 
     runs = starts.groupBy("base").agg(F.collect_list((F.col("place") - F.col("base")).cast("int")).alias("starts"))
     runs = runs.mapInArrow(merged, f"base bigint, removed {_RUNS}").join(_unique(order), "base").select("doc", "removed")

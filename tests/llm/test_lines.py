@@ -1,6 +1,7 @@
 import re
 
 import numpy as np
+import pyarrow as pa
 
 from paddockflow.llm import lines
 from paddockflow.llm.queries import QUERIES
@@ -90,6 +91,28 @@ def test_hashes_do_not_depend_on_place():
     assert len(lines.word_hashes(b"x" * 2_000_000)) == 1
 
 
+def test_texts_are_hashed_together(monkeypatch):
+    draw = np.random.default_rng(5)
+    texts = ["".join(f"w{k}" + str(draw.choice([" ", "\n", "\u2003é "])) for k in draw.integers(0, 9, int(n))) for n in draw.integers(0, 90, 200)]
+    texts[3:6], texts[-2:] = ["", " \n", "x" * 5000], ["w1 " * 3000, ""]
+    one_by_one = [lines.word_hashes(t.encode()) for t in texts]
+    hashed, calls = lines._hashes, []
+    monkeypatch.setattr(lines, "_TOGETHER", 4096)
+    monkeypatch.setattr(lines, "_hashes", lambda *a: calls.append(1) or hashed(*a))
+    at = 0
+    for rows, words, counts in lines.word_groups(pa.array(texts)):
+        want = one_by_one[rows[0] : rows[-1] + 1]
+        assert rows[0] == at and counts.tolist() == [len(w) for w in want]
+        assert (words == np.concatenate(want)).all()
+        begins = np.cumsum(counts) - counts
+        alone = [lines.winnow(w, 20) for w in want]
+        for i, got in enumerate(lines.winnow(words, 20, counts)):
+            assert got.tolist() == np.concatenate([a[i] + (b if i else 0) for a, b in zip(alone, begins)]).tolist()
+        at = rows[-1] + 1
+    assert at == len(texts) and 2 < len(calls) < len(texts) / 5
+    assert not list(lines.word_groups(pa.array([], pa.string())))
+
+
 def test_white_space_that_goes():
     assert lines.cut("a b\nc d\ne f", [(2, 4)]) == "a b\ne f"
     assert lines.cut("a b\nc d\ne f", [(1, 4)]) == "a\ne f"
