@@ -187,24 +187,19 @@ def repeated_runs(docs: DataFrame, min_words: int = 50, id_column: str = "doc_id
 
     def posted(batches):
         for batch in batches:
-            counts, sizes, found = [], [], []
-            for _, words, n_words in word_groups(batch.column("text")):
+            for rows, words, n_words in word_groups(batch.column("text")):
                 keys, at, low, high = winnow(words, min_words, n_words)
                 until = np.cumsum(n_words)
                 doc = np.searchsorted(until, low, "right")
-                counts.append(n_words)
-                sizes.append(np.bincount(doc, minlength=len(n_words)))
                 ends = (_rolled(words, s, s + min_words).view(np.int64) for s in (low, high))
-                found.append((keys, low - (until - n_words)[doc], high - low, at - low, *ends))
-            if not found:
-                continue
-            columns = [pa.array(np.concatenate([f[i] for f in found]), pa.int64()).cast(kind) for i, (_, kind) in enumerate(_PLACE)]
-            places = pa.StructArray.from_arrays(columns, fields=[pa.field(*p) for p in _PLACE])
-            offsets = pa.array(np.cumsum(np.concatenate([[0], *sizes])), pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), pa.array(np.concatenate(counts), pa.int32()), pa.ListArray.from_arrays(offsets, places)],
-                names=["doc", "n_words", "places"],
-            )
+                found = (keys, low - (until - n_words)[doc], high - low, at - low, *ends)
+                columns = [pa.array(values).cast(kind) for values, (_, kind) in zip(found, _PLACE)]
+                places = pa.StructArray.from_arrays(columns, fields=[pa.field(*p) for p in _PLACE])
+                offsets = pa.array(np.searchsorted(doc, np.arange(len(rows) + 1)), pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc").slice(rows[0], len(rows)), pa.array(n_words, pa.int32()), pa.ListArray.from_arrays(offsets, places)],
+                    names=["doc", "n_words", "places"],
+                )
 
     def numbered(batches):
         total = TaskContext.get().partitionId() << 40
