@@ -320,6 +320,9 @@ def deduplicated(docs: DataFrame, min_words: int = 50, id_column: str = "doc_id"
         left = (t and cut(t, [(r["start"], r["end"]) for r in taken]) for t, taken in zip(texts.to_pylist(), runs.to_pylist()))
         return pa.array(left, pa.string())
 
+    # so declared, a filter on clean_text is not pushed below it, where it would cut once more in another Python worker
+    without = without.asNondeterministic()
+
     return joined.select(
         "row",
         F.coalesce("removed", F.array().cast(_RUNS)).alias("removed"),

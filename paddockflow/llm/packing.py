@@ -30,8 +30,6 @@ from pyspark.sql import functions as F
 
 from paddockflow import scratch
 
-_SLICE_BYTES = 4 << 20
-_REMEMBERED_WORDS = 500_000
 _WORDS_AT_ONCE = 10_000
 _PUNCTUATION = b".,!;:?%$&*#|"
 
@@ -40,25 +38,28 @@ class WordTokenizer:
     """Ids of texts by a tokenizer that never joins characters across white space.
 
     Words (ASCII white space, A-Z lowered as the tokenizer itself does) are encoded once and
-    remembered up to a bound; a text's ids are those of its words.
+    remembered; a text's ids are those of its words.  Words go in two generations, each of half of
+    ``remembered`` words and what one call brings: so words in use stay, and words that came once go.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = 500_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.inner = Tokenizer.from_file(path)
+        self.remembered = remembered
         self.known: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
         vocabulary = self.inner.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     @classmethod
     @functools.lru_cache(maxsize=4)
-    def shared(cls, path: str) -> WordTokenizer:
-        return cls(path)
+    def shared(cls, path: str, remembered: int) -> WordTokenizer:
+        return cls(path, remembered)
 
     def _learn(self, words: list[bytes]) -> None:
         """Encode new words; those of letters only go as one text, told apart by their last tokens."""
@@ -81,19 +82,26 @@ class WordTokenizer:
         for i, got in zip(rest, coded, strict=True):
             self.known[words[i]] = np.array(got.ids, "<u4").tobytes()
 
+    def _held(self, word: bytes) -> bool:
+        if word not in self.known:
+            if word not in self.before:
+                return False
+            self.known[word] = self.before[word]
+        return True
+
     def words(self, words: list[bytes]) -> list[bytes]:
-        if len(self.known) > _REMEMBERED_WORDS:
-            self.known = {}
+        if len(self.known) > self.remembered // 2:
+            self.before, self.known = self.known, {}
         known = self.known
         split, direct = {}, set()
         for word in words:
-            if word not in known:
+            if word not in known and not self._held(word):
                 # a run of marks after an ASCII letter or digit is always a token run of its own
                 stem = word.rstrip(_PUNCTUATION)
                 if len(stem) < len(word) and stem[-1:].isalnum():
                     mark = word[len(stem) :]
                     split[word] = (stem, mark)
-                    direct.update(x for x in (stem, mark) if x not in known)
+                    direct.update(x for x in (stem, mark) if not self._held(x))
                 else:
                     direct.add(word)
         self._learn(list(direct))
@@ -129,7 +137,7 @@ class WordTokenizer:
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = 4096, end_id: int = 1, id_column: str = "doc_id",
-           text: str = "text") -> DataFrame:
+           text: str = "text", remembered: int = 500_000, slice_bytes: int = 4 << 20) -> DataFrame:
     """(id, piece, start, length, ids_crc32) of every document: its ids and ``end_id``, cut if too long."""
     spec = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     id_type = spec.schema["id"].dataType.simpleString()
@@ -137,13 +145,13 @@ def pieces(docs: DataFrame, path: str, capacity: int = 4096, end_id: int = 1, id
     step = 4 * capacity
 
     def run(batches):
-        tokenizer = WordTokenizer.shared(path)
+        tokenizer = WordTokenizer.shared(path, remembered)
         for batch in batches:
             table = pa.Table.from_batches([batch])
             low = 0
             sizes = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False))
             while low < len(batch):
-                limit = (sizes[low - 1] if low else 0) + _SLICE_BYTES
+                limit = (sizes[low - 1] if low else 0) + slice_bytes
                 high = max(low + 1, int(np.searchsorted(sizes, limit, side="right")))
                 some = table.slice(low, high - low).combine_chunks()
                 place, rows = [], []
@@ -158,6 +166,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = 4096, end_id: int = 1, id
                 ids_taken = some.column("id").combine_chunks().take(pa.array(place))
                 yield pa.RecordBatch.from_arrays([ids_taken, *columns], names=["id", "piece", "start", "length", "ids_crc32"])
                 low = high
+        pa.default_memory_pool().release_unused()  # the worker stays after its task
 
     return spec.mapInArrow(run, f"id {id_type}, piece int, start long, length long, ids_crc32 long")
 
@@ -272,19 +281,21 @@ def _repack(capacity: int, turn: int, last: bool):
 def packed(
     docs: DataFrame, path: str, capacity: int = 4096, end_id: int = 1, id_column: str = "doc_id",
     text: str = "text", pool_tokens: int = 1 << 20, rounds: int = 6, shrink: int = 16,
+    remembered: int = 500_000, slice_bytes: int = 4 << 20,
 ) -> DataFrame:
     """Pieces with their sequence and place in it.
 
     Columns: the id, piece, start, length, ids_crc32, sequence_id, offset (gapless from 0 in
     each sequence), fill (tokens of the sequence) and certified (its pool met its lower bound
     when it was last packed).  ``pool_tokens`` bounds what one task packs; ``shrink`` is how many
-    pools' gaps meet in one pool of the next round; ``rounds`` bounds the exchanges.  A null or
-    empty text is one piece with the end id alone; repeated rows are packed each; an empty table
-    gives no rows.
+    pools' gaps meet in one pool of the next round; ``rounds`` bounds the exchanges.
+    ``remembered`` words stay in a Python worker, which tokenizes ``slice_bytes`` of text at once:
+    less takes less memory and more time.  A null or empty text is one piece with the end id alone;
+    repeated rows are packed each; an empty table gives no rows.
     """
     if not 1 <= capacity < 1 << 20:
         raise ValueError("capacity must be between 1 and 2**20 - 1")
-    rows = scratch.saved(pieces(docs, path, capacity, end_id, id_column, text), "pieces")
+    rows = scratch.saved(pieces(docs, path, capacity, end_id, id_column, text, remembered, slice_bytes), "pieces")
     schema = f"id {rows.schema['id'].dataType.simpleString()}, {_PACKED}"
     histogram = rows.groupBy("length").agg(F.count("*").alias("n")).toPandas()  # at most ``capacity`` rows
     lengths, counts = histogram["length"].to_numpy(np.int64), histogram["n"].to_numpy(np.int64)

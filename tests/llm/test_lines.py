@@ -142,3 +142,13 @@ def test_documents_of_all_sorts(documents):
     null_first = lines.deduplicated(documents([(None, passage), (1, passage)])).collect()
     assert {r["row"]["doc_id"]: r["clean_text"] for r in null_first} == {None: passage, 1: ""}
     assert lines.deduplicated(documents([])).count() == 0
+
+
+def test_texts_are_cut_once(documents):
+    passage = " ".join(f"w{i}" for i in range(60))
+    docs = documents([(1, f"one {passage}"), (2, f"two {passage}"), (3, f"{passage}")])
+    left = lines.without_repeats(docs, 50)
+    assert {r["doc_id"]: (r["text"], r["n_chars"]) for r in left.collect()} == {1: (f"one {passage}", 4 + len(passage)), 2: ("two", 3)}
+    # each evaluation in a plan takes a Python worker of its own, at the same time
+    plan = left._jdf.queryExecution().optimizedPlan().toString() + left._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("ArrowEvalPython") == 2  # once in the optimized plan, once in Spark's

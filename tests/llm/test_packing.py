@@ -3,6 +3,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import public_tokenizers
 from tokenizers import Tokenizer
@@ -82,3 +83,15 @@ def test_bounds_are_below_the_optimum(seed):
     bins, offsets = packing.best_fit_decreasing(lengths, 10)
     assert packing.lower_bound(some, counts, 10) <= best(lengths.tolist(), 10) <= bins.max() + 1
     assert packing.lower_bound(np.array([6]), np.array([5]), 10) == 5  # beyond the volume
+
+
+def test_words_in_use_stay_and_others_go(monkeypatch):
+    learned = []
+    learn = packing.WordTokenizer._learn
+    monkeypatch.setattr(packing.WordTokenizer, "_learn", lambda self, words: (learned.extend(words), learn(self, words))[1])
+    tokenizer, inner = packing.WordTokenizer(PATH, remembered=100), Tokenizer.from_file(PATH)
+    for i in range(60):
+        text = " ".join(["often", "again.", *(f"w{i}x{k}" for k in range(20))])
+        assert tokenizer.encode(pa.array([text])) == [np.array(inner.encode(text, add_special_tokens=False).ids, "<u4").tobytes()]
+        assert len(tokenizer.known) + len(tokenizer.before) <= 100 + 2 * 24
+    assert [learned.count(w) for w in (b"often", b"again", b".")] == [1, 1, 1]
